@@ -43,37 +43,52 @@ def prepare(gold: DataFrame, params: AuditParams) -> tuple[DataFrame, str]:
     return Q.temporal_split(rows, [params.time], params.validation, params.test), label
 
 
+# The models' names in the report.
+MODELS = ("dummy_mean", "ridge_regression_scaled", "random_forest", "naive_persistence")
+
+
 def with_predictions(
-    rows: DataFrame, label: str, features: Sequence[str], params: AuditParams, split: str = "split"
+    rows: DataFrame,
+    label: str,
+    features: Sequence[str],
+    params: AuditParams,
+    models: Sequence[str] = MODELS,
+    split: str = "split",
 ) -> tuple[DataFrame, dict[str, str]]:
-    """Fit the models on the train split and add one prediction column per model."""
+    """Fit ``models`` on the train split; add one prediction column per model and name them. The naive
+    forecast is left out when no feature can serve as one."""
     train = rows.where(F.col(split) == "train")
-    mean = train.agg(F.avg(label)).first()[0]
-
-    medians = M.exact_medians(train, features)
-    usable = [c for c in features if c in medians]
-    ready = M.assemble(
-        M.fill_with(
-            rows.withColumns({f"_x_{c}": F.col(c) for c in usable}), {f"_x_{c}": medians[c] for c in usable}
-        ),
-        [f"_x_{c}" for c in usable],
-    )
-    ready_train = ready.where(F.col(split) == "train")
-    ridge = M.fit_ridge(ready_train, label, "_ridge", params.alpha)
-    forest = M.fit_forest(ready_train, label, "_forest", params.forest)
-
-    scored = forest.transform(ridge.transform(ready.withColumn("_mean", F.lit(mean))))
-    columns = {"dummy_mean": "_mean", "ridge_regression_scaled": "_ridge", "random_forest": "_forest"}
-    naive = M.naive_column(label, features)
-    if naive:
+    columns = {}
+    if "naive_persistence" in models and (naive := M.naive_column(label, features)):
         columns["naive_persistence"] = naive
-    return scored, columns
-
-
-def model_comparison(rows: DataFrame, label: str, params: AuditParams) -> DataFrame:
-    """Scores of every model on the validation and test splits of ``rows`` (see ``prepare``)."""
-    features = Q.feature_columns(rows, label)
-    scored, columns = with_predictions(rows, label, features, params)
+    if "dummy_mean" in models:
+        rows = rows.withColumn("_mean", F.lit(train.agg(F.avg(label)).first()[0]))
+        columns["dummy_mean"] = "_mean"
+    if "ridge_regression_scaled" in models or "random_forest" in models:
+        medians = M.exact_medians(train, features)
+        inputs = {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}
+        rows = M.assemble(rows.withColumns(inputs), list(inputs))
+        train = rows.where(F.col(split) == "train")
+    if "ridge_regression_scaled" in models:
+        rows = M.fit_ridge(train, label, "_ridge", params.alpha).transform(rows)
+        columns["ridge_regression_scaled"] = "_ridge"
+    if "random_forest" in models:
+        rows = M.fit_forest(train, label, "_forest", params.forest).transform(rows)
+        columns["random_forest"] = "_forest"
+    return rows, columns
+
+
+def model_comparison(
+    rows: DataFrame,
+    label: str,
+    params: AuditParams,
+    models: Sequence[str] | None = None,
+    features: Sequence[str] | None = None,
+) -> DataFrame:
+    """Scores of the models on the validation and test splits of ``rows`` (see ``prepare``). Default: all
+    models on all feature columns."""
+    features = features or Q.feature_columns(rows, label)
+    scored, columns = with_predictions(rows, label, features, params, models or MODELS)
     return M.regression_metrics(scored.where("split != 'train'"), label, columns)
 
 

@@ -28,13 +28,13 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def register_tables(
-    spark: SparkSession, root: str, database: str, comment: str = "", dry_run: bool = False
+    spark: SparkSession, root: str, database: str, location: str | None = None, dry_run: bool = False
 ) -> DataFrame:
     """Make the catalog follow the dataset folders under ``root`` and return what was (to be) done.
 
     create: folder without a table. update: new columns are added to the table. keep: nothing to do.
     flag: the folder of a table registered from this root is gone; the table is marked, never dropped.
-    No folder at all is an error.
+    No folder at all is an error. The database is created when absent, at ``location`` if given.
     """
     folders = dataset_folders(spark, root)
     if not folders:
@@ -42,7 +42,8 @@ def register_tables(
     db = f"`{database}`"
     have_db = spark.catalog.databaseExists(database)
     if not have_db and not dry_run:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} COMMENT '{comment}'")
+        where = f"LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} {where}")
     existing = {t.name for t in spark.catalog.listTables(database)} if have_db else set()
 
     plan = []
@@ -81,9 +82,7 @@ def register_tables(
 
 
 def _recover_partitions(spark: SparkSession, table: str) -> None:
-    """Only a catalog that keeps its own list of partitions has to be told of new ones; other catalogs
-    list the folder when they read."""
-    hive = spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
-    detail = {r["col_name"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    if hive and "# Partition Information" in detail:
+    """The catalog keeps its own list of a table's partitions and has to be told of new folders."""
+    detail = {r["col_name"] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()}
+    if "# Partition Information" in detail:
         spark.catalog.recoverPartitions(table)
