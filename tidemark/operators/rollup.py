@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,34 +93,34 @@ def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns).dropDuplicates()
 
 
-def pivot_distinct_rows(
-    df: DataFrame, by: Sequence[str], pivot: PivotRows, reserved: Sequence[str] = ()
-) -> DataFrame:
-    """Count the distinct rows of ``by + pivot.columns`` per category; a NULL member is a row too."""
-    values = categories(df, pivot.category) if pivot.values is None else list(pivot.values)
-    unique = distinct_rows(df, [*by, *pivot.columns])
-    if not values:
-        return distinct_rows(unique, by)
-    cells = []
-    for value, name in zip(values, pivot_names(pivot.prefix, values, [*by, *reserved])):
-        hit = F.col(pivot.category).eqNullSafe(F.lit(value))
-        cells.append(F.nullif(F.count(F.when(hit, F.lit(1))), F.lit(0)).alias(name))
-    return unique.groupBy(*by).agg(*cells)
-
-
 def rollup_with_row_pivot(
     df: DataFrame, by: Sequence[str], distincts: Sequence[DistinctCount], pivot: PivotRows
 ) -> DataFrame:
-    """Distinct counts joined with a distinct-row pivot, one row per period.
+    """Distinct counts beside a count of distinct rows per category, where a NULL member is a row too.
 
-    The facts are first collapsed to the distinct combinations both halves need. That aggregate has the
-    same exchange in both, so Spark reuses it and reads the source once.
+    One pass and no join: each fact is tagged once per count and once for the pivot, whatever the number
+    of categories; the tagged members are made distinct (with a map-side combine, and spread by member,
+    so a hot period is spread too) and then counted per period.
     """
-    if pivot.values is None:
-        pivot = replace(pivot, values=tuple(categories(df, pivot.category)))
-    flags = {f"_where_{i}": F.expr(d.where) for i, d in enumerate(distincts) if d.where}
-    members = dict.fromkeys([*by, *pivot.columns, *(d.column for d in distincts), *flags])
-    collapsed = distinct_rows(df.withColumns(flags) if flags else df, list(members))
-    counts = [replace(d, where=f"_where_{i}" if d.where else None) for i, d in enumerate(distincts)]
-    cells = pivot_distinct_rows(collapsed, by, pivot, reserved=[d.alias for d in distincts])
-    return rollup(collapsed, by, distincts=counts).join(cells, list(by), "left")
+    values = categories(df, pivot.category) if pivot.values is None else list(pivot.values)
+    names = pivot_names(pivot.prefix, values, [*by, *(d.alias for d in distincts)])
+    category_type = df.schema[pivot.category].dataType
+    others = [c for c in pivot.columns if c != pivot.category]
+
+    def tag(number: int, category: Column, member: Column) -> Column:
+        return F.struct(F.lit(number).alias("_tag"), category.alias("_category"), member.alias("_member"))
+
+    no_category = F.lit(None).cast(category_type)
+    tags = [tag(i, no_category, F.array(d.counted().cast("string"))) for i, d in enumerate(distincts)]
+    rows = len(tags)
+    tags.append(tag(rows, F.col(pivot.category), F.array(*[F.col(c).cast("string") for c in others])))
+    members = (
+        df.select(*by, F.inline(F.array(*tags)))
+        .where((F.col("_tag") == rows) | F.get("_member", F.lit(0)).isNotNull())
+        .distinct()
+    )
+    counts = [F.count_if(F.col("_tag") == i).alias(d.alias) for i, d in enumerate(distincts)]
+    for value, name in zip(values, names):
+        hit = (F.col("_tag") == rows) & F.col("_category").eqNullSafe(F.lit(value))
+        counts.append(F.nullif(F.count_if(hit), F.lit(0)).alias(name))
+    return members.groupBy(*by).agg(*counts)

@@ -28,8 +28,13 @@ def hourly_totals(spark, sf_dir, by=("event_ts",)):
 
 def hourly_series(spark, sf_dir):
     """Hourly totals on a dense spine. The spine reads one column of the raw rows."""
-    spine = dense_spine(hourly_events(spark, sf_dir).select("event_ts"))
-    return left_fold(spine, [hourly_totals(spark, sf_dir)], ["event_ts"])
+    return on_spine(hourly_totals(spark, sf_dir), bounds_of=hourly_events(spark, sf_dir).select("event_ts"))
+
+
+def hourly_series_by_type(spark, sf_dir):
+    keys = ["event_type", "event_ts"]
+    raw = hourly_events(spark, sf_dir).select(*keys)
+    return on_spine(hourly_totals(spark, sf_dir, keys), series_keys=["event_type"], bounds_of=raw)
 
 
 @query("hourly_spine", f"with {HOURLY_SQL} select event_ts from sp")
@@ -48,7 +53,7 @@ SERIES_SQL = """
 
 @query("gap_fill_by_series", f"with {SERIES_SQL} select * from g")
 def _(spark, sf_dir):
-    return on_spine(hourly_totals(spark, sf_dir, ["event_type", "event_ts"]), series_keys=["event_type"])
+    return hourly_series_by_type(spark, sf_dir)
 
 
 @query(
@@ -182,7 +187,7 @@ def _(spark, sf_dir):
     """,
 )
 def _(spark, sf_dir):
-    dense = on_spine(hourly_totals(spark, sf_dir, ["event_type", "event_ts"]), series_keys=["event_type"])
+    dense = hourly_series_by_type(spark, sf_dir)
     return _rounded(lag_columns(dense.drop("users"), [_LAGS[1], _LEAD, _MEANS[0]], series_keys=["event_type"]))
 
 
