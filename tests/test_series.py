@@ -1,0 +1,153 @@
+import datetime as dt
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.functions.time import calendar_fields, hour_floor, hour_index, to_day, to_wall_clock, wall_micros
+from tidemark.operators.combine import attach_daily, left_fold
+from tidemark.operators.lags import Rolling, Shift, lag_columns
+from tidemark.operators.spine import dense_spine, on_spine
+
+START = dt.datetime(2024, 1, 1)
+
+
+def hours(n):
+    return [START + dt.timedelta(hours=i) for i in range(n)]
+
+
+def series(spark, values, start=START):
+    rows = [(start + dt.timedelta(hours=i), v) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "event_ts timestamp_ntz, v double")
+
+
+def test_s22_bad_times_are_null(spark):
+    rows = [("2024-01-01 05:30:00",), ("x",), ("",), (None,), ("2024-01-01T00:00:00-05:00",), ("2024-01-02",)]
+    got = spark.createDataFrame(rows, "s string").select(to_wall_clock("s"), to_day("s")).collect()
+    assert [r[0] for r in got] == [
+        dt.datetime(2024, 1, 1, 5, 30), None, None, None, dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2),
+    ]
+    assert [r[1] for r in got] == [dt.date(2024, 1, 1), None, None, None, dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+
+
+def test_wall_clock_arithmetic_ignores_the_session_zone(spark):
+    ts = [dt.datetime(2024, 3, 10, 2, 30, 15, 250), dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    epoch = dt.datetime(1970, 1, 1)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select(wall_micros("t"), hour_index("t"), hour_floor("t"), to_wall_clock("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for t, (micros, hour, floor, same) in zip(ts, got):
+        assert micros == (t - epoch) // dt.timedelta(microseconds=1)
+        assert hour == (t - epoch) // dt.timedelta(hours=1)
+        assert floor == t.replace(minute=0, second=0, microsecond=0) and same == t
+
+
+def test_s15_calendar(spark):
+    days = [dt.datetime(2024, 1, 1, 7), dt.datetime(2023, 12, 31), dt.datetime(2024, 2, 29, 23), dt.datetime(2021, 1, 3)]
+    df = spark.createDataFrame([(d,) for d in days], "event_ts timestamp_ntz")
+    for d, r in zip(days, df.select("*", *[c.alias(n) for n, c in calendar_fields().items()]).collect()):
+        sunday_first = d.isoweekday() % 7 + 1
+        assert (r.event_date, r.event_hour, r.day_of_week) == (d.date(), d.hour, sunday_first)
+        assert (r.day_of_month, r.month_of_year) == (d.day, d.month)
+        assert (r.day_of_year, r.week_of_year) == (d.timetuple().tm_yday, d.isocalendar().week)
+        assert r.is_weekend == int(d.weekday() >= 5)
+        assert r.is_month_start == int(d.day == 1)
+        assert r.is_month_end == int((d + dt.timedelta(days=1)).day == 1)
+
+
+def test_spine_has_every_hour_and_nothing_else(spark):
+    df = series(spark, [1.0] * 3000).where(F.hour("event_ts") != 5)
+    got = [r[0] for r in dense_spine(df).orderBy("event_ts").collect()]
+    assert got == hours(3000)
+
+
+def test_s10_off_grid_times_never_match(spark):
+    rows = [(START, 1.0), (START + dt.timedelta(hours=1, minutes=30), 2.0), (START + dt.timedelta(hours=2), 3.0)]
+    df = spark.createDataFrame(rows, "event_ts timestamp_ntz, v double")
+    assert [r.v for r in on_spine(df).orderBy("event_ts").collect()] == [1.0, None, 3.0]
+
+
+def test_s23_no_rows_in_no_rows_out(spark):
+    empty = spark.createDataFrame([], "event_ts timestamp_ntz, k string, v double")
+    assert dense_spine(empty).count() == 0
+    assert on_spine(empty, series_keys=["k"]).count() == 0
+    nulls = spark.createDataFrame([(None, "a", 1.0)], empty.schema)
+    assert dense_spine(nulls).count() == 0
+
+
+def test_spine_per_series_and_other_steps(spark):
+    rows = [("a", START), ("a", START + dt.timedelta(minutes=45)), ("b", START)]
+    df = spark.createDataFrame(rows, "k string, event_ts timestamp_ntz")
+    got = dense_spine(df, step="15 minutes", series_keys=["k"]).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in got} == {"a": 4, "b": 1}
+
+
+def test_left_fold_keeps_spine_rows(spark):
+    spine = series(spark, [0.0] * 4).select("event_ts")
+    a = series(spark, [1.0, 2.0]).withColumnRenamed("v", "a")
+    b = series(spark, [7.0], START + dt.timedelta(hours=9)).withColumnRenamed("v", "b")
+    got = left_fold(spine, [a, b], ["event_ts"]).orderBy("event_ts").collect()
+    assert [(r.a, r.b) for r in got] == [(1.0, None), (2.0, None), (None, None), (None, None)]
+
+
+@pytest.mark.parametrize("lag_days", [0, 1])
+def test_s11_each_hour_gets_its_day(spark, lag_days):
+    hourly = series(spark, [0.0] * 48)
+    daily = spark.createDataFrame([(START.date(), 5.0), ((START + dt.timedelta(days=1)).date(), 6.0)], "event_date date, d double")
+    out = attach_daily(hourly, [daily], lag_days=lag_days)
+    assert out.columns == ["event_ts", "v", "d"]
+    want = [5.0] * 24 + [6.0] * 24 if not lag_days else [None] * 24 + [5.0] * 24
+    assert [r.d for r in out.orderBy("event_ts").collect()] == want
+
+
+FEATURES = [
+    Shift("v", -6, "label"),
+    Shift("v", 1, "lag_1h"),
+    Shift("v", 168, "lag_168h"),
+    Rolling("v", "mean", 24, "mean_24h"),
+    Rolling("v", "stddev", 24, "sd_24h"),
+    Rolling("v", "mean", 168, "mean_168h"),
+]
+
+
+def test_s12_s13_windows_against_brute_force(spark):
+    rnd = random.Random(7)
+    v = [None if rnd.random() < 0.2 else round(rnd.uniform(0, 9), 3) for _ in range(400)]
+    rows = lag_columns(series(spark, v), FEATURES, block_hours=100).orderBy("event_ts").collect()
+    assert len(rows) == len(v)
+    for i, r in enumerate(rows):
+        assert r.label == (v[i + 6] if i + 6 < len(v) else None)
+        assert r.lag_1h == (v[i - 1] if i else None)
+        assert r.lag_168h == (v[i - 168] if i >= 168 else None)
+        day = [x for x in v[max(0, i - 24) : i] if x is not None]
+        week = [x for x in v[max(0, i - 168) : i] if x is not None]
+        assert r.mean_24h == (pytest.approx(sum(day) / len(day)) if day else None)
+        assert r.mean_168h == (pytest.approx(sum(week) / len(week)) if week else None)
+        if len(day) < 2:
+            assert r.sd_24h is None
+        else:
+            m = sum(day) / len(day)
+            assert r.sd_24h == pytest.approx((sum((x - m) ** 2 for x in day) / (len(day) - 1)) ** 0.5)
+
+
+@settings(max_examples=8, deadline=None)
+@given(block=st.integers(1, 700), n=st.integers(1, 500), start=st.integers(-5000, 5000))
+def test_blocks_equal_the_plain_window(spark, block, n, start):
+    df = series(spark, [float(i % 17) for i in range(n)], START + dt.timedelta(hours=start)).withColumn("k", F.lit("a"))
+    df = df.unionByName(df.withColumns({"k": F.lit("b"), "v": F.col("v") * 2}))
+    blocks = lag_columns(df, FEATURES, series_keys=["k"], block_hours=block)
+    plain = lag_columns(df, FEATURES, series_keys=["k"], block_hours=None)
+    assert blocks.count() == 2 * n
+    assert blocks.exceptAll(plain).isEmpty()
+
+
+def test_blocks_are_windowed_in_parallel(spark):
+    out = lag_columns(dense_spine(series(spark, [1.0] * 10)).withColumn("v", F.lit(1.0)), FEATURES)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_block" in plan

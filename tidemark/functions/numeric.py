@@ -18,11 +18,11 @@ def round_even(column: Column, digits: int) -> Column:
     return F.rint(column * factor) / factor
 
 
-def sum_of(column: str | Column, exact: str | None = None) -> Column:
-    """Sum as double. With ``exact`` (e.g. ``decimal(18,2)``) the adding itself is exact, so the result
-    does not depend on how rows are spread over tasks. A value that is not a number counts as NULL."""
+def measure(column: str | Column, exact: str | None = None) -> Column:
+    """A summand: double, or with ``exact`` (e.g. ``decimal(18,2)``) a decimal, whose sums do not depend
+    on how rows are spread over tasks. A value that is not a number becomes NULL."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.sum(c.try_cast(exact or "double")).cast("double")
+    return c.try_cast(exact or "double")
 
 
 def version_rank(column: str | Column, priority: tuple[str, ...]) -> Column:

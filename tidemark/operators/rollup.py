@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.naming import pivot_names
-from tidemark.functions.numeric import sum_of
+from tidemark.functions.numeric import measure
 
 
 @dataclass(frozen=True)
@@ -78,15 +78,20 @@ def rollup(
     nothing is joined back. Every part has a map-side combine; a hot period shrinks to its distinct
     members before it moves. A cell without rows is NULL, not 0.
     """
-    taken = [*by, *(t.alias for t in totals), *(d.alias for d in distincts)]
-    aggregates = [sum_of(t.column, exact).alias(t.alias) for t in totals]
+    # Each measure is converted once per row, however many cells add it up.
+    columns = dict.fromkeys([t.column for t in totals] + ([pivot.column] if pivot else []))
+    names = {c: f"_measure_{i}" for i, c in enumerate(columns)}
+    facts = df.withColumns({n: measure(c, exact) for c, n in names.items()}) if names else df
+
+    aggregates = [F.sum(names[t.column]).cast("double").alias(t.alias) for t in totals]
     aggregates += [F.count_distinct(d.counted()).alias(d.alias) for d in distincts]
     if pivot:
         values = categories(df, pivot.category) if pivot.values is None else list(pivot.values)
+        taken = [*by, *(t.alias for t in totals), *(d.alias for d in distincts)]
         for value, name in zip(values, pivot_names(pivot.prefix, values, taken)):
-            cell = F.when(F.col(pivot.category).eqNullSafe(F.lit(value)), F.col(pivot.column))
-            aggregates.append(sum_of(cell, exact).alias(name))
-    return df.groupBy(*by).agg(*aggregates)
+            mine = F.col(pivot.category).eqNullSafe(F.lit(value))
+            aggregates.append(F.sum(F.when(mine, F.col(names[pivot.column]))).cast("double").alias(name))
+    return facts.groupBy(*by).agg(*aggregates)
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
