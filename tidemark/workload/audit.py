@@ -13,7 +13,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.ordering import latest_rows, row_position
 from tidemark.plans.audit import AuditParams, audit_report, model_comparison, prepare
 from tidemark.sources.tables import write_report
-from tidemark.workload.gold import ROUNDED, gold, gold_ctes, rounded
+from tidemark.workload.gold import ROUNDED_SQL, gold, gold_ctes, rounded
 from tidemark.workload.registry import query, scratch, table
 
 LABEL = "label_target_demanda_real_h_plus_24"
@@ -160,17 +160,14 @@ def two_label_gold(spark, sf_dir):
     )
 
 
-_GOLD_ROUNDED = ", ".join(f"round({c}, 6) as {c}" for c in ROUNDED)
-
-
-@query("drop_other_labels", f"with {gold_ctes()} select * replace ({_GOLD_ROUNDED}) from gold")
+@query("drop_other_labels", f"with {gold_ctes()} select * replace ({ROUNDED_SQL}) from gold")
 def _(spark, sf_dir):
     return rounded(drop_other_labels(two_label_gold(spark, sf_dir), LABEL))
 
 
 @query(
     "feature_columns",
-    f"with {gold_ctes()} select * exclude (event_ts, event_date, {LABEL}) replace ({_GOLD_ROUNDED}) from gold",
+    f"with {gold_ctes()} select * exclude (event_ts, event_date, {LABEL}) replace ({ROUNDED_SQL}) from gold",
 )
 def _(spark, sf_dir):
     features = two_label_gold(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.time import hour_floor
 from tidemark.plans.gold import electricity_demand, gold_features
 from tidemark.workload.facts import CENTS, EVENT_TYPES
-from tidemark.workload.registry import query, table
+from tidemark.workload.registry import query, single, table
 
 
 def demo_spec(horizon_hours: int = 24, **overrides):
@@ -86,7 +86,7 @@ def _cells(measure, prefix):
 
 
 def gold_ctes(horizon_hours: int = 24, drop_incomplete: bool = True) -> str:
-    """CTEs ending in ``gold``, with rolling statistics and shares not yet rounded."""
+    """CTEs ending in ``gold``, with rolling statistics and shares in full precision."""
     t = "target_demanda_real"
     label = f"label_{t}_h_plus_{horizon_hours}"
     units = ", ".join(f"nullif(count(*) filter (where event_type = '{x}'), 0) as unidades_tipo_{x}" for x in EVENT_TYPES)
@@ -166,13 +166,15 @@ ROUNDED = (
 )
 
 
+ROUNDED_SQL = ", ".join(f"{c}::float::double as {c}" for c in ROUNDED)
+
+
 def rounded(df):
-    return df.withColumns({c: F.round(c, 6) for c in ROUNDED})
+    return single(df, ROUNDED)
 
 
-def rounded_sql(ctes: str, exclude: str = "") -> str:
-    replaced = ", ".join(f"round({c}, 6) as {c}" for c in ROUNDED)
-    return f"with {ctes} select * {exclude} replace ({replaced}) from gold"
+def rounded_sql(ctes: str) -> str:
+    return f"with {ctes} select * replace ({ROUNDED_SQL}) from gold"
 
 
 @query("gold_features", rounded_sql(gold_ctes()))

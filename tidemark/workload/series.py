@@ -10,7 +10,7 @@ from tidemark.operators.lags import Rolling, Shift, lag_columns
 from tidemark.operators.rollup import DistinctCount, PivotTotal, Total, rollup
 from tidemark.operators.spine import dense_spine, on_spine
 from tidemark.workload.facts import CENTS, EVENT_TYPES, hourly_events
-from tidemark.workload.registry import query, table
+from tidemark.workload.registry import query, single, table
 
 HOURLY_SQL = """
     e as (select date_trunc('hour', ts) as event_ts, sum(value::decimal(18,2))::double as v,
@@ -132,7 +132,7 @@ _STATS = [f.alias for f in (*_MEANS, _STDDEV)]
 
 def _rolling_sql(function, hours, alias, partition=""):
     frame = f"{partition} order by event_ts rows between {hours} preceding and 1 preceding"
-    return f"round({function}(v) over ({frame}), 6) as {alias}"
+    return f"({function}(v) over ({frame}))::float::double as {alias}"
 
 
 _MEANS_SQL = ", ".join(_rolling_sql("avg", n, f"v_rolling_mean_{n}h") for n in (24, 168))
@@ -140,7 +140,7 @@ _STDDEV_SQL = _rolling_sql("stddev_samp", 24, "v_rolling_stddev_24h")
 
 
 def _rounded(df):
-    return df.withColumns({c: F.round(c, 6) for c in _STATS if c in df.columns})
+    return single(df, _STATS)
 
 
 @query("lead_label", f"with {HOURLY_SQL} select event_ts, v, lead(v, 24) over (order by event_ts) as label_v_h_plus_24 from g")
