@@ -5,7 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordering
-from tidemark.operators.ordering import keys_at, latest_rows, neighbour_gaps, row_position, sorts_before
+from tidemark.operators.ordering import (
+    Boundary,
+    boundaries,
+    keys_at,
+    latest_rows,
+    neighbour_gaps,
+    row_position,
+    sorts_before,
+)
 
 
 @pytest.fixture(scope="module")
@@ -28,17 +36,31 @@ def test_positions_are_the_sorted_order(crowded, blocks):
 
 def test_keys_at_positions(crowded):
     df, rows = crowded
-    keys, straddles = keys_at(df, ["t", "id"], lambda n: [0, n // 2, n - 1, n, -1])
-    assert [None if k is None else (k.t, k.id) for k in keys] == [rows[0], rows[1500], rows[-1], None, None]
-    assert not straddles
-    assert keys_at(df, ["t"], lambda n: [n // 2])[1]
+    found = keys_at(df, ["t", "id"], lambda n: [0, n // 2, n - 1, n, -1])
+    assert [None if b is None else tuple(b.key) for b in found] == [rows[0], rows[1500], rows[-1], None, None]
+    assert [b.inside for b in found[:3]] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_keys_at_counts_rows_of_the_key_before_the_position(crowded, blocks):
+    df, rows = crowded
+    places = list(range(0, 3000, 250))
+    for p, b in zip(places, keys_at(df, ["t"], lambda n: places, blocks)):
+        t = rows[p][0]
+        assert (b.key.t, b.inside) == (t, p - [r[0] for r in rows].index(t))
+
+
+def test_boundaries_refine_only_the_tied_rows(crowded):
+    df, rows = crowded
+    for p, b in zip((10, 1500), boundaries(df, ["t"], lambda n: [10, 1500])):
+        assert df.where(sorts_before(df, b)).count() == p
 
 
 def test_sorts_before_with_null_tie_break(spark):
     rows = [(1, None), (1, "a"), (1, "b"), (2, None)]
     df = spark.createDataFrame(rows, "a int, b string")
     for i, key in enumerate(df.collect()):
-        assert df.where(sorts_before(df, ["a", "b"], key)).count() == i
+        assert df.where(sorts_before(df, Boundary(("a", "b"), key, 0))).count() == i
 
 
 def test_latest_rows_small_and_large(crowded, monkeypatch):
@@ -55,7 +77,7 @@ def test_latest_rows_small_and_large(crowded, monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "t timestamp_ntz, id long")
     assert row_position(df, ["t"]).count() == 0
-    assert keys_at(df, ["t"], lambda n: [0]) == ([None], False)
+    assert keys_at(df, ["t"], lambda n: [0]) == [None]
     assert neighbour_gaps(df, "id").count() == 0
 
 
@@ -72,6 +94,7 @@ def test_gaps_against_brute_force(spark, blocks):
 
 
 def test_blocks_split_a_crowded_stretch(spark):
-    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"), "id")
-    sizes = [r["count"] for r in ordering.ordered_blocks(df, ["t", "id"], 8).groupBy("_block").count().collect()]
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"))
+    blocked = ordering.ordered_blocks(df, ["t"], 8, salt=True)
+    sizes = [r["count"] for r in blocked.groupBy("_block").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8

@@ -1,15 +1,18 @@
 """Row positions and neighbours over a total order, without sorting the table in one task.
 
 Rows are range-partitioned by the order columns (Spark samples the bounds, so a crowded stretch of time
-gets more partitions) and pinned, because the bounds must not be drawn again between passes. Equal keys
-share a block. What has to cross blocks is one small row per block.
+gets more partitions) and pinned, because the bounds must not be drawn again between passes. What has to
+cross blocks is one small row per block.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,24 +25,30 @@ from tidemark.session import pin
 TOP_N_LIMIT = 10_000
 
 
-def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
-    """``df`` with ``_block``: all rows of block i sort before all rows of block i+1. Runs a job."""
+def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, salt: bool = False) -> DataFrame:
+    """``df`` with ``_block``: all rows of block i sort before all rows of block i+1. Runs a job.
+
+    Equal keys share a block, so ``df`` should hold each key once or few times; ``salt`` lets blocks cut
+    through rows with equal keys instead.
+    """
     n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c).asc() for c in order])
+    keys = [F.col(c).asc() for c in order]
+    ranged = df.repartitionByRange(n, *keys, *([F.rand(7).asc()] if salt else []))
     return pin(ranged.withColumn("_block", F.spark_partition_id()))
 
 
-def block_starts(blocked: DataFrame) -> tuple[list[int], int]:
+def block_starts(blocked: DataFrame, size: Column | None = None) -> tuple[list[int], int]:
     """Rows before each block, and rows in all. Fetches one number per block."""
-    sizes = {r["_block"]: r["count"] for r in blocked.groupBy("_block").count().collect()}
-    counts = [sizes.get(b, 0) for b in range(max(sizes, default=-1) + 1)]
-    starts = [0, *accumulate(counts)]
+    sized = blocked.groupBy("_block").agg((F.count(F.lit(1)) if size is None else size).alias("_size"))
+    sizes = {r["_block"]: r["_size"] for r in sized.collect()}
+    starts = [0, *accumulate(sizes.get(b, 0) for b in range(max(sizes, default=-1) + 1))]
     return starts[:-1], starts[-1]
 
 
 def row_position(df: DataFrame, order: Sequence[str], alias: str = "position", blocks: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2, … in ``order``: position within the block plus the rows before it."""
-    blocked = ordered_blocks(df, order, blocks)
+    """Number the rows 0, 1, 2, … in ``order``: position within the block plus the rows before it. Rows
+    equal on ``order`` get consecutive numbers in no particular order."""
+    blocked = ordered_blocks(df, order, blocks, salt=True)
     starts, _ = block_starts(blocked)
     if not starts:
         return blocked.withColumn(alias, F.lit(0).cast("long")).drop("_block")
@@ -48,42 +57,62 @@ def row_position(df: DataFrame, order: Sequence[str], alias: str = "position", b
     return blocked.withColumn(alias, start + within - F.lit(1)).drop("_block")
 
 
+@dataclass(frozen=True)
+class Boundary:
+    """The key at a row position, and how many rows with that same key lie before the position."""
+
+    order: tuple[str, ...]
+    key: Row
+    inside: int
+
+
 def keys_at(
     df: DataFrame,
     order: Sequence[str],
     positions_of: Callable[[int], Sequence[int]],
     blocks: int | None = None,
-) -> tuple[list[Row | None], bool]:
-    """The order keys at the 0-based positions ``positions_of(row count)``, and whether any of those keys
-    also has rows before its position. A position outside the table gives None.
+) -> list[Boundary | None]:
+    """The keys at the 0-based positions ``positions_of(row count)``; None for one outside the table.
 
-    Exact, and only the order columns are shuffled and pinned.
+    Exact. Rows are first counted per key, so only distinct keys are ranged and pinned and a key shared
+    by a third of all rows is one row.
     """
-    blocked = ordered_blocks(df.select(*order), order, blocks)
-    starts, total = block_starts(blocked)
+    counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows"))
+    blocked = ordered_blocks(counts, order, blocks)
+    starts, total = block_starts(blocked, F.sum("_rows"))
     positions = list(positions_of(total))
-    places = []
-    for p in positions:
-        inside = 0 <= p < total
-        block = bisect_right(starts, p) - 1 if inside else None
-        places.append((block, p - starts[block] + 1) if inside else None)
+    places = [(bisect_right(starts, p) - 1, p) if 0 <= p < total else None for p in positions]
     wanted = [p for p in places if p]
     if not wanted:
-        return [None] * len(positions), False
-
-    in_block = Window.partitionBy("_block").orderBy(*order)
-    place = F.struct(F.col("_block").alias("b"), F.col("_nth").alias("n"))
-    hits = [F.struct(F.lit(b).alias("b"), F.lit(n).alias("n")) for b, n in wanted]
-    found = (
-        blocked.where(F.col("_block").isin([b for b, _ in wanted]))
-        .withColumns({"_nth": F.row_number().over(in_block), "_rank": F.rank().over(in_block)})
-        .where(place.isin(hits))
-        .collect()
-    )
-    by_place = {(r["_block"], r["_nth"]): r for r in found}
-    rows = [by_place.get(p) for p in places]
-    straddles = any(r is not None and r["_nth"] != r["_rank"] for r in rows)
-    return [None if r is None else Row(**{c: r[c] for c in order}) for r in rows], straddles
+        return [None] * len(positions)
+
+    upto = F.sum("_rows").over(Window.partitionBy("_block").orderBy(*order))
+    hit = F.lit(False)
+    for block, p in wanted:
+        nth = p - starts[block]
+        hit = hit | ((F.col("_block") == block) & (F.col("_upto") > nth) & (F.col("_upto") - F.col("_rows") <= nth))
+    found = blocked.where(F.col("_block").isin([b for b, _ in wanted])).withColumn("_upto", upto).where(hit).collect()
+
+    def boundary(place) -> Boundary | None:
+        if place is None:
+            return None
+        block, p = place
+        nth = p - starts[block]
+        row = next(r for r in found if r["_block"] == block and r["_upto"] - r["_rows"] <= nth < r["_upto"])
+        return Boundary(tuple(order), Row(**{c: row[c] for c in order}), nth - (row["_upto"] - row["_rows"]))
+
+    return [boundary(p) for p in places]
+
+
+def refined(df: DataFrame, found: Boundary | None) -> Boundary | None:
+    """Where rows with the boundary's key lie on both sides of it, rank just those rows by the remaining
+    columns. Only rows equal in every comparable column then stay together."""
+    if found is None or not found.inside or not (more := tie_columns(df, found.order)):
+        return found
+    tied = df.where(_equals(df, found.order, found.key)).select(*more)
+    [tie] = keys_at(tied, more, lambda _: [found.inside])
+    key = Row(**found.key.asDict(), **tie.key.asDict())
+    return Boundary((*found.order, *more), key, tie.inside)
 
 
 def _bound(value, data_type: T.DataType) -> Column:
@@ -92,17 +121,23 @@ def _bound(value, data_type: T.DataType) -> Column:
     return F.lit(plain).cast(data_type)
 
 
-def sorts_before(df: DataFrame, order: Sequence[str], key: Row) -> Column:
-    """True for rows whose order columns come strictly before ``key``. The first column must not be
-    NULL; in the others NULL comes first."""
+def _literals(df: DataFrame, columns: Sequence[str], key: Row) -> list[Column]:
     types = {f.name: f.dataType for f in df.schema}
-    first, rest = order[0], list(order[1:])
-    bound = _bound(key[first], types[first])
+    return [(F.lit(None) if key[c] is None else _bound(key[c], types[c])).cast(types[c]).alias(c) for c in columns]
+
+
+def _equals(df: DataFrame, columns: Sequence[str], key: Row) -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(v) for c, v in zip(columns, _literals(df, columns, key))))
+
+
+def sorts_before(df: DataFrame, found: Boundary) -> Column:
+    """True for rows whose order columns come strictly before the boundary's key. The first column must
+    not be NULL; in the others NULL comes first."""
+    first, rest = found.order[0], found.order[1:]
+    [bound] = _literals(df, [first], found.key)
     if not rest:
         return F.col(first) < bound
-    theirs = F.struct(*[
-        F.lit(None).cast(types[c]).alias(c) if key[c] is None else _bound(key[c], types[c]).alias(c) for c in rest
-    ])
+    theirs = F.struct(*_literals(df, rest, found.key))
     return (F.col(first) < bound) | ((F.col(first) == bound) & (F.struct(*rest) < theirs))
 
 
@@ -114,16 +149,9 @@ def tie_columns(df: DataFrame, order: Sequence[str]) -> list[str]:
 
 def boundaries(
     df: DataFrame, order: Sequence[str], positions_of: Callable[[int], Sequence[int]]
-) -> tuple[list[str], list[Row | None]]:
-    """``keys_at``, with the order it is exact for: if rows equal on ``order`` lie on both sides of a
-    position, the other columns join the order, so that only rows equal in every column can stay
-    together."""
-    order = list(order)
-    keys, straddles = keys_at(df, order, positions_of)
-    if straddles and (more := tie_columns(df, order)):
-        order += more
-        keys, _ = keys_at(df, order, positions_of)
-    return order, keys
+) -> list[Boundary | None]:
+    """``keys_at``, refined where equal keys lie on both sides of a position."""
+    return [refined(df, b) for b in keys_at(df, order, positions_of)]
 
 
 def latest_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -131,8 +159,8 @@ def latest_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     at that position, so no task ever holds ``n`` rows."""
     if n <= TOP_N_LIMIT:
         return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
-    order, [key] = boundaries(df, order, lambda rows: [rows - n])
-    return df if key is None else df.where(~sorts_before(df, order, key))
+    [first] = boundaries(df, order, lambda rows: [rows - n])
+    return df if first is None else df.where(~sorts_before(df, first))
 
 
 def neighbour_gaps(df: DataFrame, value: str, blocks: int | None = None) -> DataFrame:

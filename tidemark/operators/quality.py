@@ -100,11 +100,11 @@ def temporal_split(
     def cuts(rows: int) -> list[int]:
         return [math.floor(rows * (1 - validation - test)), math.floor(rows * (1 - test))]
 
-    order, keys = boundaries(df, order, cuts)
+    found = boundaries(df, order, cuts)
     # A cut always lies inside a table that has rows, because both shares are above 0.
-    if None in keys:
+    if None in found:
         return df.withColumn(alias, F.lit(SPLITS[0]))
-    first, second = (sorts_before(df, order, k) for k in keys)
+    first, second = (sorts_before(df, b) for b in found)
     return df.withColumn(alias, F.when(first, SPLITS[0]).when(second, SPLITS[1]).otherwise(SPLITS[2]))
 
 
