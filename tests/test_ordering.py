@@ -95,6 +95,8 @@ def test_gaps_against_brute_force(spark, blocks):
 
 def test_blocks_split_a_crowded_stretch(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"))
-    blocked = ordering.ordered_blocks(df, ["t"], 8, salt=True)
-    sizes = [r["count"] for r in blocked.groupBy("_block").count().collect()]
+    out = row_position(df, ["t"], blocks=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    assert [r.t for r in out.orderBy("position").collect()] == sorted(r.t for r in df.collect())
+    assert out.select("position").distinct().count() == 20_000

@@ -25,16 +25,24 @@ from tidemark.session import pin
 TOP_N_LIMIT = 10_000
 
 
-def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, salt: bool = False) -> DataFrame:
+def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` with ``_block``: all rows of block i sort before all rows of block i+1. Runs a job.
 
-    Equal keys share a block, so ``df`` should hold each key once or few times; ``salt`` lets blocks cut
-    through rows with equal keys instead.
+    Equal keys share a block, so ``df`` should hold each key once.
     """
+    return pin(_ranged(df, [F.col(c).asc() for c in order], blocks).withColumn("_block", F.spark_partition_id()))
+
+
+def _ranged(df: DataFrame, keys: Sequence[Column], blocks: int | None) -> DataFrame:
     n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc() for c in order]
-    ranged = df.repartitionByRange(n, *keys, *([F.rand(7).asc()] if salt else []))
-    return pin(ranged.withColumn("_block", F.spark_partition_id()))
+    return df.repartitionByRange(n, *keys)
+
+
+def with_block_value(blocked: DataFrame, values: Sequence[int | None], alias: str) -> DataFrame:
+    """Add one number per block. The broadcast side has one row per block, so its size is the number of
+    shuffle partitions and not that of the data."""
+    small = blocked.sparkSession.createDataFrame(list(enumerate(values)), f"_block int, {alias} long")
+    return blocked.join(F.broadcast(small), "_block", "left")
 
 
 def block_starts(blocked: DataFrame, size: Column | None = None) -> tuple[list[int], int]:
@@ -47,14 +55,19 @@ def block_starts(blocked: DataFrame, size: Column | None = None) -> tuple[list[i
 
 def row_position(df: DataFrame, order: Sequence[str], alias: str = "position", blocks: int | None = None) -> DataFrame:
     """Number the rows 0, 1, 2, … in ``order``: position within the block plus the rows before it. Rows
-    equal on ``order`` get consecutive numbers in no particular order."""
-    blocked = ordered_blocks(df, order, blocks, salt=True)
+    equal on ``order`` get consecutive numbers in no particular order.
+
+    Blocks are sorted before they are pinned, so a row's position within its block is its place in the
+    pinned partition and the table is shuffled once. The random last key lets blocks cut through rows
+    that are equal on ``order``.
+    """
+    ranged = _ranged(df, [*(F.col(c).asc() for c in order), F.rand(7).asc()], blocks)
+    blocked = pin(ranged.sortWithinPartitions(*order).withColumn("_block", F.spark_partition_id()))
     starts, _ = block_starts(blocked)
-    if not starts:
-        return blocked.withColumn(alias, F.lit(0).cast("long")).drop("_block")
-    within = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
-    start = F.get(F.lit(starts), F.col("_block")).cast("long")
-    return blocked.withColumn(alias, start + within - F.lit(1)).drop("_block")
+    # The id holds the partition above bit 33 and the place in it below.
+    placed = blocked.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    numbered = with_block_value(placed, starts, "_start")
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_place")).alias(alias))
 
 
 @dataclass(frozen=True)
@@ -173,10 +186,9 @@ def neighbour_gaps(df: DataFrame, value: str, blocks: int | None = None) -> Data
     for block in range(max(lasts, default=-1) + 1):
         edges.append(before)
         before = lasts.get(block, before)
-    previous = F.lag(value).over(Window.partitionBy("_block").orderBy(value))
-    if any(e is not None for e in edges):
-        edge = F.array(*[F.lit(e).cast("long") for e in edges])
-        previous = F.coalesce(previous, F.get(edge, F.col("_block")))
+    blocked = with_block_value(blocked, edges, "_edge")
+    in_block = Window.partitionBy("_block").orderBy(value)
+    previous = F.coalesce(F.lag(value).over(in_block), F.col("_edge"))
     gaps = blocked.withColumn("_gap", F.col(value) - previous)
     return (
         gaps.select(F.explode(F.array(

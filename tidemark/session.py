@@ -17,9 +17,27 @@ DEFAULTS = {
 }
 
 
-def spark_session(app: str = "tidemark", **conf: str) -> SparkSession:
+MIB = 1024**2
+
+
+def sized_for(shuffled_bytes: int) -> dict[str, str]:
+    """Shuffle and scan sizes for a job that shuffles about so many bytes.
+
+    A task gets about 200 MiB of a shuffle, until there would be more than 40,000 partitions; beyond that
+    the partitions grow (their sorts spill), because every map task writes a piece for every partition.
+    Scan tasks grow with them for the same reason. Adaptive execution merges what turns out small.
+    """
+    partitions = min(max(200, -(-shuffled_bytes // (200 * MIB))), 40_000)
+    scan = min(max(128 * MIB, shuffled_bytes // 100_000), 1024 * MIB)
+    return {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.files.maxPartitionBytes": str(scan)}
+
+
+def spark_session(app: str = "tidemark", shuffled_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with ``DEFAULTS``; ``conf`` wins over them. For a job of many terabytes give
+    ``shuffled_bytes``, the size of the largest source that is deduplicated."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**DEFAULTS, **conf}.items():
+    sized = sized_for(shuffled_bytes) if shuffled_bytes else {}
+    for key, value in {**DEFAULTS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -33,18 +51,18 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fresh = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage, so that later passes read the same rows even
     after executors are lost."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
