@@ -78,7 +78,8 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "t timestamp_ntz, id long")
     assert row_position(df, ["t"]).count() == 0
     assert keys_at(df, ["t"], lambda n: [0]) == [None]
-    assert neighbour_gaps(df, "id").count() == 0
+    blocked = ordering.ordered_blocks(df.groupBy("id").count(), ["id"])
+    assert neighbour_gaps(blocked, "id", "count").count() == 0
 
 
 @pytest.mark.parametrize("blocks", [1, 3, 20])
@@ -89,7 +90,8 @@ def test_gaps_against_brute_force(spark, blocks):
     ordered = sorted(values)
     for a, b in zip(ordered, ordered[1:]):
         want[b - a] = want.get(b - a, 0) + 1
-    got = neighbour_gaps(spark.createDataFrame([(v,) for v in values], "v long"), "v", blocks)
+    counts = spark.createDataFrame([(v,) for v in [*values, None, None]], "v long").groupBy("v").count()
+    got = neighbour_gaps(ordering.ordered_blocks(counts, ["v"], blocks), "v", "count")
     assert {r.gap: r.pairs for r in got.collect()} == want
 
 

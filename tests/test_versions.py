@@ -48,6 +48,12 @@ def test_s2_tie_breaks(spark):
     assert got == {"a": 3, "b": 7}
 
 
+def test_s2_processing_time_as_text(spark):
+    rows = [("a", "TX1", "2024-01-01 9:00:00", 1), ("a", "TX1", "2024-01-01 10:00:00", 2), ("a", "TX1", "never", 3)]
+    df = spark.createDataFrame(rows, "k string, version string, processed_at string, v int")
+    assert latest_version(df, ["k"]).first()["v"] == 2
+
+
 def test_s2_caller_tie_break_makes_it_deterministic(spark):
     df = versions(spark, [("a", "TX1", n) for n in range(50)]).repartition(7)
     assert latest_version(df, ["k"], tie_break=["v"]).first()["v"] == 0

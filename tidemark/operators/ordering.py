@@ -176,27 +176,25 @@ def latest_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df if first is None else df.where(~sorts_before(df, first))
 
 
-def neighbour_gaps(df: DataFrame, value: str, blocks: int | None = None) -> DataFrame:
+def neighbour_gaps(blocked: DataFrame, value: str, copies: str) -> DataFrame:
     """``gap`` (difference to the previous row when sorted by the whole-number column ``value``) and how
-    many neighbouring pairs have it. Repeats make gaps of 0."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_copies"))
-    blocked = ordered_blocks(counts, [value], blocks)
+    many neighbouring ``pairs`` have it.
+
+    ``blocked`` holds each value once (see ``ordered_blocks``) with the number of its ``copies``; repeats
+    make gaps of 0, and NULL values are skipped.
+    """
+    blocked = blocked.where(F.col(value).isNotNull())
     lasts = {r["_block"]: r["_last"] for r in blocked.groupBy("_block").agg(F.max(value).alias("_last")).collect()}
     before, edges = None, []
     for block in range(max(lasts, default=-1) + 1):
         edges.append(before)
         before = lasts.get(block, before)
-    blocked = with_block_value(blocked, edges, "_edge")
     in_block = Window.partitionBy("_block").orderBy(value)
     previous = F.coalesce(F.lag(value).over(in_block), F.col("_edge"))
-    gaps = blocked.withColumn("_gap", F.col(value) - previous)
-    return (
-        gaps.select(F.explode(F.array(
-            F.struct(F.col("_gap").alias("gap"), F.lit(1).cast("long").alias("pairs")),
-            F.struct(F.lit(0).cast("long").alias("gap"), (F.col("_copies") - 1).alias("pairs")),
-        )).alias("g"))
-        .select("g.*")
-        .where("gap IS NOT NULL AND pairs > 0")
-        .groupBy("gap")
-        .agg(F.sum("pairs").alias("pairs"))
+    gap = with_block_value(blocked, edges, "_edge").withColumn("_gap", F.col(value) - previous)
+    pairs = F.array(
+        F.struct(F.col("_gap").alias("gap"), F.lit(1).cast("long").alias("pairs")),
+        F.struct(F.lit(0).cast("long").alias("gap"), (F.col(copies) - 1).alias("pairs")),
     )
+    counted = gap.select(F.inline(pairs)).where("gap IS NOT NULL AND pairs > 0")
+    return counted.groupBy("gap").agg(F.sum("pairs").alias("pairs"))

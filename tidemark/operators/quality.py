@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from tidemark.functions.naming import drop_other_labels, label_columns
 from tidemark.functions.numeric import nan_to_null, numeric_columns, round_even
 from tidemark.functions.time import MICROS_PER_HOUR, to_wall_clock, wall_micros
-from tidemark.operators.ordering import boundaries, latest_rows, neighbour_gaps, sorts_before
+from tidemark.operators.ordering import boundaries, latest_rows, neighbour_gaps, ordered_blocks, sorts_before
 
 SPLITS = ("train", "validation", "test")
 
@@ -59,11 +59,12 @@ def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
 def granularity(df: DataFrame, time: str) -> DataFrame:
     """One row: range, distinct and duplicate timestamps, the most common step and how many steps of the
     range are missing. The step is one hour when there is no positive most common one."""
-    micros = df.select(wall_micros(time).alias("_us")).where("_us IS NOT NULL")
-    top = neighbour_gaps(micros, "_us").orderBy(F.desc("pairs"), F.asc("gap")).limit(1).collect()
+    # The table is read once; everything else works on its distinct times.
+    counts = df.groupBy(time).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_us", wall_micros(time))
+    per_time = ordered_blocks(counts, ["_us"])
+    top = neighbour_gaps(per_time, "_us", "_copies").orderBy(F.desc("pairs"), F.asc("gap")).limit(1).collect()
     step = top[0]["gap"] if top and top[0]["gap"] > 0 else MICROS_PER_HOUR
 
-    per_time = df.groupBy(time).agg(F.count(F.lit(1)).alias("_copies"))
     facts = per_time.agg(
         F.min(time).alias("min_timestamp"),
         F.max(time).alias("max_timestamp"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +15,12 @@ from tidemark.functions.numeric import version_rank
 VERSION_PRIORITY = ("TXR", "TXF", "TX7", "TX6", "TX5", "TX4", "TX3", "TX2", "TX1")
 
 
+def _newest(column: str) -> Column:
+    # A processing time kept as text still has to sort as a time.
+    c = F.col(column).try_cast("timestamp") if column == "processed_at" else F.col(column)
+    return c.desc_nulls_last()
+
+
 def latest_version(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,7 +44,7 @@ def latest_version(
         warnings.warn(f"key columns {lost} are absent; facts that differ only there are merged", stacklevel=2)
 
     order = [version_rank(version, priority).desc()]
-    order += [F.col(c).desc_nulls_last() for c in recency if c in df.columns]
+    order += [_newest(c) for c in recency if c in df.columns]
     order.append(F.upper(F.col(version).cast("string")).desc_nulls_last())
     order += [F.col(c).asc_nulls_last() for c in tie_break]
 
