@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -45,8 +46,8 @@ def bronze_slugs(spark: SparkSession, root: str, slugs: Iterable[str] = ()) -> l
     slugs = tuple(slugs)
     try:
         rows = bronze_files(spark, root, slugs).select("dataset_slug").distinct().collect()
-    except Exception as error:  # an empty root matches no path at all
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:  # an empty root matches no path at all
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = []
     if not rows:
