@@ -26,7 +26,7 @@ def crowded(spark):
     return spark.createDataFrame(rows, "t timestamp_ntz, id long").repartition(5), sorted(rows)
 
 
-@pytest.mark.parametrize("blocks", [1, 4, 16])
+@pytest.mark.parametrize("blocks", [1, 4, 16, None])
 def test_positions_are_the_sorted_order(crowded, blocks):
     df, rows = crowded
     got = row_position(df, ["t", "id"], blocks=blocks).orderBy("position").collect()
@@ -74,6 +74,31 @@ def test_latest_rows_small_and_large(crowded, monkeypatch):
     assert latest_rows(df, 5000, ["t"]).count() == 3000
 
 
+def test_small_ranges_are_merged_in_order(spark):
+    """Many ranges of few bytes become few blocks, and a table of many bytes keeps many."""
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        for rows, few in ((100, True), (100_000, False)):
+            df = spark.range(rows).select((F.col("id") * 7919 % rows).alias("v"))
+            blocked = ordering.ordered_blocks(df, ["v"])
+            ranges = blocked.groupBy("_block").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_block").collect()
+            assert (len(ranges) < 3) if few else (10 < len(ranges) <= 50)
+            assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
+            out = row_position(df, ["v"])
+            assert out.where("position != v").count() == 0 and out.count() == rows
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "t timestamp_ntz, id long")
     assert row_position(df, ["t"]).count() == 0

@@ -57,6 +57,8 @@ def lag_columns(
     block, and only each block's own rows are kept. The copies amount to (look-back + look-ahead) /
     block length. ``block_hours=None`` uses the plain window per series, for short series.
     """
+    if not features:
+        return df
     if block_hours is None:
         order = Window.partitionBy(*series_keys).orderBy(time)
         return df.withColumns({f.alias: f.over(order) for f in features})

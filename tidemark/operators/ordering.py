@@ -34,8 +34,8 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = Non
 
 
 def _ranged(df: DataFrame, keys: Sequence[Column], blocks: int | None) -> DataFrame:
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys)
+    # Without a number, adaptive execution merges neighbouring ranges that turn out small, in order.
+    return df.repartitionByRange(blocks, *keys) if blocks else df.repartitionByRange(*keys)
 
 
 def with_block_value(blocked: DataFrame, values: Sequence[int | None], alias: str) -> DataFrame:
