@@ -196,3 +196,9 @@ def test_audit_report_sections(sources):
     }
     assert [r.event_month for r in got["monthly_means"]] == ["2024-01"] and not got["monthly_changes"]
     assert {r.split for r in got["split_feature_means"]} == {"train", "validation", "test"}
+
+
+def test_audit_needs_rows(spark):
+    gold = spark.createDataFrame([("never", 1.0, 2.0)], "event_ts string, label_x double, a double")
+    with pytest.raises(ValueError, match="label_x"):
+        audit_report(gold)

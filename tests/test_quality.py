@@ -101,7 +101,8 @@ def test_audit_input(spark):
 
 
 def test_feature_columns(spark):
-    df = spark.createDataFrame([(START, 1, 1.0, 2.0, "x", True)], "t timestamp_ntz, a int, label_x double, label_y double, s string, b boolean")
+    schema = "t timestamp_ntz, a int, label_x double, label_y double, s string, b boolean"
+    df = spark.createDataFrame([(START, 1, 1.0, 2.0, "x", True)], schema)
     assert Q.feature_columns(df, "label_x") == ["a"]
     with pytest.raises(ValueError):
         Q.feature_columns(df.select("t", "label_x"), "label_x")

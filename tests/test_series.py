@@ -99,7 +99,8 @@ def test_left_fold_keeps_spine_rows(spark):
 @pytest.mark.parametrize("lag_days", [0, 1])
 def test_s11_each_hour_gets_its_day(spark, lag_days):
     hourly = series(spark, [0.0] * 48)
-    daily = spark.createDataFrame([(START.date(), 5.0), ((START + dt.timedelta(days=1)).date(), 6.0)], "event_date date, d double")
+    days = [(START.date(), 5.0), ((START + dt.timedelta(days=1)).date(), 6.0)]
+    daily = spark.createDataFrame(days, "event_date date, d double")
     out = attach_daily(hourly, [daily], lag_days=lag_days)
     assert out.columns == ["event_ts", "v", "d"]
     want = [5.0] * 24 + [6.0] * 24 if not lag_days else [None] * 24 + [5.0] * 24

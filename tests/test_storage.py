@@ -100,6 +100,12 @@ def test_s21_rows_are_counted_in_the_write(spark, tmp_path):
     assert seen.value == 100
 
 
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_writing_no_rows_counts_none(spark, tmp_path, rebalance):
+    df = spark.range(10).selectExpr("id", "2024 AS year", "1 AS month").where("id < 0")
+    assert write_partitioned(df, str(tmp_path / "t"), rebalance=rebalance) == 0
+
+
 def test_rebalance_splits_a_dominant_partition(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:

@@ -40,6 +40,8 @@ def prepare(gold: DataFrame, params: AuditParams) -> tuple[DataFrame, str]:
     Q.check_split_sizes(params.validation, params.test)
     label = params.label or first_label(gold.columns)
     rows = pin(Q.audit_input(gold, params.time, label, params.latest))
+    if rows.isEmpty():
+        raise ValueError(f"no row has a valid {params.time} and a {label}")
     return Q.temporal_split(rows, [params.time], params.validation, params.test), label
 
 
@@ -100,13 +102,14 @@ def audit_report(gold: DataFrame, params: AuditParams = AuditParams()) -> dict[s
     naive = M.naive_column(label, features)
     focus = Q.present(audited, [*params.focus[:1], label, *params.focus[1:]])
     monthly = Q.monthly_means(audited, params.time, focus)
+    ignored = [c for c in label_columns(gold.columns) if c != label]
     shape = audited.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(label).alias("target_column"),
         F.lit(params.time).alias("timestamp_column"),
         "rows",
         F.lit(len(audited.columns)).alias("columns"),
         F.array(*map(F.lit, features)).alias("feature_columns"),
-        F.array(*[F.lit(c) for c in label_columns(gold.columns) if c != label]).cast("array<string>").alias("ignored_label_columns"),
+        F.array(*map(F.lit, ignored)).cast("array<string>").alias("ignored_label_columns"),
         F.lit(naive).cast("string").alias("naive_prediction_column"),
     )
     return {

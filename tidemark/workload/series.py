@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import calendar_fields, hour_floor
+from tidemark.functions.time import calendar_fields
 from tidemark.operators.combine import attach_daily, left_fold
 from tidemark.operators.lags import Rolling, Shift, lag_columns
-from tidemark.operators.rollup import DistinctCount, PivotTotal, Total, rollup
+from tidemark.operators.rollup import DistinctCount, Total, rollup
 from tidemark.operators.spine import dense_spine, on_spine
-from tidemark.workload.facts import CENTS, EVENT_TYPES, hourly_events
+from tidemark.workload.facts import CENTS, hourly_events
 from tidemark.workload.registry import query, single, table
 
 HOURLY_SQL = """
