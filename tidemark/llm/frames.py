@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import pin
+from tidemark.session import pin, shared_dir
 
 # ASCII white space, the only characters that part words: space and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
@@ -103,3 +104,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
         roots.select(F.col("u").alias("node"), F.col("u").alias("root"))
     )
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder in the shared folder, and read back: several passes get the
+    same rows, also after executors are lost, and take less room than a checkpoint."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

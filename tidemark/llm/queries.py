@@ -1,6 +1,6 @@
 """Registers the queries of all operators."""
 
-from tidemark.llm import op7_query, op8_query, op9_query  # noqa: F401  (they register queries)
+from tidemark.llm import op2_query, op3_query, op4_query, op10_query, op7_query, op8_query, op9_query  # noqa: F401  (they register queries)
 from tidemark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
