@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import SPACES, pin, words
+from tidemark.llm.frames import SPACES, pin, stored, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -123,11 +123,13 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str
 
 
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str = "source") -> DataFrame:
-    """The documents that pass, with their columns. Works on NULLs and repeated rows as ``quality``."""
+    """The documents that pass, with their columns. Works on NULLs and repeated rows as ``quality``.
+
+    The judged documents are written once: they are read again for the hosts' verdicts, and a filter on the
+    judgement must not be pushed below the columns it is made of, which would work them out per word.
+    """
     whole = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string"), F.col(host_col).alias("host"))
-    judged = measures(whole, rules)
+    judged = stored(measures(whole, rules).select("doc", "host", "base_failed"), "judged")
     bad = failing_hosts(judged.select("host", "base_failed"), rules).select(F.col("host").alias("bad_host"))
     good = judged.filter(~F.col("base_failed")).select("doc", "host")
     return good.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left_anti").select("doc.*")
-
-
