@@ -2,6 +2,7 @@
 
 import datetime as dt
 import statistics
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,8 +170,44 @@ def test_s23_empty_target_gives_an_empty_table(sources):
 
 def test_no_window_over_the_whole_table(sources):
     plan = gold_features(sources, electricity_demand())._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if " Window [" in line or "+- Window" in line]
+    lines = plan.splitlines()
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
     assert windows and "hashpartitioning(_block" in plan
+    for i in windows:  # what a window stands on: the first shuffle below it
+        below = next(line for line in lines[i:] if "Exchange" in line)
+        assert "SinglePartition" not in below
+
+
+def test_every_source_is_read_once(spark, sources):
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = store.executionsCount()
+    gold_features(sources, electricity_demand()).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    ran = store.executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.size()) if ran.apply(i).executionId() >= before]
+    for s in electricity_demand().sources:
+        # the final plan of an execution lists each scan with its place
+        scans = sum(p.split("== Initial Plan ==")[0].count(f"/{s.dataset}]") for p in plans)
+        assert scans == 1, s.dataset
+
+
+def test_a_target_column_is_cleaned_like_any_name(sources):
+    spec = electricity_demand(drop_incomplete=False)
+    target = replace(spec.target, totals=(replace(spec.target.totals[0], alias="Target X"),))
+    odd = replace(spec, target=target, target_column="Target X", required=("Demanda Comercial total",))
+    assert odd.label == "label_target_x_h_plus_24"
+    out = gold_features(sources, replace(odd, drop_incomplete=True))
+    assert {"target_x", "target_x_lag_24h", odd.label} <= set(out.columns) and out.count() > 0
+
+
+def test_a_session_zone_with_clock_changes_changes_nothing(spark, sources, all_hours):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = gold_features(sources, electricity_demand(drop_incomplete=False)).drop("processed_at").orderBy("event_ts").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [tuple(r) for r in rows] == [tuple(v for k, v in r.asDict().items() if k != "processed_at") for r in all_hours]
 
 
 def test_audit_report_sections(sources):

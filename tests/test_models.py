@@ -17,12 +17,11 @@ def sample(spark):
     return spark.createDataFrame(rows, "a double, b double, c double, y double"), x, y
 
 
-@pytest.mark.parametrize("in_memory", [10**6, 0])
-def test_medians(spark, in_memory):
+def test_medians(spark):
     rnd = random.Random(2)
     rows = [(rnd.choice([None, *range(9)]), rnd.uniform(0, 1), 7 if i % 3 else i, None) for i in range(501)]
     df = spark.createDataFrame(rows, "a int, b double, hot int, none double")
-    got = M.exact_medians(df, ["a", "b", "hot", "none"], in_memory)
+    got = M.exact_medians(df, ["a", "b", "hot", "none"])
     want = {c: statistics.median(v for r in rows if (v := r[i]) is not None) for i, c in enumerate(["a", "b", "hot"])}
     assert got == want
 
@@ -65,6 +64,18 @@ def test_forest_fits(sample):
     assert scores.r2 > 0.6
 
 
+def test_forest_does_not_depend_on_the_layout(sample, monkeypatch):
+    df, _, _ = sample
+    ready = M.assemble(df, ["a", "b", "c"])
+    monkeypatch.setattr(M, "ROWS_PER_BLOCK", 100)
+    monkeypatch.setattr(M.laid_out_by, "__defaults__", (100,))
+    sums = set()
+    for parts in (1, 4, 7):
+        model = M.fit_forest(ready.repartition(parts), "y", "p", M.ForestParams(trees=5), ["a"])
+        sums.add(round(sum(sorted(r.p for r in model.transform(ready).collect())), 9))
+    assert len(sums) == 1
+
+
 def test_stock_forest_size():
     assert M.ForestParams() == M.ForestParams(trees=300, depth=14, min_leaf=2, seed=42)
 

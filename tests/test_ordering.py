@@ -63,15 +63,45 @@ def test_sorts_before_with_null_tie_break(spark):
         assert df.where(sorts_before(df, Boundary(("a", "b"), key, 0))).count() == i
 
 
-def test_latest_rows_small_and_large(crowded, monkeypatch):
+@pytest.mark.parametrize("n", [1, 700, 1500, 2999, 3000, 5000])
+def test_latest_rows_are_exactly_the_last(crowded, n):
     df, rows = crowded
-    small = latest_rows(df, 700, ["t", "id"]).collect()
-    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 10)
-    large = latest_rows(df, 700, ["t", "id"])
-    assert sorted(map(tuple, small)) == sorted(map(tuple, large.collect())) == rows[-700:]
-    # Ties on the given order fall back on the other columns, so the number of rows is exact.
-    assert latest_rows(df, 1500, ["t"]).count() == 1500
-    assert latest_rows(df, 5000, ["t"]).count() == 3000
+    assert sorted(map(tuple, latest_rows(df, n, ["t", "id"]).collect())) == rows[-n:]
+    # Ties on the given order fall back on the other columns.
+    assert sorted(map(tuple, latest_rows(df, n, ["t"]).collect())) == rows[-n:]
+
+
+def test_latest_rows_with_equal_rows_and_nulls(spark):
+    rows = [(1, 5), (1, 3), (1, 9), (0, 1), (None, 4), (2, 7), (2, 7), (2, 7), (2, 7), (2, None)]
+    key = lambda r: tuple((x is not None, x or 0) for x in r)
+    ordered = sorted(rows, key=key)
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "k int, v int").repartition(parts)
+        for n in range(12):
+            got = latest_rows(df, n, ["k"]).collect()
+            assert sorted(map(tuple, got), key=key) == (ordered[-n:] if n else [])
+
+
+def test_positions_do_not_depend_on_the_layout(spark):
+    """Rows tied on the order, and rows equal in all columns, get the same numbers in every run."""
+    rows = [(i % 5 if i % 11 else None, i % 40, f"x{i % 3}") for i in range(600)]
+    seen = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, "a int, b int, c string").repartition(parts)
+        got = row_position(df, ["a"]).orderBy("position").collect()
+        assert [r.position for r in got] == list(range(600))
+        assert [r.a is not None and r.a for r in got] == sorted(r[0] is not None and r[0] for r in rows)
+        seen.add(tuple(map(tuple, got)))
+    assert len(seen) == 1
+
+
+def test_positions_pin_the_order_columns_only(spark, monkeypatch):
+    pinned = []
+    keep = ordering.pin
+    monkeypatch.setattr(ordering, "pin", lambda df: pinned.append(df.columns) or keep(df))
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 10).alias("wide"), F.col("id").alias("other"))
+    assert row_position(df, ["id"]).count() == 100
+    assert pinned[0] == ["_o0", "_g", "_rows", "_block"]
 
 
 def test_small_ranges_are_merged_in_order(spark):
@@ -120,10 +150,11 @@ def test_gaps_against_brute_force(spark, blocks):
     assert {r.gap: r.pairs for r in got.collect()} == want
 
 
-def test_blocks_split_a_crowded_stretch(spark):
-    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"))
+def test_a_crowded_stretch_is_split(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"), "id")
     out = row_position(df, ["t"], blocks=8)
-    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
     assert [r.t for r in out.orderBy("position").collect()] == sorted(r.t for r in df.collect())
     assert out.select("position").distinct().count() == 20_000
+    keys = df.groupBy("t", F.xxhash64("t", "id").alias("h")).count()
+    sizes = [r["count"] for r in ordering.ordered_blocks(keys, ["t", "h"], 8).groupBy("_block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8

@@ -59,10 +59,31 @@ def test_s6_missing_cells_are_null(facts):
     assert got[1]["d_no_regulado"] is None and got[3]["d_no_regulado"] == 16.0
 
 
-def test_pivot_is_one_aggregate_without_joins(facts):
-    out = rollup(facts, ["h"], [Total("valor", "t")], pivot=PivotTotal("valor", "market", "d", ("Regulado",)))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and plan.count("Exchange") == 1
+def test_facts_are_added_up_once_however_many_categories(facts):
+    """The aggregate over the facts has one sum; the categories only meet its result."""
+    for values in (("Regulado",), tuple(f"c{i}" for i in range(50))):
+        out = rollup(facts, ["h"], [Total("valor", "t")], pivot=PivotTotal("valor", "market", "d", values))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "pivotfirst" in plan.lower()
+        lowest = [line for line in plan.splitlines() if "Aggregate [h#" in line and "market" in line]
+        assert lowest and all(line.count("sum(") == 1 for line in lowest)
+
+
+def test_pivot_with_null_period_and_given_categories(spark):
+    rows = [(None, "a", 1.0), (None, "a", 2.0), (None, None, 4.0), (1, "b", 8.0)]
+    df = spark.createDataFrame(rows, "h int, c string, v double")
+    out = rollup(df, ["h"], [Total("v", "t")], [DistinctCount("c", "n")], PivotTotal("v", "c", "p", ("b", None, "a")))
+    assert out.columns == ["h", "t", "n", "p_b", "p_null", "p_a"]
+    assert {r.h: tuple(r)[1:] for r in out.collect()} == {None: (7.0, 1, None, 4.0, 3.0), 1: (8.0, 1, 8.0, None, None)}
+
+
+def test_members_are_compared_with_their_types(spark):
+    rows = [(1, 0.0, ["a, b"], "c"), (1, -0.0, ["a", "b"], "c"), (1, 1.0, None, "c")]
+    df = spark.createDataFrame(rows, "h int, x double, xs array<string>, kind string")
+    counts = [DistinctCount("x", "nx"), DistinctCount("xs", "nxs")]
+    mix = rollup_with_row_pivot(df, ["h"], counts, PivotRows(("x", "kind"), "kind", "p")).first()
+    plain = rollup(df, ["h"], distincts=counts).first()
+    assert (mix.nx, mix.nxs, mix.p_c) == (plain.nx, plain.nxs, 2) == (2, 2, 2)
 
 
 def test_s22_bad_numbers_are_null_not_errors(spark):

@@ -152,3 +152,12 @@ def test_blocks_are_windowed_in_parallel(spark):
     out = lag_columns(dense_spine(series(spark, [1.0] * 10)).withColumn("v", F.lit(1.0)), FEATURES)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_block" in plan
+
+
+@pytest.mark.parametrize("block", [None, 100, 2016])
+def test_gaps_and_repeats_are_errors(spark, block):
+    start = dt.datetime(2024, 1, 1)
+    for hours in ([*range(50), *range(51, 300)], [*range(50), *range(2000, 2050)], [*range(50), 20], range(0, 12000, 30)):
+        df = spark.createDataFrame([(start + dt.timedelta(hours=h), float(h)) for h in hours], "event_ts timestamp_ntz, v double")
+        with pytest.raises(Exception, match="not one row per hour"):
+            lag_columns(df, FEATURES, block_hours=block).collect()

@@ -20,9 +20,16 @@ def round_even(column: Column, digits: int) -> Column:
 
 def measure(column: str | Column, exact: str | None = None) -> Column:
     """A summand: double, or with ``exact`` (e.g. ``decimal(18,2)``) a decimal, whose sums do not depend
-    on how rows are spread over tasks. A value that is not a number becomes NULL."""
+    on how rows are spread over tasks. A value that is not a number becomes NULL; a number too large for
+    the decimal is an error. Decimals beyond the scale are rounded off each value."""
     c = F.col(column) if isinstance(column, str) else column
-    return c.try_cast(exact or "double")
+    number = c.try_cast("double")
+    if not exact:
+        return number
+    fitted = c.try_cast(exact)
+    too_large = fitted.isNull() & number.isNotNull() & ~F.isnan(number)
+    text = F.concat(F.lit("number out of range for "), F.lit(exact), F.lit(": "), c.cast("string"))
+    return F.when(too_large, F.raise_error(text).cast(exact)).otherwise(fitted)
 
 
 def version_rank(column: str | Column, priority: tuple[str, ...]) -> Column:

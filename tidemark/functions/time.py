@@ -11,14 +11,26 @@ from pyspark.sql import functions as F
 
 MICROS_PER_HOUR = 3_600_000_000
 
+# A time of day followed by Z, UTC, an offset or a region.
+OFFSET = r"(?i):\d{2}(\.\d*)?\s*(z|(utc|gmt|ut)([+-]\d{1,2}(:?\d{2}){0,2})?|[+-]\d{1,2}(:?\d{2}){0,2}|[a-z_]+/[a-z_/]+)\s*$"
+
 
 def to_wall_clock(column: str | Column) -> Column:
-    """Timestamp (any kind) or text -> ``timestamp_ntz``; NULL where the text is not a timestamp."""
+    """Timestamp (any kind) or text -> ``timestamp_ntz``; NULL where the text is not a timestamp.
+
+    Text without an offset is the wall clock as written. Text with one is an instant, given as UTC. Only a
+    column of type TIMESTAMP, an instant already, is shown as the session's zone shows it.
+    """
     c = F.col(column) if isinstance(column, str) else column
-    # Text goes through TIMESTAMP, so that an offset in it is applied instead of stripped. The test on
-    # the type is a constant to the optimizer.
-    via_instant = c.try_cast("timestamp").cast("timestamp_ntz")
-    return F.when(F.typeof(c) == "timestamp_ntz", c.try_cast("timestamp_ntz")).otherwise(via_instant)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.unix_micros(c.try_cast("timestamp"))
+    rest = F.pmod(micros, F.lit(86_400_000_000))
+    day = ((micros - rest) / 86_400_000_000).cast("int")
+    seconds = (rest.cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+    utc = epoch + F.make_dt_interval(day, F.lit(0), F.lit(0), seconds)
+    text = F.when(c.cast("string").rlike(OFFSET), utc).otherwise(c.try_cast("timestamp_ntz"))
+    # The test on the type is a constant to the optimizer.
+    return F.when(F.typeof(c) == "string", text).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def to_day(column: str | Column) -> Column:

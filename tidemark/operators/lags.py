@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 from pyspark.sql.window import Window, WindowSpec
 
-from tidemark.functions.time import hour_index
+from tidemark.functions.time import MICROS_PER_HOUR, hour_index
 
 
 @dataclass(frozen=True)
@@ -49,8 +52,11 @@ def lag_columns(
     time: str = "event_ts",
     series_keys: Sequence[str] = (),
     block_hours: int | None = 2016,
+    on_spine: bool = False,
 ) -> DataFrame:
-    """Add ``features``. ``df`` must be dense and hourly within each series (see ``dense_spine``).
+    """Add ``features``. ``df`` must be dense and hourly within each series (see ``dense_spine``); a gap or
+    a repeated hour is an error while the plan runs. ``on_spine`` says that ``df`` was just joined to such a
+    spine, which spares the count per series.
 
     A window over the whole series would put it all in one task. Instead time is cut into blocks of
     ``block_hours``; each row is also copied to the neighbouring blocks that can see it, windows run per
@@ -59,20 +65,49 @@ def lag_columns(
     """
     if not features:
         return df
+    hour = _running_hour(df, time)
+    if not on_spine:
+        df = _of_full_span(df, hour, series_keys)
     if block_hours is None:
         order = Window.partitionBy(*series_keys).orderBy(time)
-        return df.withColumns({f.alias: f.over(order) for f in features})
+        added = {f.alias: f.over(order) for f in features} | {"_step": _step(hour, time, order)}
+        return df.withColumns(added).where("_step").drop("_step")
 
     # One day of slack covers a clock change in a zoned timestamp column.
     back = max(f.reach[0] for f in features) + 24
     ahead = max(f.reach[1] for f in features) + 24
-    hour = hour_index(time)
+    wall = hour_index(time)
 
     def block_of(h: Column) -> Column:
         return F.floor(h / F.lit(block_hours)).cast("long")
 
-    seen_by = F.sequence(block_of(hour - F.lit(ahead)), block_of(hour + F.lit(back)))
-    copies = df.withColumns({"_own": block_of(hour), "_block": F.explode(seen_by)})
+    seen_by = F.sequence(block_of(wall - F.lit(ahead)), block_of(wall + F.lit(back)))
+    copies = df.withColumns({"_own": block_of(wall), "_block": F.explode(seen_by)})
     order = Window.partitionBy(*series_keys, "_block").orderBy(time)
-    windowed = copies.withColumns({f.alias: f.over(order) for f in features})
-    return windowed.where("_own = _block").drop("_own", "_block")
+    windowed = copies.withColumns({f.alias: f.over(order) for f in features} | {"_step": _step(hour, time, order)})
+    return windowed.where("_own = _block AND _step").drop("_own", "_block", "_step")
+
+
+def _running_hour(df: DataFrame, time: str) -> Column:
+    """Whole hours, without jumps where a zoned column changes its clock."""
+    zoned = isinstance(df.schema[time].dataType, TimestampType)
+    return F.floor(F.unix_micros(time) / MICROS_PER_HOUR) if zoned else hour_index(time)
+
+
+def _step(hour: Column, time: str, order: WindowSpec) -> Column:
+    """True; an error where a row is not one hour after the row before it."""
+    text = F.concat(F.lit("not one row per hour at "), F.col(time).cast("string"))
+    fine = F.coalesce(hour - F.lag(hour).over(order) == 1, F.lit(True))
+    return F.when(fine, True).otherwise(F.raise_error(text).cast("boolean"))
+
+
+def _of_full_span(df: DataFrame, hour: Column, series_keys: Sequence[str]) -> DataFrame:
+    """``df``; an error where a series has fewer rows than hours. This sees gaps that are longer than what
+    neighbouring blocks share; ``_step`` sees all others, and repeats."""
+    keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(series_keys)]
+    spans = df.groupBy(*keys).agg((F.max(hour) - F.min(hour) + 1 - F.count(F.lit(1))).alias("_missing"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(series_keys)]
+    joined = df.join(spans, reduce(and_, same)) if same else df.crossJoin(F.broadcast(spans))  # one row
+    whole = F.when(F.coalesce("_missing", F.lit(0)) == 0, True)
+    checked = joined.where(whole.otherwise(F.raise_error("not one row per hour in every series").cast("boolean")))
+    return checked.select(*df.columns)

@@ -11,24 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.ordering import ordered_blocks
+from tidemark.operators.ordering import keys_at, ordered_blocks, sorts_before, tie_columns
 
-# Up to this many cells (rows x columns) Spark's own exact median may hold the values of a column in
-# one task; beyond it they stay spread out.
-MEDIAN_CELLS_IN_MEMORY = 2_000_000
 
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact median of each column, NULLs skipped. A column without values is left out.
 
-def exact_medians(df: DataFrame, columns: Sequence[str], in_memory: int = MEDIAN_CELLS_IN_MEMORY) -> dict[str, float]:
-    """Exact median of each column, NULLs skipped. A column without values is left out."""
-    if df.count() * len(columns) <= in_memory:
-        row = df.agg(*[F.median(c).alias(c) for c in columns]).first()
-        return {c: row[c] for c in columns if row[c] is not None}
-    return _medians_by_rank(df, columns)
-
-
-def _medians_by_rank(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """All columns at once: count each (column, value), range-partition those counts, then read off the
-    middle ranks. No task holds a whole column; the driver sees one number per block and column."""
+    All columns at once: count each (column, value), range-partition those counts, then read off the
+    middle ranks. No task holds a whole column; the driver sees one number per block and column.
+    """
     cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
     counts = df.select(F.inline(cells)).where("value IS NOT NULL").groupBy("name", "value").count()
     blocked = ordered_blocks(counts, ["name", "value"])
@@ -114,7 +105,30 @@ class ForestParams:
     seed: int = 42
 
 
-def fit_forest(train: DataFrame, label: str, prediction: str, params: ForestParams = ForestParams()):
+ROWS_PER_BLOCK = 100_000
+
+
+def laid_out_by(df: DataFrame, order: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``df`` in blocks of about ``rows_per_block`` rows of neighbouring ``order``, sorted inside. Which rows
+    make a block, and their sequence, depend on the rows alone and not on how ``df`` is partitioned."""
+    order = [*order, *(c for c in tie_columns(df, order))]
+    blocks: list[int] = []
+
+    def cuts(rows: int) -> list[int]:
+        blocks.append(max(-(-rows // rows_per_block), 1))
+        return [rows * i // blocks[0] for i in range(1, blocks[0])]
+
+    found = [b for b in keys_at(df, order[:1], cuts) if b]
+    block = sum((F.when(sorts_before(df, b), 0).otherwise(1) for b in found), F.lit(0))
+    return df.withColumn("_block", block).repartition(blocks[0], "_block").sortWithinPartitions("_block", *order).drop("_block")
+
+
+def fit_forest(
+    train: DataFrame, label: str, prediction: str, params: ForestParams = ForestParams(), order: Sequence[str] = ()
+):
+    """Bagging draws by partition and row number, so the rows are laid out by ``order`` first: the same rows
+    then give the same forest, however they were partitioned."""
+    train = laid_out_by(train, order) if order else train
     return RandomForestRegressor(
         featuresCol="_features",
         labelCol=label,

@@ -21,9 +21,6 @@ from pyspark.sql.window import Window
 
 from tidemark.session import pin
 
-# Up to here a top-n keeps n rows per task and merges them in one, which beats a range shuffle.
-TOP_N_LIMIT = 10_000
-
 
 def ordered_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """``df`` with ``_block``: all rows of block i sort before all rows of block i+1. Runs a job.
@@ -54,20 +51,41 @@ def block_starts(blocked: DataFrame, size: Column | None = None) -> tuple[list[i
 
 
 def row_position(df: DataFrame, order: Sequence[str], alias: str = "position", blocks: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, 2, … in ``order``: position within the block plus the rows before it. Rows
-    equal on ``order`` get consecutive numbers in no particular order.
+    """Number the rows 0, 1, 2, … in ``order``. Rows equal on ``order`` are told apart by a hash of all
+    columns that Spark can compare, so every run gives the same numbers; rows equal in all of them are
+    interchangeable and get consecutive numbers.
 
-    Blocks are sorted before they are pinned, so a row's position within its block is its place in the
-    pinned partition and the table is shuffled once. The random last key lets blocks cut through rows
-    that are equal on ``order``.
+    Rows are counted per key (order columns and hash) and only those keys are ranged and pinned; the rows
+    themselves move once, to meet the number of their key.
     """
-    ranged = _ranged(df, [*(F.col(c).asc() for c in order), F.rand(7).asc()], blocks)
-    blocked = pin(ranged.sortWithinPartitions(*order).withColumn("_block", F.spark_partition_id()))
-    starts, _ = block_starts(blocked)
-    # The id holds the partition above bit 33 and the place in it below.
-    placed = blocked.withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    numbered = with_block_value(placed, starts, "_start")
-    return numbered.select(*df.columns, (F.col("_start") + F.col("_place")).alias(alias))
+    own = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    keyed = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in (*order, *tie_columns(df, order))]))
+    names = [f"_o{i}" for i in range(len(order))] + ["_g"]
+    counts = keyed.groupBy(*own, F.col("_h").alias("_g")).agg(F.count(F.lit(1)).alias("_rows"))
+    blocked = ordered_blocks(counts, names, blocks)
+    starts, _ = block_starts(blocked, F.sum("_rows"))
+    upto = F.sum("_rows").over(Window.partitionBy("_block").orderBy(*names))
+    first = with_block_value(blocked.withColumn("_upto", upto), starts, "_start")
+    first = first.withColumn("_first", F.col("_start") + F.col("_upto") - F.col("_rows"))
+    same = reduce(and_, (keyed[c].eqNullSafe(first[f"_o{i}"]) for i, c in enumerate(order)), keyed["_h"] == first["_g"])
+    met = keyed.join(first, same)
+    single = met.where("_rows = 1").select(*df.columns, F.col("_first").alias(alias))
+    return single.union(_numbered_repeats(met.where("_rows > 1").select(*df.columns, "_first"), df.columns, alias))
+
+
+def _numbered_repeats(repeats: DataFrame, columns: Sequence[str], alias: str) -> DataFrame:
+    """Rows that share ``_first``, the number of the first of them, numbered from it. They are pinned where
+    they lie and numbered within each part, after the rows of the parts before it; a key's rows never meet
+    in one task."""
+    laid = pin(repeats.withColumn("_part", F.spark_partition_id()))
+    per_part = laid.groupBy("_first", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_first").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("_first", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = laid.join(offsets, ["_first", "_part"])
+    within = F.row_number().over(Window.partitionBy("_first", "_part").orderBy("_part")) - 1
+    return placed.withColumn("_within", within).select(
+        *columns, (F.col("_first") + F.col("_before") + F.col("_within")).alias(alias)
+    )
 
 
 @dataclass(frozen=True)
@@ -144,14 +162,18 @@ def _equals(df: DataFrame, columns: Sequence[str], key: Row) -> Column:
 
 
 def sorts_before(df: DataFrame, found: Boundary) -> Column:
-    """True for rows whose order columns come strictly before the boundary's key. The first column must
-    not be NULL; in the others NULL comes first."""
+    """True for rows whose order columns come strictly before the boundary's key; NULL comes first."""
     first, rest = found.order[0], found.order[1:]
     [bound] = _literals(df, [first], found.key)
+    if found.key[first] is None:
+        before, same = F.lit(False), F.col(first).isNull()
+    else:
+        before = F.coalesce(F.col(first) < bound, F.lit(True))
+        same = F.coalesce(F.col(first) == bound, F.lit(False))
     if not rest:
-        return F.col(first) < bound
+        return before
     theirs = F.struct(*_literals(df, rest, found.key))
-    return (F.col(first) < bound) | ((F.col(first) == bound) & (F.struct(*rest) < theirs))
+    return before | (same & (F.struct(*rest) < theirs))
 
 
 def tie_columns(df: DataFrame, order: Sequence[str]) -> list[str]:
@@ -168,12 +190,23 @@ def boundaries(
 
 
 def latest_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The last ``n`` rows in ``order``. A small ``n`` is a top-n; a large one filters on the key found
-    at that position, so no task ever holds ``n`` rows."""
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
-    [first] = boundaries(df, order, lambda rows: [rows - n])
-    return df if first is None else df.where(~sorts_before(df, first))
+    """The last ``n`` rows in ``order``, exactly, NULLs first; all rows where there are no more. Rows equal
+    on ``order`` are told apart by the other columns that Spark can compare.
+
+    The key at the n-th last position is looked up and rows are compared with it where they are. Only rows
+    equal to that key in every comparable column, of which a part may be wanted, are numbered.
+    """
+    if n <= 0:
+        return df.limit(0)
+    [found] = boundaries(df, order, lambda rows: [rows - n])
+    if found is None:
+        return df
+    if not found.inside:
+        return df.where(~sorts_before(df, found))
+    tied = _equals(df, found.order, found.key)
+    numbered = _numbered_repeats(df.where(tied).withColumn("_first", F.lit(0).cast("long")), df.columns, "_number")
+    wanted = numbered.where(F.col("_number") >= found.inside).drop("_number")
+    return df.where(~sorts_before(df, found) & ~tied).union(wanted)
 
 
 def neighbour_gaps(blocked: DataFrame, value: str, copies: str) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.naming import pivot_names
 from tidemark.functions.numeric import measure
+from tidemark.session import pin
 
 
 @dataclass(frozen=True)
@@ -35,7 +38,7 @@ class DistinctCount:
 class PivotTotal:
     """``sum(column)`` per value of ``category``, one column each, named ``<prefix>_<category>``.
 
-    Without ``values`` the categories are looked up, which runs a job over that one column.
+    Without ``values`` the categories are looked up among the sums, which runs a job.
     """
 
     column: str
@@ -72,26 +75,49 @@ def rollup(
     pivot: PivotTotal | None = None,
     exact: str | None = None,
 ) -> DataFrame:
-    """Totals, distinct counts and pivoted sums of one source in ONE aggregate.
+    """Totals, distinct counts and pivoted sums of one source, which is read once.
 
-    The pivot cells are conditional sums beside the totals, so the source is read and shuffled once and
-    nothing is joined back. Every part has a map-side combine; a hot period shrinks to its distinct
-    members before it moves. A cell without rows is NULL, not 0.
+    Without a pivot this is one aggregate. With one, facts are first added up per period, category and
+    counted member; totals, counts and pivot all come from those sums, so what a fact costs does not depend
+    on how many categories there are. Sums that no one named the categories of are pinned, and the
+    categories are read off them. Every step has a map-side combine; a hot period shrinks to its members
+    before it moves. A cell without rows is NULL, not 0.
     """
     # Each measure is converted once per row, however many cells add it up.
     columns = dict.fromkeys([t.column for t in totals] + ([pivot.column] if pivot else []))
     names = {c: f"_measure_{i}" for i, c in enumerate(columns)}
     facts = df.withColumns({n: measure(c, exact) for c, n in names.items()}) if names else df
+    counted = {f"_member_{i}": d.counted() for i, d in enumerate(distincts)}
 
-    aggregates = [F.sum(names[t.column]).cast("double").alias(t.alias) for t in totals]
-    aggregates += [F.count_distinct(d.counted()).alias(d.alias) for d in distincts]
     if pivot:
-        values = categories(df, pivot.category) if pivot.values is None else list(pivot.values)
-        taken = [*by, *(t.alias for t in totals), *(d.alias for d in distincts)]
-        for value, name in zip(values, pivot_names(pivot.prefix, values, taken)):
-            mine = F.col(pivot.category).eqNullSafe(F.lit(value))
-            aggregates.append(F.sum(F.when(mine, F.col(names[pivot.column]))).cast("double").alias(name))
-    return facts.groupBy(*by).agg(*aggregates)
+        groups = [*by, F.col(pivot.category).alias("_category"), *(c.alias(n) for n, c in counted.items())]
+        facts = facts.groupBy(*groups).agg(*(F.sum(n).alias(n) for n in names.values()))
+        if pivot.values is None:
+            facts = pin(facts)
+        counted = {n: F.col(n) for n in counted}
+
+    aggregates = [F.sum(names[t.column]).cast("double").alias(t.alias) for t in totals]
+    aggregates += [F.count_distinct(c).alias(d.alias) for d, c in zip(distincts, counted.values())]
+    if not pivot:
+        return facts.groupBy(*by).agg(*aggregates)
+
+    values = categories(facts, "_category") if pivot.values is None else list(pivot.values)
+    taken = [*by, *(t.alias for t in totals), *(d.alias for d in distincts)]
+    cells = dict(zip(values, pivot_names(pivot.prefix, values, taken)))
+    amount = F.col(names[pivot.column])
+    if None in cells:  # the built-in pivot has no column for NULL
+        aggregates.append(F.sum(F.when(F.col("_category").isNull(), amount)).cast("double").alias("_null_cell"))
+    out = facts.groupBy(*by).agg(*aggregates or [F.count(F.lit(1)).alias("_rows")])
+    named = [v for v in values if v is not None]
+    if named:
+        wide = facts.groupBy(*by, "_category").agg(F.sum(amount).alias("_sum")).where("_category IS NOT NULL")
+        wide = wide.groupBy(*by).pivot("_category", named).agg(F.first("_sum").cast("double"))
+        keys = [f"_k{i}" for i in range(len(by))]
+        wide = wide.toDF(*keys, *(cells[v] for v in named))
+        same = [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys)]
+        out = out.join(wide, reduce(and_, same), "left")
+    chosen = [F.col("_null_cell").alias(n) if v is None else F.col(f"`{n}`") for v, n in cells.items()]
+    return out.select(*taken, *chosen)
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -105,25 +131,30 @@ def rollup_with_row_pivot(
 
     One pass and no join: each fact is tagged once per count and once for the pivot, whatever the number
     of categories; the tagged members are made distinct (with a map-side combine, and spread by member,
-    so a hot period is spread too) and then counted per period.
+    so a hot period is spread too) and then counted per period. Members keep their types, each in a column
+    that is NULL for the other tags. Categories that are not given are read off the pinned members.
     """
-    values = categories(df, pivot.category) if pivot.values is None else list(pivot.values)
-    names = pivot_names(pivot.prefix, values, [*by, *(d.alias for d in distincts)])
-    category_type = df.schema[pivot.category].dataType
     others = [c for c in pivot.columns if c != pivot.category]
-
-    def tag(number: int, category: Column, member: Column) -> Column:
-        return F.struct(F.lit(number).alias("_tag"), category.alias("_category"), member.alias("_member"))
-
-    no_category = F.lit(None).cast(category_type)
-    tags = [tag(i, no_category, F.array(d.counted().cast("string"))) for i, d in enumerate(distincts)]
-    rows = len(tags)
-    tags.append(tag(rows, F.col(pivot.category), F.array(*[F.col(c).cast("string") for c in others])))
-    members = (
-        df.select(*by, F.inline(F.array(*tags)))
-        .where((F.col("_tag") == rows) | F.get("_member", F.lit(0)).isNotNull())
-        .distinct()
-    )
+    rows = len(distincts)
+    fields = {f"_m{i}": d.counted() for i, d in enumerate(distincts)}
+    own = {"_category": F.col(pivot.category)} | {f"_r{i}": F.col(c) for i, c in enumerate(others)}
+    types = dict(df.select(*(c.alias(n) for n, c in (fields | own).items())).dtypes)
+
+    def tag(number: int, filled: dict[str, Column]) -> Column:
+        columns = [filled[n] if n in filled else F.lit(None) for n in types]
+        return F.struct(F.lit(number).alias("_tag"), *(c.cast(types[n]).alias(n) for n, c in zip(types, columns)))
+
+    tags = [tag(i, {n: c}) for i, (n, c) in enumerate(fields.items())] + [tag(rows, own)]
+    present = F.col("_tag") == rows
+    for i, n in enumerate(fields):
+        present = present | ((F.col("_tag") == i) & F.col(n).isNotNull())
+    members = df.select(*by, F.inline(F.array(*tags))).where(present).distinct()
+    if pivot.values is None:
+        members = pin(members)
+        values = categories(members.where(F.col("_tag") == rows), "_category")
+    else:
+        values = list(pivot.values)
+    names = pivot_names(pivot.prefix, values, [*by, *(d.alias for d in distincts)])
     counts = [F.count_if(F.col("_tag") == i).alias(d.alias) for i, d in enumerate(distincts)]
     for value, name in zip(values, names):
         hit = (F.col("_tag") == rows) & F.col("_category").eqNullSafe(F.lit(value))

@@ -75,7 +75,7 @@ def with_predictions(
         rows = M.fit_ridge(train, label, "_ridge", params.alpha).transform(rows)
         columns["ridge_regression_scaled"] = "_ridge"
     if "random_forest" in models:
-        rows = M.fit_forest(train, label, "_forest", params.forest).transform(rows)
+        rows = M.fit_forest(train, label, "_forest", params.forest, [params.time]).transform(rows)
         columns["random_forest"] = "_forest"
     return rows, columns
 

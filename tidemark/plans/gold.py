@@ -18,12 +18,12 @@ from tidemark.operators.rollup import (
     PivotRows,
     PivotTotal,
     Total,
-    categories,
     rollup,
     rollup_with_row_pivot,
 )
 from tidemark.operators.spine import dense_spine
 from tidemark.operators.versions import VERSION_PRIORITY, latest_version
+from tidemark.session import pin
 from tidemark.sources.tables import read_silver, write_partitioned
 
 
@@ -66,10 +66,14 @@ class GoldSpec:
     def __post_init__(self):
         if self.horizon_hours <= 0:
             raise ValueError("the label horizon must be at least one hour")
+        # Lags and label are made after the names of the folded sources are cleaned.
+        object.__setattr__(self, "target_column", snake_name(self.target_column))
+        for name in ("day_lag_columns", "required"):
+            object.__setattr__(self, name, tuple(map(snake_name, getattr(self, name))))
 
     @property
     def label(self) -> str:
-        return f"label_{snake_name(self.target_column)}_h_plus_{self.horizon_hours}"
+        return f"label_{self.target_column}_h_plus_{self.horizon_hours}"
 
     @property
     def sources(self) -> tuple[SourceSpec, ...]:
@@ -165,10 +169,6 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
 def fold_source(df: DataFrame, source: SourceSpec, key: str, spec: GoldSpec) -> DataFrame:
     """One row per ``key`` (``event_ts`` or ``event_date``). Rows whose time cannot be read are left out:
     they can match no hour."""
-    pivot = source.pivot
-    if pivot and pivot.values is None and (not source.version_keys or pivot.category in source.version_keys):
-        # Each category keeps a row through the version step, so it can be looked up before it.
-        pivot = replace(pivot, values=tuple(categories(df, pivot.category)))
     if source.version_keys:
         df = latest_version(
             df,
@@ -178,18 +178,9 @@ def fold_source(df: DataFrame, source: SourceSpec, key: str, spec: GoldSpec) ->
         )
     parse = to_wall_clock if key == "event_ts" else to_day
     facts = df.withColumn(key, parse(source.time)).where(F.col(key).isNotNull())
-    if isinstance(pivot, PivotRows):
-        return rollup_with_row_pivot(facts, [key], source.distincts, pivot)
-    return rollup(facts, [key], source.totals, source.distincts, pivot, spec.exact_sums)
-
-
-def gold_spine(target: DataFrame, spec: GoldSpec, target_hourly: DataFrame) -> DataFrame:
-    """Every hour the target covers. The version step keeps each distinct time that is part of its key,
-    so the bounds come from one column of the raw target, without that step's shuffle."""
-    keys = spec.target.version_keys
-    if keys and spec.target.time not in keys:
-        return dense_spine(target_hourly, "event_ts")
-    return dense_spine(target.select(to_wall_clock(spec.target.time).alias("event_ts")), "event_ts")
+    if isinstance(source.pivot, PivotRows):
+        return rollup_with_row_pivot(facts, [key], source.distincts, source.pivot)
+    return rollup(facts, [key], source.totals, source.distincts, source.pivot, spec.exact_sums)
 
 
 def gold_features(sources: Mapping[str, DataFrame], spec: GoldSpec) -> DataFrame:
@@ -197,20 +188,20 @@ def gold_features(sources: Mapping[str, DataFrame], spec: GoldSpec) -> DataFrame
     ratios -> lags and label -> complete rows. ``sources`` maps dataset slug to silver rows.
 
     Facts are reduced to one row per hour before anything is joined, so all steps after the folds work
-    on the time range and not on the data.
+    on the time range and not on the data. The target's fold is pinned, since the spine's bounds come from
+    it as well; so every source is read once.
     """
     folded = {s.dataset: fold_source(sources[s.dataset], s, "event_ts", spec) for s in spec.hourly}
-    target_hourly = fold_source(sources[spec.target.dataset], spec.target, "event_ts", spec)
+    target_hourly = pin(fold_source(sources[spec.target.dataset], spec.target, "event_ts", spec))
     dailies = [fold_source(sources[s.dataset], s, "event_date", spec) for s in spec.daily]
 
-    spine = gold_spine(sources[spec.target.dataset], spec, target_hourly)
-    hourly = left_fold(spine, [target_hourly, *(folded[s.dataset] for s in spec.hourly)], ["event_ts"])
+    hourly = left_fold(dense_spine(target_hourly, "event_ts"), [target_hourly, *(folded[s.dataset] for s in spec.hourly)], ["event_ts"])
     wide = attach_daily(hourly, dailies, "event_ts", spec.daily_lag_days)
     wide = wide.withColumns(
         calendar_fields("event_ts") | {r.alias: guarded_ratio(r.numerator, r.denominator) for r in spec.ratios}
     )
-    wide = lag_columns(wide, spec.features(), "event_ts", block_hours=spec.block_hours)
     wide = wide.toDF(*unique_names(map(snake_name, wide.columns)))
+    wide = lag_columns(wide, spec.features(), "event_ts", block_hours=spec.block_hours, on_spine=True)
     if spec.drop_incomplete:
         t = spec.target_column
         wide = wide.dropna(subset=[t, spec.label, f"{t}_lag_24h", f"{t}_lag_168h", *spec.required])
