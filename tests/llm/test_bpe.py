@@ -65,7 +65,7 @@ def test_joins_inside_words_are_repaired():
 
 def test_chunks_make_up_the_text_and_recur():
     rng = random.Random(8)
-    words = [f"w{rng.randrange(10_000)}" for _ in range(3000)]
+    words = [f"w{rng.randrange(10_000)}" for _ in range(6000)]
     passage = " ".join(words)
     a, b = bpe.chunk_list("other start " + passage), bpe.chunk_list(passage + " tail\n")
     assert b"".join(a).decode() == "other start " + passage

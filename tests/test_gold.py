@@ -182,14 +182,16 @@ def test_every_source_is_read_once(spark, sources):
     store = spark._jsparkSession.sharedState().statusStore()
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     before = store.executionsCount()
-    gold_features(sources, electricity_demand()).collect()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        gold_features(sources, electricity_demand()).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     ran = store.executionsList()
     plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.size()) if ran.apply(i).executionId() >= before]
     for s in electricity_demand().sources:
-        # the final plan of an execution lists each scan with its place
-        scans = sum(p.split("== Initial Plan ==")[0].count(f"/{s.dataset}]") for p in plans)
-        assert scans == 1, s.dataset
+        assert sum(p.count(f"/{s.dataset}]") for p in plans) == 1, s.dataset
 
 
 def test_a_target_column_is_cleaned_like_any_name(sources):

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from fixtures import drop
 from tidemark.functions.paths import bronze_path_fields
-from tidemark.plans.silver import bronze_to_silver
+from tidemark.plans.silver import bronze_to_silver, corrupt_documents
 from tidemark.sources.bronze import METADATA_COLUMNS, bronze_datasets, bronze_files, bronze_slugs, read_bronze
 from tidemark.sources.catalog import MISSING_PROPERTY, register_tables
 from tidemark.sources.tables import read_gold, read_silver, write_partitioned, write_report
@@ -157,3 +157,69 @@ def test_catalog_follows_the_folders(spark, tmp_path):
     assert plan() == {"demanda_real": "keep", "other": "keep"}
     flags = {r.key for r in spark.sql(f"SHOW TBLPROPERTIES {db}.other").collect()}
     assert MISSING_PROPERTY not in flags
+
+
+def test_a_later_run_may_bring_fractions_and_columns(spark, tmp_path):
+    root, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    drop(root, "d", JAN, JAN, [{"k": 1, "v": 1}, {"k": 2, "v": 2}])
+    bronze_to_silver(spark, str(root), silver, widen=True)
+    later = tmp_path / "later"
+    drop(later, "d", FEB, FEB, [{"k": 3, "v": 1.5, "more": "x"}])
+    bronze_to_silver(spark, str(later), silver)
+    got = read_silver(spark, silver, "d").orderBy("k").collect()
+    assert [(r.k, r.v, r.more) for r in got] == [(1.0, 1.0, None), (2.0, 2.0, None), (3.0, 1.5, "x")]
+
+
+def test_a_column_that_does_not_fit_is_named_before_anything_is_written(spark, tmp_path):
+    root, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    drop(root, "d", JAN, JAN, [{"k": 1, "v": 1}])
+    bronze_to_silver(spark, str(root), silver)
+    later = tmp_path / "later"
+    drop(later, "d", FEB, FEB, [{"k": 3, "v": 1.5}])
+    with pytest.raises(TypeError, match="v: double into bigint"):
+        bronze_to_silver(spark, str(later), silver)
+    assert [r.v for r in read_silver(spark, silver, "d").collect()] == [1]
+    schema = T.StructType.fromDDL("k long, v double")
+    other = str(tmp_path / "declared")
+    for source in (root, later):
+        bronze_to_silver(spark, str(source), other, schemas={"d": schema})
+    assert sorted(r.v for r in read_silver(spark, other, "d").collect()) == [1.0, 1.5]
+
+
+@pytest.mark.parametrize("declared", [True, False])
+def test_documents_that_cannot_be_read_are_kept_and_counted(spark, bronze, tmp_path, caplog, declared):
+    bad = tmp_path / "bronze" / "2024" / "01" / "demanda-2024-01-01_2024-01-30.json"
+    bad.write_text('[{"A\u00f1o": 7, "Valor')
+    schemas = {"demanda": T.StructType.fromDDL("`A\u00f1o` long, Valor string, year long")} if declared else {}
+    silver = str(tmp_path / "silver")
+    assert bronze_to_silver(spark, bronze, silver, schemas=schemas) == {"demanda": 3, "demanda-real": 1}
+    assert "demanda: 1 documents could not be read" in caplog.text
+    assert "tidemark_corrupt" not in read_silver(spark, silver, "demanda").columns
+    kept = corrupt_documents(spark, silver, "demanda").collect()
+    assert [(r.text, r.source_file.endswith(bad.name)) for r in kept] == [(bad.read_text(), True)]
+
+
+def test_gold_is_the_union_of_its_files_and_plain_subfolders(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    write_partitioned(spark.createDataFrame([(1, 2024, 1)], "a int, year int, month int"), path)
+    write_partitioned(spark.createDataFrame([(2, 5.0, 2024, 2)], "a int, b double, year int, month int"), path)
+    write_partitioned(spark.createDataFrame([(3, 7, 2023, 1)], "a int, b int, year int, month int"), f"{path}/old")
+    got = read_gold(spark, path).orderBy("a").collect()
+    assert [(r.a, r.b, r.year, r.month) for r in got] == [(1, None, 2024, 1), (2, 5.0, 2024, 2), (3, 7.0, 2023, 1)]
+
+
+def test_catalog_follows_changed_types_and_survives_a_broken_folder(spark, tmp_path):
+    root, db = tmp_path / "silver", "follow_types"
+
+    def plan():
+        return {r.table: r.action for r in register_tables(spark, str(root), db, str(tmp_path / "db")).collect()}
+
+    write_partitioned(spark.createDataFrame([(1, 2024, 1)], "v int, year int, month int"), str(root / "a"))
+    assert plan() == {"a": "create"}
+    spark.createDataFrame([(1.5, 2024, 1)], "v double, year int, month int").write.mode("overwrite").partitionBy("year", "month").parquet(str(root / "a"))
+    for month, kind in ((1, "int"), (2, "string")):
+        one = spark.createDataFrame([(1, 2024, month)], "v int, year int, month int").selectExpr(f"CAST(v AS {kind}) v", "year", "month")
+        one.write.mode("append").partitionBy("year", "month").parquet(str(root / "b"))
+    write_partitioned(spark.createDataFrame([(1, 2024, 1)], "v int, year int, month int"), str(root / "c"))
+    assert plan() == {"a": "replace", "b": "failed", "c": "create"}
+    assert [r.v for r in spark.table(f"{db}.a").collect()] == [1.5] and spark.table(f"{db}.c").count() == 1

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql.types import StructType
+
 from tidemark.plans.audit import AuditParams, audit_report
 from tidemark.plans.gold import electricity_demand, silver_to_gold
 from tidemark.plans.silver import bronze_to_silver
@@ -20,6 +22,15 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--source", required=True)
     silver.add_argument("--target", required=True)
     silver.add_argument("--datasets", default="", help="comma-separated slugs; default all")
+    silver.add_argument(
+        "--schema",
+        action="append",
+        default=[],
+        metavar="SLUG=DDL",
+        help='columns of a dataset\'s JSON, e.g. "demand=Time string, Value double"; may be repeated',
+    )
+    silver.add_argument("--stock-schemas", action="store_true", help="declare the stock electricity datasets")
+    silver.add_argument("--widen", action="store_true", help="write inferred whole numbers as doubles")
 
     gold = jobs.add_parser("gold", help="silver tables to the feature table")
     gold.add_argument("--source", required=True)
@@ -49,7 +60,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = spark_session(f"tidemark-{a.job}")
     if a.job == "silver":
         slugs = [s.strip() for s in a.datasets.split(",") if s.strip()]
-        for slug, rows in bronze_to_silver(spark, a.source, a.target, slugs).items():
+        schemas = electricity_demand().bronze_schemas() if a.stock_schemas else {}
+        for slug, _, ddl in (s.partition("=") for s in a.schema):
+            schemas[slug.strip()] = StructType.fromDDL(ddl)
+        for slug, rows in bronze_to_silver(spark, a.source, a.target, slugs, schemas, widen=a.widen).items():
             print(f"{slug}: {rows} rows")
     elif a.job == "gold":
         spec = electricity_demand(

@@ -9,6 +9,7 @@ not agree with the chunks, the window grows until both its ends agree again, and
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 import types
@@ -21,18 +22,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, keyed, rows_of, same_row, stored
+from tidemark.llm.frames import Rows, keyed, packed, rows_of, same_row, stored, unpacked
 
-REACH = 8  # words under the rolling hash
-CUT_ONE_IN = 64  # mean words of a chunk
+REACH = 32  # bytes under the rolling hash; a power of two
+CUT_ONE_IN = 192  # mean words of a chunk
+MULTIPLIER, MIX = 0x9E3779B1, 0x85EBCA77  # fixed odd numbers
 MOST_WORDS = 1024  # a chunk is cut after so many words in any case
-CACHED_WORDS = 200_000  # encodings a worker keeps; beyond that it starts anew
+CACHED_WORDS = 500_000  # encodings a worker keeps; beyond that it forgets the half it met last
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 EDGE = re.compile(rb"[^ \t-\r]+")
 
-PLACES = pa.schema([("chunk", pa.binary()), ("id", pa.int64()), ("h", pa.int64()), ("at", pa.int32())])
+PLACES = pa.schema(
+    [("chunk", pa.binary()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]
+)
 CODES = pa.schema([("chunk", pa.binary()), ("ids", pa.binary())])
 
 
@@ -57,12 +61,14 @@ class Codec:
 
 class Encoder:
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.tokens = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         self.words: dict[bytes, bytes] = {}
         # a tokenizer that drops white space encodes words one by one; others need the whole chunk
         whole, apart = self.encode([b"a bc\n1"])[0], self.encode([b"a", b"bc", b"1", b"\t1 "])
@@ -77,38 +83,46 @@ class Encoder:
         if not self.apart:
             return self.encode(texts)
         split = [t.split() for t in texts]
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
         known = self.words
+        if len(known) > CACHED_WORDS:  # frequent words were met early
+            for word in list(known)[CACHED_WORDS // 2 :]:
+                del known[word]
         if new := list({w for words in split for w in words if w not in known}):
             known.update(zip(new, self.encode(new)))
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
-        return self.tokenizer.decode(np.frombuffer(ids, self.type).tolist(), skip_special_tokens=False)
+        numbers = np.frombuffer(ids, self.type).tolist()
+        if self.tokenizer.decoder is None:  # then the library puts a space between the tokens
+            return " ".join(map(self.tokens.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
 
 def chunk_ends(text: bytes) -> list[int]:
     """Byte ends of the chunks of ``text``; each but the last ends before a word. None for an empty text."""
     if not text:
         return []
-    space = SPACE[np.frombuffer(text, np.uint8)]
-    starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
-    n = len(starts)
-    if n <= REACH:
+    raw = np.frombuffer(text, np.uint8)
+    space = SPACE[raw]
+    starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    candidates = starts[starts >= REACH]
+    if not len(candidates):
         return [len(text)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, text.split()), np.uint64, n)
-    rolled = np.zeros(n - REACH, np.uint64)  # at k: over the words before word k + REACH
-    for k in range(REACH):
-        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[k : n - REACH + k]
-    rolled ^= rolled >> np.uint64(32)
-    cuts = np.flatnonzero(rolled % np.uint64(CUT_ONE_IN) == 0) + REACH
-    if np.diff(np.concatenate(([0], cuts, [n]))).max() > MOST_WORDS:
-        bounds, more = [0, *cuts.tolist(), n], []
+    rolled, size = raw.astype(np.uint32) + np.uint32(1), 1
+    while size < REACH:  # a hash of the last REACH bytes, put together from those of half the length
+        rolled = rolled[:-size] * np.uint32(pow(MULTIPLIER, size, 1 << 32)) + rolled[size:]
+        size *= 2
+    picked = rolled[candidates - REACH]
+    picked ^= picked >> np.uint32(15)
+    picked *= np.uint32(MIX)
+    cuts = candidates[picked >> np.uint32(16) < (1 << 16) // CUT_ONE_IN]
+    place = np.searchsorted(starts, cuts)
+    if np.diff(np.concatenate(([0], place, [len(starts)]))).max() > MOST_WORDS:
+        bounds, more = [0, *place.tolist(), len(starts)], []
         for a, b in zip(bounds, bounds[1:]):
             more += [b, *range(a + MOST_WORDS, b, MOST_WORDS)]
-        cuts = np.array(sorted(set(more) - {n}))
-    return [*starts[cuts].tolist(), len(text)]
+        cuts = starts[sorted(set(more) - {len(starts)})]
+    return [*cuts.tolist(), len(text)]
 
 
 def chunk_list(text: str | None) -> list[bytes]:
@@ -184,15 +198,18 @@ def encoded(docs: DataFrame, codec: Codec) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(PLACES)
         for doc, h, text in rows_of(batches, "id", "h", "text"):
-            for at, chunk in enumerate(chunk_list(text)):
-                yield from out.add(xxhash.xxh3_128_digest(chunk), doc, h, at)
+            start = 0
+            for chunk in chunk_list(text):
+                end = start + len(chunk)
+                yield from out.add(xxhash.xxh3_128_digest(chunk), doc, h, start, end)
+                start = end
         yield from out.rest()
 
     def encode_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, encoder = Rows(CODES), codec.load()
-        for text, cuts in rows_of(batches, "text", "cuts"):
-            chunks = chunk_list(text)
-            for c, ids in zip(cuts, encoder.chunks([chunks[c["at"]] for c in cuts])):
+        for frame, cuts in rows_of(batches, "packed", "cuts"):
+            text = unpacked(frame)
+            for c, ids in zip(cuts, encoder.chunks([text[c["start"] : c["end"]] for c in cuts])):
                 yield from out.add(c["chunk"], ids, size=len(ids))
         yield from out.rest()
 
@@ -200,28 +217,33 @@ def encoded(docs: DataFrame, codec: Codec) -> DataFrame:
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, encoder = Rows(out_schema, limit=500), codec.load()
-        for doc, text, shared in rows_of(batches, "id", "text", "shared"):
-            chunks = chunk_list(text)
-            given = {s["at"]: s["ids"] for s in shared or ()}
-            own = [k for k in range(len(chunks)) if k not in given]
-            given.update(zip(own, encoder.chunks([chunks[k] for k in own])))
-            ids = join_chunks(chunks, [given[k] for k in range(len(chunks))], encoder)
+        for doc, frame, found in rows_of(batches, "id", "packed", "chunks"):
+            text = unpacked(frame)
+            given = {c["start"]: (c["end"], c["ids"]) for c in found or ()}
+            starts = sorted(given)
+            chunks = [text[a : given[a][0]] for a in starts]
+            codes = [given[a][1] for a in starts]
+            own = [k for k, ids in enumerate(codes) if ids is None]
+            for k, ids in zip(own, encoder.chunks([chunks[k] for k in own])):
+                codes[k] = ids
+            ids = join_chunks(chunks, codes, encoder)
             wide = np.frombuffer(ids, encoder.type).astype("<u4").tobytes()
             decoded = encoder.decode(ids)
             yield from out.add(doc, wide, decoded, size=len(wide) + len(decoded))
         yield from out.rest()
 
-    places = stored(rows.mapInArrow(cut, "chunk binary, id long, h long, at int"), "chunks")
-    place = F.min(F.struct("id", "h", "at")).alias("place")
-    shared = places.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), place).filter("n > 1")
-    first = shared.groupBy(F.col("place.id").alias("id"), F.col("place.h").alias("h"))
-    first = first.agg(F.collect_list(F.struct("chunk", F.col("place.at").alias("at"))).alias("cuts"))
-    codes = rows.join(first, same_row(rows, first)).select("text", "cuts")
+    places = stored(rows.mapInArrow(cut, "chunk binary, id long, h long, start int, end int"), "chunks")
+    place = F.min(F.struct("id", "h", "start", "end")).alias("place")
+    shared = places.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), place).filter("n > 1").select("chunk", "place.*")
+    first = shared.groupBy("id", "h").agg(F.collect_list(F.struct("chunk", "start", "end")).alias("cuts"))
+    texts = packed(rows)
+    codes = texts.join(first, same_row(texts, first)).select("packed", "cuts")
     # a repeated row would encode its chunks again: the codes are told apart by their chunk alone
     codes = codes.mapInArrow(encode_shared, "chunk binary, ids binary").groupBy("chunk").agg(F.first("ids").alias("ids"))
-    found = places.join(codes, "chunk").groupBy("id", "h").agg(F.collect_list(F.struct("at", "ids")).alias("shared"))
+    found = places.join(codes, "chunk", "left").groupBy("id", "h")
+    found = found.agg(F.collect_list(F.struct("start", "end", "ids")).alias("chunks"))
     # the documents are laid out by the same key as above, so that shuffle serves both joins
-    whole = rows.join(found, same_row(rows, found), "left").select(rows["id"], "text", "shared")
+    whole = texts.join(found, same_row(texts, found), "left").select(texts["id"], "packed", "chunks")
     return whole.mapInArrow(assemble, "id long, ids binary, decoded string")
 
 

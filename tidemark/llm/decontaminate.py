@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, rows_of
+from tidemark.llm.frames import Rows, rows_of, small_batches
 
 BLOCK_CHARS = 4_000_000  # benchmark characters that go to the tasks at once; more are taken in turns
 FILTER_BITS = 22
@@ -218,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, params: Leaks = Leaks()) -> Dat
     NULL and empty texts have no regions, on either side. A passage that several items share is reported
     for each. Repeated rows are reported each. Without benchmark texts or documents the result is empty.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, start long, end long, edits long"
     out = docs.sparkSession.createDataFrame([], schema)
     for shared in blocks(benchmark, params):
@@ -237,7 +237,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, params: Leaks = Leaks()) -> Dat
 def without_leaks(docs: DataFrame, benchmark: DataFrame, params: Leaks = Leaks()) -> DataFrame:
     """The documents, with their columns, in which no passage of the benchmark is found."""
     for shared in blocks(benchmark, params):
-        whole = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
+        whole = small_batches(docs).select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             patterns = shared.value

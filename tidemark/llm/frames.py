@@ -1,13 +1,14 @@
 """Helpers the operators share: row keys, words, Arrow batches, connected components."""
 
-from __future__ import annotations
-
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidemark.session import pin, shared_dir
 
@@ -16,6 +17,22 @@ SPACES = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+# What a Python worker gets at once. Spark's own limits let one batch of long texts fill a small executor.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are at most ``BATCH_ROWS`` rows and ``BATCH_BYTES``; smaller
+    settings stay. A longer single row is a batch of its own."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(conf.get(key).removesuffix("b"))
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
@@ -35,7 +52,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     in both are copies of one another and get equal results.
     """
     text = docs[text_col].cast("string")
-    return docs.select(
+    return small_batches(docs).select(
         docs[id_col].alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text")
     )
 
@@ -47,7 +64,24 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Python values row by row, without holding more than one batch."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            yield from zip(*(part.column(c).to_pylist() for c in columns))
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``keyed`` with the text as a zstandard frame in ``packed``, for a shuffle of whole texts.
+    A column function and not mapInArrow: Spark then sees that two joins need the same shuffle."""
+
+    def compressed(texts: pd.Series) -> pd.Series:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        return texts.map(lambda t: compress((t or "").encode("utf-8", "surrogatepass")))
+
+    return rows.select("id", "h", F.pandas_udf(compressed, BinaryType())("text").alias("packed"))
+
+
+def unpacked(frame: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(frame)
 
 
 class Rows:

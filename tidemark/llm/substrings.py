@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, keyed, rows_of, same_row, stored
+from tidemark.llm.frames import Rows, keyed, rows_of, same_row, small_batches, stored
 
 SHARD_SEGMENTS = 1024  # different segments of one anchor in a shard
 SHARD_WORDS = 40_000  # small anchors share an automaton up to so many words
@@ -274,7 +274,7 @@ def removed_words(marks: Iterable[dict], n_words: int, window: int) -> np.ndarra
 
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    whole = docs.select(
+    whole = small_batches(docs).select(
         F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("h")
     )
     return whole.join(marks, same_row(whole, marks), "left").select("doc", whole["id"], "marks")

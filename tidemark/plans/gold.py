@@ -7,6 +7,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.naming import snake_name, unique_names
 from tidemark.functions.numeric import guarded_ratio
@@ -37,6 +38,7 @@ class SourceSpec:
     totals: tuple[Total, ...] = ()
     pivot: PivotTotal | PivotRows | None = None
     version_keys: tuple[str, ...] = ()
+    bronze_schema: str | None = None  # of its JSON drops, as DDL; None: inferred
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,10 @@ class GoldSpec:
     def label(self) -> str:
         return f"label_{self.target_column}_h_plus_{self.horizon_hours}"
 
+    def bronze_schemas(self) -> dict[str, StructType]:
+        """Declared schemas by dataset, for ``bronze_to_silver``."""
+        return {s.dataset: StructType.fromDDL(s.bronze_schema) for s in self.sources if s.bronze_schema}
+
     @property
     def sources(self) -> tuple[SourceSpec, ...]:
         return (self.target, *self.hourly, *self.daily)
@@ -91,6 +97,24 @@ class GoldSpec:
         ]
 
 
+# Raw columns of the stock datasets. Codes and times are text, measures are doubles.
+_DEMAND_SCHEMA = (
+    "FechaHora string, CodigoSICAgente string, TipoMercado string, CodigoVariable string, CodigoDuracion string, "
+    "UnidadMedida string, Version string, Valor double"
+)
+_PLANT_SCHEMA = (
+    "FechaHora string, CodigoPlanta string, CodigoSICAgente string, CodigoVariable string, CodigoDuracion string, "
+    "UnidadMedida string, Version string, Valor double"
+)
+_WATER_SCHEMA = (
+    "Fecha string, RegionHidrologica string, AportesHidricosEnergia double, MediaHistoricaEnergia double, "
+    "PromedioAcumuladoEnergia double"
+)
+_UNIT_SCHEMA = (
+    "Fecha string, CodigoUnidadGeneracion string, CodigoPlanta string, EstadoRecurso string, TipoGeneracion string"
+)
+
+
 def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> GoldSpec:
     """The stock spec: hourly electricity demand with commercial demand, generation, hydrology and
     generating units as features. The strings are fixed values: dataset, source and output names."""
@@ -105,6 +129,7 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
             distincts=(DistinctCount("codigosicagente", f"{target}_agentes"),),
             pivot=PivotTotal("valor", "tipomercado", target),
             version_keys=demand_keys,
+            bronze_schema=_DEMAND_SCHEMA,
         ),
         target_column=target,
         hourly=(
@@ -115,6 +140,7 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
                 distincts=(DistinctCount("codigosicagente", "demanda_comercial_agentes"),),
                 pivot=PivotTotal("valor", "tipomercado", "demanda_comercial"),
                 version_keys=demand_keys,
+                bronze_schema=_DEMAND_SCHEMA,
             ),
             SourceSpec(
                 "generacion-real",
@@ -125,6 +151,7 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
                     DistinctCount("codigosicagente", "generacion_real_agentes"),
                 ),
                 version_keys=plant_keys,
+                bronze_schema=_PLANT_SCHEMA,
             ),
         ),
         daily=(
@@ -137,6 +164,7 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
                     Total("promedioacumuladoenergia", "aporte_hidrico_promedio_acumulado_total"),
                 ),
                 distincts=(DistinctCount("regionhidrologica", "aporte_hidrico_regiones"),),
+                bronze_schema=_WATER_SCHEMA,
             ),
             SourceSpec(
                 "unidades-generacion",
@@ -149,6 +177,7 @@ def electricity_demand(target_dataset: str = "demanda-real", **overrides) -> Gol
                     ),
                 ),
                 pivot=PivotRows(("codigounidadgeneracion", "tipogeneracion"), "tipogeneracion", "unidades_tipo"),
+                bronze_schema=_UNIT_SCHEMA,
             ),
         ),
         ratios=(

@@ -7,17 +7,21 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.naming import with_clean_names
 from tidemark.functions.paths import BRONZE_GLOB_DAY, BRONZE_GLOB_DIR, bronze_path_fields
 
+# The text of a document that is not what the schema says; NULL in all other rows.
+_RAW_CORRUPT = "_tidemark_corrupt"
+CORRUPT_COLUMN = "tidemark_corrupt"
 METADATA_COLUMNS = ("source_file", "dataset_slug", "year", "month", "period_start", "period_end", "processed_at")
 
 
 def bronze_files(spark: SparkSession, root: str, slugs: Iterable[str] = ()) -> DataFrame:
     """One row per bronze file with what its path says; other files are skipped. ``slugs`` empty means
-    all datasets. Only paths are read, not contents, and the list stays on the cluster."""
+    all datasets. Only paths are read, not contents. Spark's file index holds the list of paths on the
+    driver, here and for every reader of these files: some hundreds of bytes for each drop."""
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.json")
@@ -55,16 +59,25 @@ def bronze_slugs(spark: SparkSession, root: str, slugs: Iterable[str] = ()) -> l
     return sorted(r[0] for r in rows)
 
 
-def read_bronze(spark: SparkSession, root: str, slug: str, schema: StructType | None = None) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, root: str, slug: str, schema: StructType | None = None, corrupt: bool = False
+) -> DataFrame:
     """All files of one dataset, with clean names and provenance columns.
 
     Files are found by a glob whose fixed-width dates keep a slug apart from longer slugs that start
-    with it. Pass ``schema`` to spare the extra pass over all files that inference costs.
+    with it. Pass ``schema`` to spare the extra pass over all files that inference costs, and to get the
+    same columns from every run. A document that cannot be read has no rows; with ``corrupt`` it is one
+    row, whose text is in ``CORRUPT_COLUMN``.
     """
     glob = f"{root.rstrip('/')}/{BRONZE_GLOB_DIR}/{slug}-{BRONZE_GLOB_DAY}_{BRONZE_GLOB_DAY}.json"
     reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
-    raw = (reader.schema(schema) if schema else reader).json(glob)
-    return with_provenance(raw, slug)
+    reader = reader.option("columnNameOfCorruptRecord", _RAW_CORRUPT)
+    if schema is None:
+        schema = reader.json(glob).schema
+    fields = [f for f in schema.fields if f.name != _RAW_CORRUPT]
+    raw = reader.schema(StructType([*fields, StructField(_RAW_CORRUPT, StringType())])).json(glob)
+    df = with_provenance(raw, slug)
+    return df if corrupt else df.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
 
 
 def with_provenance(raw: DataFrame, slug: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.naming import snake_name
@@ -32,9 +36,11 @@ def register_tables(
 ) -> DataFrame:
     """Make the catalog follow the dataset folders under ``root`` and return what was (to be) done.
 
-    create: folder without a table. update: new columns are added to the table. keep: nothing to do.
-    flag: the folder of a table registered from this root is gone; the table is marked, never dropped.
-    No folder at all is an error. The database is created when absent, at ``location`` if given.
+    create: folder without a table. update: new columns are added to the table. replace: a column has
+    another type now, so the table is made anew over the same files. keep: nothing to do. flag: the folder
+    of a table registered from this root is gone; the table is marked, never dropped. failed: the files of
+    this folder are no one table; the others are registered all the same. No folder at all is an error. The
+    database is created when absent, at ``location`` if given.
     """
     folders = dataset_folders(spark, root)
     if not folders:
@@ -49,27 +55,12 @@ def register_tables(
     plan = []
     for folder in folders:
         name, path = snake_name(folder), dataset_path(root, folder)
-        table = f"{db}.`{name}`"
-        if name not in existing:
-            plan.append((name, path, "create"))
-            if not dry_run:
-                spark.sql(
-                    f"CREATE TABLE {table} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}' "
-                    f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{root}')"
-                )
-                _recover_partitions(spark, table)
-            continue
-        known = {f.name.lower() for f in spark.table(table).schema}
-        found = spark.read.option("mergeSchema", True).parquet(path).schema
-        added = [f for f in found if f.name.lower() not in known]
-        plan.append((name, path, "update" if added else "keep"))
-        if not dry_run:
-            if added:
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-            spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{MISSING_PROPERTY}')")
-            _recover_partitions(spark, table)
-            spark.catalog.refreshTable(table)
+        try:
+            action = _follow(spark, f"{db}.`{name}`", path, root, name in existing, dry_run)
+        except (PySparkException, Py4JJavaError) as error:  # files that no schema fits come as the latter
+            logging.getLogger(__name__).warning("%s: %s", path, error)
+            action = "failed"
+        plan.append((name, path, action))
 
     present = {snake_name(f) for f in folders}
     for name in sorted(existing - present):
@@ -81,6 +72,33 @@ def register_tables(
     return spark.createDataFrame(plan, PLAN_SCHEMA)
 
 
+def _follow(spark: SparkSession, table: str, path: str, root: str, exists: bool, dry_run: bool) -> str:
+    """Make one table fit the files under ``path``; returns what was (to be) done."""
+    found = {f.name.lower(): f for f in spark.read.option("mergeSchema", True).parquet(path).schema}
+    known = {f.name.lower(): f for f in spark.table(table).schema} if exists else {}
+    changed = [n for n, f in known.items() if n in found and found[n].dataType != f.dataType]
+    added = [f for n, f in found.items() if n not in known]
+    action = "create" if not exists else "replace" if changed else "update" if added else "keep"
+    if dry_run:
+        return action
+    if action == "replace":
+        # The table is external: only its entry goes, the files stay.
+        spark.sql(f"DROP TABLE {table}")
+    if action in ("create", "replace"):
+        spark.sql(
+            f"CREATE TABLE {table} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}' "
+            f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{root}')"
+        )
+    elif action == "update":
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    if exists and action != "replace":
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{MISSING_PROPERTY}')")
+    _recover_partitions(spark, table)
+    spark.catalog.refreshTable(table)
+    return action
+
+
 def _recover_partitions(spark: SparkSession, table: str) -> None:
     """The catalog keeps its own list of a table's partitions and has to be told of new folders."""
     detail = {r["col_name"] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()}

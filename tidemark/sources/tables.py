@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARTITIONS = ("year", "month")
 
@@ -14,13 +15,99 @@ def dataset_path(root: str, slug: str) -> str:
     return f"{root.rstrip('/')}/{slug}"
 
 
+def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what lies directly under ``path``, without hidden names; empty if it is no
+    folder. One listing call."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at) or not fs.getFileStatus(at).isDirectory():
+        return []
+    listed = [(s.getPath().getName(), s.isDirectory()) for s in fs.listStatus(at)]
+    return sorted((n, d) for n, d in listed if not n.startswith(("_", ".")))
+
+
+def read_union(spark: SparkSession, path: str) -> DataFrame:
+    """All rows under ``path`` with every column that any file has. Folders named ``key=value`` are
+    partitions and become columns; plain subfolders are read as well, each with partitions of its own."""
+    reader = spark.read.option("mergeSchema", True)
+    plain = [n for n, folder in _children(spark, path) if folder and "=" not in n]
+    if not plain:
+        return reader.parquet(path)
+    own = [f"{path}/{n}" for n, folder in _children(spark, path) if not folder or "=" in n]
+    parts = [reader.option("basePath", path).parquet(*own)] if own else []
+    parts += [read_union(spark, f"{path}/{n}") for n in plain]
+    out = parts[0]
+    for part in parts[1:]:
+        out = _same_types(out, part).unionByName(_same_types(part, out), allowMissingColumns=True)
+    return out
+
+
+def _same_types(df: DataFrame, other: DataFrame) -> DataFrame:
+    theirs = {f.name: f.dataType for f in other.schema}
+    casts = {}
+    for f in df.schema:
+        if f.name in theirs and (wide := wider(f.dataType, theirs[f.name])) not in (None, f.dataType):
+            casts[f.name] = F.col(f"`{f.name}`").cast(wide)
+    return df.withColumns(casts) if casts else df
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds all values of both, or None. Whole numbers grow with their size; a whole number
+    and a fraction are a double."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, whole) and isinstance(b, whole):
+        return a if whole.index(type(a)) > whole.index(type(b)) else b
+    if isinstance(a, (*whole, T.FloatType, T.DoubleType)) and isinstance(b, (*whole, T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    return None
+
+
 def read_silver(spark: SparkSession, root: str, slug: str) -> DataFrame:
-    return spark.read.parquet(dataset_path(root, slug))
+    return read_union(spark, dataset_path(root, slug))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """A file or folder of Parquet; partition folders become columns."""
-    return spark.read.parquet(path)
+    return read_union(spark, path)
+
+
+def fitted_to(df: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its columns in the types that the table at ``path`` has, so that the files stay one table.
+
+    Fewer columns than the table has, or more, are fine. A column that does not fit, because the table's type
+    does not hold its values, is an error that names it: nothing has been written then.
+    """
+    spark = df.sparkSession
+    if not _children(spark, path):
+        return df
+    there = {f.name.lower(): f.dataType for f in read_union(spark, path).schema}
+    casts, bad = {}, []
+    for f in df.schema:
+        wanted = there.get(f.name.lower())
+        if wanted is None or wanted == f.dataType or f.name in keep:
+            continue
+        if wider(f.dataType, wanted) == wanted or isinstance(f.dataType, T.NullType):
+            casts[f.name] = F.col(f"`{f.name}`").cast(wanted)
+        else:
+            bad.append(f"{f.name}: {f.dataType.simpleString()} into {wanted.simpleString()}")
+    if bad:
+        raise TypeError(f"columns that do not fit the table at {path}: {', '.join(bad)}; declare a schema for it")
+    return df.withColumns(casts) if casts else df
+
+
+def whole_numbers_as_double(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Inferred whole numbers as doubles: the next run may find fractions in the same column."""
+    casts = {
+        f.name: F.col(f"`{f.name}`").cast("double")
+        for f in df.schema
+        if isinstance(f.dataType, (T.IntegerType, T.LongType)) and f.name not in keep
+    }
+    return df.withColumns(casts) if casts else df
 
 
 def write_partitioned(

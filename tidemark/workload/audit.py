@@ -16,17 +16,21 @@ from tidemark.sources.tables import write_report
 from tidemark.workload.gold import ROUNDED_SQL, gold, gold_ctes, rounded
 from tidemark.workload.registry import query, scratch, table
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus",
+)
 LABEL = "label_target_demanda_real_h_plus_24"
 TARGET = "target_demanda_real"
 
 
 def labelled_documents(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
-_DOCS_SQL = "d as (select doc_id, lang, source, n_chars, quality, toxic from documents left join labels using (doc_id))"
-_DOC_COLUMNS = ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+_DOCS_SQL = "d as (select doc_id, text, lang, source, n_chars, quality, toxic from documents left join labels using (doc_id))"
+_DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
 
 
 @query(
@@ -61,10 +65,10 @@ def _(spark, sf_dir):
     return Q.granularity(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
-@query("granularity_by_day", _granularity_sql("select distinct o_orderdate as t from orders where o_orderstatus = 'P'"))
+@query("granularity_by_day", _granularity_sql("select date_trunc('day', l_shipdate) as t from lineitem"))
 def _(spark, sf_dir):
-    days = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderdate").distinct()
-    return Q.granularity(days, "o_orderdate")
+    days = table(spark, sf_dir, "lineitem").select(F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("day"))
+    return Q.granularity(days, "day")
 
 
 def split_sql(source: str, order: str) -> str:
@@ -153,6 +157,17 @@ def _(spark, sf_dir):
     return latest_rows(table(spark, sf_dir, "orders"), 100, ["o_orderdate", "o_orderkey"])
 
 
+@query(
+    "latest_n_with_ties",
+    f"""select * from lineitem order by l_shipdate desc, {", ".join(f"{c} desc nulls last" for c in _LINE_COLUMNS)}
+        limit (select count(*) * 2 // 5 from lineitem)""",
+)
+def _(spark, sf_dir):
+    """Two fifths of a table whose order column is shared by many rows."""
+    lines = table(spark, sf_dir, "lineitem")
+    return latest_rows(lines, lines.count() * 2 // 5, ["l_shipdate"])
+
+
 def two_label_gold(spark, sf_dir):
     """Gold with a second label, so that there is one to drop."""
     return gold(spark, sf_dir).withColumn(
@@ -259,7 +274,7 @@ def _(spark, sf_dir):
 
 
 _GOLD_SPLIT = f"with {gold_ctes()}, s as (select * from {split_sql('gold', 'event_ts')})"
-_DEMO_PARAMS = AuditParams(label=LABEL, forest=M.ForestParams(trees=20))
+_DEMO_PARAMS = AuditParams(label=LABEL)
 
 
 def compare(spark, sf_dir, models, features=None):

@@ -305,3 +305,20 @@ def _(spark, sf_dir):
     )
     paths = table(spark, sf_dir, "orders").select("o_orderkey", path.alias("path"))
     return paths.select("o_orderkey", *[c.alias(n) for n, c in bronze_path_fields("path").items()])
+
+
+@query(
+    "pivot_many_categories",
+    """
+    pivot (select date_trunc('month', l_shipdate) as ship_month, 'supplier_' || l_suppkey as c, l_quantity as q,
+                  sum(l_quantity::decimal(18,2)) over (partition by date_trunc('month', l_shipdate))::double as quantity
+           from lineitem)
+    on c using sum(q) group by ship_month, quantity
+    """,
+)
+def _(spark, sf_dir):
+    """A column per supplier; what a line costs does not depend on how many there are."""
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.withColumn("ship_month", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
+    pivot = PivotTotal("l_quantity", "l_suppkey", "supplier")
+    return rollup(lines, ["ship_month"], [Total("l_quantity", "quantity")], pivot=pivot, exact=CENTS)

@@ -65,15 +65,19 @@ def _(spark, sf_dir):
                where event_type = 'click' group by 1),
          s as (select event_ts, count(distinct user_id) as signup_users from e where event_type = 'signup' group by 1),
          p as (select event_ts, sum(value::decimal(18,2))::double as purchases_value,
-                      count(distinct user_id) as buyers from e where event_type = 'purchase' group by 1)
+                      count(distinct user_id) as buyers from e where event_type = 'purchase' group by 1),
+         x as (select event_ts, sum(value::decimal(18,2))::double as other_value, count(distinct user_id) as other_users
+               from e where event_type not in ('click', 'signup', 'purchase') group by 1)
     select * from sp left join c using (event_ts) left join s using (event_ts) left join p using (event_ts)
+                  left join x using (event_ts)
     """,
 )
 def _(spark, sf_dir):
     events = hourly_events(spark, sf_dir)
 
     def part(event_type, totals=(), distincts=()):
-        return rollup(events.where(F.col("event_type") == event_type), ["event_ts"], totals, distincts, exact=CENTS)
+        mine = F.col("event_type") == event_type if event_type else ~F.col("event_type").isin("click", "signup", "purchase")
+        return rollup(events.where(mine), ["event_ts"], totals, distincts, exact=CENTS)
 
     return left_fold(
         dense_spine(events.select("event_ts")),
@@ -81,6 +85,7 @@ def _(spark, sf_dir):
             part("click", [Total("value", "clicks_value")]),
             part("signup", distincts=[DistinctCount("user_id", "signup_users")]),
             part("purchase", [Total("value", "purchases_value")], [DistinctCount("user_id", "buyers")]),
+            part(None, [Total("value", "other_value")], [DistinctCount("user_id", "other_users")]),
         ],
         ["event_ts"],
     )
