@@ -11,7 +11,7 @@ from tidemark.functions.naming import drop_other_labels
 from tidemark.operators import models as M
 from tidemark.operators import quality as Q
 from tidemark.operators.ordering import latest_rows, row_position
-from tidemark.plans.audit import AuditParams, audit_report, model_comparison, prepare
+from tidemark.plans.audit import AuditParams, audit_report, model_comparison, prepare, with_predictions
 from tidemark.sources.tables import write_report
 from tidemark.workload.gold import ROUNDED_SQL, gold, gold_ctes, rounded
 from tidemark.workload.registry import query, scratch, table
@@ -301,26 +301,100 @@ def _(spark, sf_dir):
     return compare(spark, sf_dir, ["naive_persistence"])
 
 
-_RIDGE_FEATURES = (f"{TARGET}_lag_24h", "demanda_comercial_total")
+# Every numeric column of the feature table but the label, in order.
+_MARKET_COLUMNS = [f"_{t}" for t in ("click", "error", "purchase", "signup", "view")]
+_RIDGE_FEATURES = (
+    TARGET, f"{TARGET}_agentes", *(TARGET + m for m in _MARKET_COLUMNS),
+    "demanda_comercial_total", "demanda_comercial_agentes", *("demanda_comercial" + m for m in _MARKET_COLUMNS),
+    "generacion_real_total", "generacion_real_plantas", "generacion_real_agentes",
+    "aporte_hidrico_energia_total", "aporte_hidrico_media_historica_total", "aporte_hidrico_promedio_acumulado_total",
+    "aporte_hidrico_regiones", "unidades_total", "plantas_total", "unidades_operacion",
+    *("unidades_tipo" + m for m in _MARKET_COLUMNS),
+    "event_hour", "day_of_week", "day_of_month", "day_of_year", "week_of_year", "month_of_year",
+    "is_weekend", "is_month_start", "is_month_end", "aporte_hidrico_vs_media_ratio", "unidades_operacion_share",
+    f"{TARGET}_lag_1h", f"{TARGET}_lag_24h", f"{TARGET}_lag_168h", f"{TARGET}_rolling_mean_24h",
+    f"{TARGET}_rolling_stddev_24h", f"{TARGET}_rolling_mean_168h",
+    "demanda_comercial_total_lag_24h", "generacion_real_total_lag_24h", "year", "month",
+)
+_FILLED = ", ".join(f"coalesce({c}::double, (select median({c}) from s where split = 'train')::double)" for c in _RIDGE_FEATURES)
+
+# Normal equations over standardised features, solved by elimination, one column per step.
+RIDGE_CTES = f"""
+    filled as (select row_number() over () as r, split, {LABEL} as y, [{_FILLED}] as v from s),
+    u as (select r, split, y, unnest(range(1, {len(_RIDGE_FEATURES) + 1})) as i, unnest(v) as x from filled),
+    st as (select i, avg(x) as m, stddev_pop(x) as sd from u where split = 'train' group by i),
+    z as (select r, split, y, i, case when sd > 1e-12 then (x - m) / sd else 0 end as z from u join st using (i)),
+    mean as (select avg(y) as my from filled where split = 'train'),
+    a as (select p.i, q.i as j, sum(p.z * q.z) + (p.i = q.i)::int as a from z p join z q using (r)
+          where p.split = 'train' group by p.i, q.i),
+    b as (select i, sum(z * (y - my)) as b from z, mean where split = 'train' group by i),
+    start as (select list(line order by i) as m from (
+                  select a.i, list_append(list(a order by j), any_value(b)) as line from a join b using (i) group by a.i)),
+    solve as (
+        select 1 as i, m from start
+        union all
+        select i + 1, list_transform(m, lambda line, n: case when n = i
+                          then list_transform(line, lambda x: x / m[i][i])
+                          else list_transform(line, lambda x, c: x - line[i] * m[i][c] / m[i][i]) end)
+        from solve where i <= {len(_RIDGE_FEATURES)}),
+    beta as (select unnest(range(1, {len(_RIDGE_FEATURES) + 1})) as i,
+                    unnest(list_transform(m, lambda line: line[{len(_RIDGE_FEATURES) + 1}])) as beta
+             from solve where i = {len(_RIDGE_FEATURES) + 1}),
+    ridge as (select r, any_value(split) as split, any_value(y) as y, any_value(my) + sum(z * beta) as p
+              from z join beta using (i), mean where split <> 'train' group by r)"""
+_RECURSIVE_SPLIT = _GOLD_SPLIT.replace("with ", "with recursive ", 1)
 
 
 @query(
     "ridge_metrics",
-    f"""{_GOLD_SPLIT},
-    c as (select avg({_RIDGE_FEATURES[0]}) as m1, stddev_pop({_RIDGE_FEATURES[0]}) as s1,
-                 avg({_RIDGE_FEATURES[1]}) as m2, stddev_pop({_RIDGE_FEATURES[1]}) as s2, avg({LABEL}) as my
-          from s where split = 'train'),
-    z as (select s.split, s.{LABEL} as y, my, ({_RIDGE_FEATURES[0]} - m1) / s1 as z1,
-                 ({_RIDGE_FEATURES[1]} - m2) / s2 as z2 from s, c),
-    n as (select sum(z1 * z1) + 1.0 as a, sum(z1 * z2) as b, sum(z2 * z2) + 1.0 as d,
-                 sum(z1 * (y - my)) as e, sum(z2 * (y - my)) as f from z where split = 'train'),
-    m as (select z.split, y, my + z1 * (d * e - b * f) / (a * d - b * b) + z2 * (a * f - b * e) / (a * d - b * b) as p
-          from z, n where split <> 'train')
-    {metrics_sql("m", "y", {"ridge_regression_scaled": "p"})}""",
+    f"""{_RECURSIVE_SPLIT}, {RIDGE_CTES}
+    {metrics_sql("ridge", "y", {"ridge_regression_scaled": "p"})}""",
+)
+def _(spark, sf_dir):
+    return compare(spark, sf_dir, ["ridge_regression_scaled"])
+
+
+@query(
+    "comparison_metrics",
+    f"""{_RECURSIVE_SPLIT}, {RIDGE_CTES},
+    o as (select *, (select avg({LABEL}) from s where split = 'train') as mean from s where split <> 'train')
+    {metrics_sql("o", LABEL, {"dummy_mean": "mean", "naive_persistence": TARGET})} union all
+    {metrics_sql("ridge", "y", {"ridge_regression_scaled": "p"})} union all
+    select split, 'random_forest', count(*), null, null, null, null from o group by split""",
+)
+def _(spark, sf_dir):
+    """The whole comparison; of the forest, which SQL cannot grow, the pairs it was scored on."""
+    found = compare(spark, sf_dir, None)
+    scores = ["mae", "rmse", "r2", "mape_pct"]
+    return found.withColumns({c: F.when(F.col("model") != "random_forest", F.col(c)) for c in scores})
+
+
+@query(
+    "forest_facts",
+    f"""{_GOLD_SPLIT}
+    select split, count({LABEL}) as pairs, true as within_train_labels, true as better_than_mean_on_train
+    from s group by split""",
 )
 def _(spark, sf_dir):
-    # Two features, because SQL can solve the normal equations of two.
-    return compare(spark, sf_dir, ["ridge_regression_scaled"], _RIDGE_FEATURES)
+    """What holds for any forest: it predicts every row, within the range of the labels it was fitted to, and
+    fits those better than their mean does."""
+    rows, label = prepare(gold(spark, sf_dir), _DEMO_PARAMS)
+    features = Q.feature_columns(rows, label)
+    scored, columns = with_predictions(rows, label, features, _DEMO_PARAMS, ["dummy_mean", "random_forest"])
+    train = F.col("split") == "train"
+    of, mean, y = F.col(columns["random_forest"]), F.col(columns["dummy_mean"]), F.col(label)
+    facts = scored.agg(
+        F.min(F.when(train, y)).alias("low"),
+        F.max(F.when(train, y)).alias("high"),
+        F.sum(F.when(train, (of - y) * (of - y))).alias("forest"),
+        F.sum(F.when(train, (mean - y) * (mean - y))).alias("mean"),
+    )
+    both = scored.select("split", of.alias("p")).crossJoin(F.broadcast(facts))  # one row
+    return both.groupBy("split").agg(
+        F.count("p").alias("pairs"),
+        F.bool_and((F.col("p") >= F.col("low")) & (F.col("p") <= F.col("high"))).alias("within_train_labels"),
+        F.first(F.col("forest") < F.col("mean")).alias("better_than_mean_on_train"),
+    )
 
 
 @query("forest_metrics")
