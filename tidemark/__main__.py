@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{silver_to_gold(spark, a.source, a.target, spec)} rows")
     elif a.job == "audit":
         params = AuditParams(a.time_column, a.label, a.validation, a.test, a.latest)
-        write_report(audit_report(read_gold(spark, a.input), params), a.output)
+        write_report(audit_report(read_gold(spark, a.input), params, a.input), a.output)
     else:
         for row in register_tables(spark, a.root, a.database, dry_run=a.dry_run).collect():
             print(f"{row['action']}: {row['table']}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -34,28 +34,34 @@ def feature_columns(df: DataFrame, label: str) -> list[str]:
     return names
 
 
-def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
-    """NULLs (and NaNs) per column with their percentage, most affected first. One pass, one row per
-    task to merge."""
-    missing = []
-    for i, f in enumerate(df.schema):
+def null_counts(df: DataFrame) -> Column:
+    """Aggregate: an array of (column, null_count), NaNs counted as NULLs."""
+    counts = []
+    for f in df.schema:
         gone = F.col(f"`{f.name}`").isNull()
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
             gone = gone | F.isnan(f"`{f.name}`")
-        missing.append(F.count_if(gone).alias(f"_{i}"))
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *missing)
-    per_column = F.array(*[
-        F.struct(F.lit(name).alias("column"), F.col(f"_{i}").alias("null_count"))
-        for i, name in enumerate(df.columns)
-    ])
+        counts.append(F.struct(F.lit(f.name).alias("column"), F.count_if(gone).alias("null_count")))
+    return F.array(*counts)
+
+
+def ranked_nulls(counts: DataFrame, top: int | None = None) -> DataFrame:
+    """From one row (_rows, _nulls: see ``null_counts``), a row per column, most affected first."""
     share = F.try_divide(F.col("null_count").cast("double"), F.col("_rows").cast("double"))
-    profile = counts.select("_rows", F.inline(per_column)).select(
+    profile = counts.select("_rows", F.inline("_nulls")).select(
         "column", "null_count", round_even(share * 100, 2).alias("null_pct")
     )
-    ranked = profile.orderBy(F.desc("null_pct"), F.desc("null_count"), "column")
+    # one row comes in, so its columns are one partition and need no shuffle to be sorted
+    ranked = profile.coalesce(1).sortWithinPartitions(F.desc("null_pct"), F.desc("null_count"), "column")
     return ranked.limit(top) if top else ranked
 
 
+def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
+    """NULLs (and NaNs) per column with their percentage, most affected first. One pass, one row per
+    task to merge."""
+    return ranked_nulls(df.agg(F.count(F.lit(1)).alias("_rows"), null_counts(df).alias("_nulls")), top)
+
+
 def granularity(df: DataFrame, time: str) -> DataFrame:
     """One row: range, distinct and duplicate timestamps, the most common step and how many steps of the
     range are missing. The step is one hour when there is no positive most common one."""
@@ -109,8 +115,8 @@ def temporal_split(
     return df.withColumn(alias, F.when(first, SPLITS[0]).when(second, SPLITS[1]).otherwise(SPLITS[2]))
 
 
-def split_summary(df: DataFrame, time: str, split: str = "split") -> DataFrame:
-    """Rows, start and end of each split; a split without rows is listed with 0."""
+def split_facts(time: str, split: str = "split") -> Column:
+    """Aggregate: an array of rows, start and end per split."""
     facts = []
     for name in SPLITS:
         mine = F.col(split) == name
@@ -122,7 +128,22 @@ def split_summary(df: DataFrame, time: str, split: str = "split") -> DataFrame:
                 F.max(F.when(mine, F.col(time))).alias("end"),
             )
         )
-    return df.agg(F.array(*facts).alias("_splits")).select(F.inline("_splits"))
+    return F.array(*facts)
+
+
+def split_summary(df: DataFrame, time: str, split: str = "split") -> DataFrame:
+    """Rows, start and end of each split; a split without rows is listed with 0."""
+    return df.agg(split_facts(time, split).alias("_splits")).select(F.inline("_splits"))
+
+
+def means_by_split(columns: Sequence[str], split: str = "split") -> Column:
+    """Aggregate: an array of the columns' means per split that has rows."""
+    means = []
+    for name in SPLITS:
+        mine = F.col(split) == name
+        of = [F.round(F.avg(F.when(mine, F.col(c))), 6).alias(c) for c in columns]
+        means.append(F.struct(F.lit(name).alias(split), *of, F.count_if(mine).alias("_n")))
+    return F.filter(F.array(*means), lambda m: m["_n"] > 0)
 
 
 def split_means(df: DataFrame, columns: Sequence[str], split: str = "split") -> DataFrame:

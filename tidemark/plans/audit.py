@@ -94,19 +94,34 @@ def model_comparison(
     return M.regression_metrics(scored.where("split != 'train'"), label, columns)
 
 
-def audit_report(gold: DataFrame, params: AuditParams = AuditParams()) -> dict[str, DataFrame]:
-    """Every section of the report as a small DataFrame; write them with ``write_report``."""
+def audit_report(
+    gold: DataFrame, params: AuditParams = AuditParams(), input_path: str | None = None
+) -> dict[str, DataFrame]:
+    """Every section of the report as a small DataFrame; write them with ``write_report``.
+
+    NULLs, shape, splits and their means are one aggregate over the rows and the months another; the
+    sections are cut from those two results.
+    """
     rows, label = prepare(gold, params)
     audited = rows.drop("split")
     features = Q.feature_columns(audited, label)
     naive = M.naive_column(label, features)
     focus = Q.present(audited, [*params.focus[:1], label, *params.focus[1:]])
-    monthly = Q.monthly_means(audited, params.time, focus)
     ignored = [c for c in label_columns(gold.columns) if c != label]
-    shape = audited.agg(F.count(F.lit(1)).alias("rows")).select(
+    facts = pin(
+        rows.agg(
+            F.count(F.lit(1)).alias("_rows"),
+            Q.null_counts(audited).alias("_nulls"),
+            Q.split_facts(params.time).alias("_splits"),
+            Q.means_by_split(focus).alias("_means"),
+        )
+    )
+    monthly = pin(Q.monthly_means(audited, params.time, focus))
+    shape = facts.select(
+        F.lit(input_path).cast("string").alias("input_path"),
         F.lit(label).alias("target_column"),
         F.lit(params.time).alias("timestamp_column"),
-        "rows",
+        F.col("_rows").alias("rows"),
         F.lit(len(audited.columns)).alias("columns"),
         F.array(*map(F.lit, features)).alias("feature_columns"),
         F.array(*map(F.lit, ignored)).cast("array<string>").alias("ignored_label_columns"),
@@ -115,10 +130,10 @@ def audit_report(gold: DataFrame, params: AuditParams = AuditParams()) -> dict[s
     return {
         "dataset": shape,
         "granularity": Q.granularity(audited, params.time),
-        "splits": Q.split_summary(rows, params.time),
-        "top_null_columns": Q.null_profile(audited, top=20),
-        "null_summary": Q.null_profile(audited),
-        "split_feature_means": Q.split_means(rows, focus),
+        "splits": facts.select(F.inline("_splits")),
+        "top_null_columns": Q.ranked_nulls(facts, top=20),
+        "null_summary": Q.ranked_nulls(facts),
+        "split_feature_means": facts.select(F.inline("_means")).drop("_n"),
         "monthly_means": Q.latest_months(monthly, focus),
         "monthly_changes": Q.largest_changes(Q.monthly_changes(monthly, focus)),
         "models": model_comparison(rows, label, params),

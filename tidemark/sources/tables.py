@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -134,11 +135,15 @@ def write_partitioned(
 
 def write_report(sections: Mapping[str, DataFrame], path: str, csv: Sequence[str] = ("null_summary",)) -> None:
     """One folder per section: JSON, or CSV with a header for the sections named in ``csv``. Sections are
-    a few rows each, so one file is right."""
-    for name, df in sections.items():
-        writer = df.coalesce(1).write.mode("overwrite")
+    a few rows each, so one file is right; they are written side by side."""
+
+    def write(name: str) -> None:
+        writer = sections[name].coalesce(1).write.mode("overwrite")
         target = f"{path.rstrip('/')}/{name}"
         if name in csv:
             writer.option("header", True).csv(target)
         else:
             writer.option("ignoreNullFields", False).json(target)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, sections))
