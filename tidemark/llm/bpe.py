@@ -13,6 +13,7 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ REACH = 32  # bytes under the rolling hash; a power of two
 CUT_ONE_IN = 192  # mean words of a chunk
 MULTIPLIER, MIX = 0x9E3779B1, 0x85EBCA77  # fixed odd numbers
 MOST_WORDS = 1024  # a chunk is cut after so many words in any case
-CACHED_WORDS = 500_000  # encodings a worker keeps; beyond that it forgets the half it met last
+CACHED_WORDS = 320_000  # encodings a worker keeps; beyond that it forgets the half it met last
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -67,7 +68,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.type = np.dtype(self.code)
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
         self.words: dict[bytes, bytes] = {}
         # a tokenizer that drops white space encodes words one by one; others need the whole chunk
@@ -77,7 +79,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [t.decode("utf-8", "surrogatepass") for t in texts]
         found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        return [np.array(e.ids, self.type).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def chunks(self, texts: list[bytes]) -> list[bytes]:
         if not self.apart:
@@ -117,8 +119,8 @@ def chunk_ends(text: bytes) -> list[int]:
     picked *= np.uint32(MIX)
     cuts = candidates[picked >> np.uint32(16) < (1 << 16) // CUT_ONE_IN]
     place = np.searchsorted(starts, cuts)
-    if np.diff(np.concatenate(([0], place, [len(starts)]))).max() > MOST_WORDS:
-        bounds, more = [0, *place.tolist(), len(starts)], []
+    bounds, more = [0 if space[0] else -1, *place.tolist(), len(starts)], []  # a first word at 0 is in no place
+    if np.diff(bounds).max() > MOST_WORDS:
         for a, b in zip(bounds, bounds[1:]):
             more += [b, *range(a + MOST_WORDS, b, MOST_WORDS)]
         cuts = starts[sorted(set(more) - {len(starts)})]
@@ -216,7 +218,7 @@ def encoded(docs: DataFrame, codec: Codec) -> DataFrame:
     out_schema = pa.schema([("id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, encoder = Rows(out_schema, limit=500), codec.load()
+        out, encoder = Rows(out_schema, limit=500, max_bytes=4 << 20), codec.load()
         for doc, frame, found in rows_of(batches, "id", "packed", "chunks"):
             text = unpacked(frame)
             given = {c["start"]: (c["end"], c["ids"]) for c in found or ()}

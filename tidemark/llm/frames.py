@@ -1,5 +1,7 @@
 """Helpers the operators share: row keys, words, Arrow batches, connected components."""
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -67,17 +69,33 @@ def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
             yield from zip(*(part.column(c).to_pylist() for c in columns))
+    give_back()
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``keyed`` with the text as a zstandard frame in ``packed``, for a shuffle of whole texts.
-    A column function and not mapInArrow: Spark then sees that two joins need the same shuffle."""
+def give_back() -> None:
+    """Hand unused memory back to the system. A worker process outlives its task and may stay idle beside
+    others for a long time, and an executor counts them all."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def compressed(text: Column) -> Column:
+    """A text as a zstandard frame, for a shuffle of whole texts; NULL as the empty text. A column function
+    and not mapInArrow: Spark then sees it when two joins need the same shuffle."""
 
-    def compressed(texts: pd.Series) -> pd.Series:
+    def frames(texts: pd.Series) -> pd.Series:
         compress = zstandard.ZstdCompressor(level=1).compress
         return texts.map(lambda t: compress((t or "").encode("utf-8", "surrogatepass")))
 
-    return rows.select("id", "h", F.pandas_udf(compressed, BinaryType())("text").alias("packed"))
+    return F.pandas_udf(frames, BinaryType())(text)
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``keyed`` with the text compressed, in ``packed``."""
+    return rows.select("id", "h", compressed(F.col("text")).alias("packed"))
 
 
 def unpacked(frame: bytes) -> bytes:
@@ -87,7 +105,7 @@ def unpacked(frame: bytes) -> bytes:
 class Rows:
     """Collects output rows and hands them on as record batches of bounded size."""
 
-    def __init__(self, schema: pa.Schema, limit: int = 4000, max_bytes: int = 16 << 20):
+    def __init__(self, schema: pa.Schema, limit: int = 4000, max_bytes: int = 4 << 20):
         self.schema, self.limit, self.max_bytes = schema, limit, max_bytes
         self._clear()
 
