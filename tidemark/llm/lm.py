@@ -73,6 +73,7 @@ class Vocabulary:
     class_words: np.ndarray
     tokens: int
     distinct: int
+    symbol: np.ndarray | None = None  # of every head word
     _class: dict[bytes, int] = field(default_factory=dict)
 
     @property
@@ -91,9 +92,12 @@ class Vocabulary:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Place in the head (-1 for other words) and symbol of every token."""
+        if self.symbol is None:
+            classes = [self.class_of(w) + self.own for w in list(self.index)[self.own :]]
+            self.symbol = np.array([*range(self.own), *classes], np.int64)
         place = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        symbol = place.copy()
-        other = np.flatnonzero((place < 0) | (place >= self.own))
+        symbol = self.symbol[place]
+        other = np.flatnonzero(place < 0)
         of = self.class_of
         symbol[other] = np.fromiter((of(words[i]) for i in other.tolist()), np.int64, len(other)) + self.own
         return place, symbol
@@ -166,6 +170,7 @@ def vocabulary(counts: DataFrame, params: LogBilinear) -> Vocabulary:
         sum(r.tokens for r in steps) + ends,
         sum(r.words for r in steps) + (ends > 0),
     )
+    out.encode([])  # works out the symbols of the head, once
     for word, n in head[1:own]:  # symbols of their own are in no class
         c = out.class_of(word)
         class_tokens[c] -= n
@@ -202,7 +207,7 @@ def start_model(vocab: Vocabulary, params: LogBilinear) -> Model:
 
 def add_rows(into: np.ndarray, squares: np.ndarray, at: np.ndarray, grad: np.ndarray, rate: float) -> None:
     """An AdaGrad step on the rows ``at`` of ``into``; gradients of the same row are added first."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16) if len(into) <= 1 << 16 else at, kind="stable")  # short keys sort by radix
     at = at[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     total, rows = np.add.reduceat(grad[order], first, axis=0), at[first]
