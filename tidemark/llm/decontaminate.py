@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, rows_of, small_batches
+from tidemark.llm.frames import Rows, give_back, rows_of, small_batches
 
 BLOCK_CHARS = 4_000_000  # benchmark characters that go to the tasks at once; more are taken in turns
 FILTER_BITS = 22
@@ -152,7 +152,9 @@ class Patterns:
         for k in keys[hit].tolist():
             p, b = divmod(k, bands)
             low = (b - 1) * self.width - self.params.length
-            place_of = self.align(codes, p, low, low + 2 * self.width - 1)
+            own = diagonal[pattern == p]
+            own = own[(own >= low) & (own < low + 2 * self.width)]
+            place_of = self.equal(codes, p, own) or self.align(codes, p, low, low + 2 * self.width - 1)
             if place_of:
                 start, end, edits = place_of
                 found.setdefault(self.items[p], []).append((int(place[start]), int(place[end - 1]) + 1, edits))
@@ -169,6 +171,13 @@ class Patterns:
             out.append((item, start, end, edits))
         return out
 
+    def equal(self, codes: np.ndarray, p: int, diagonals: np.ndarray) -> tuple[int, int, int] | None:
+        """The alignment without edits on the diagonal of most q-grams, if there is one: none is better."""
+        values, counts = np.unique(diagonals, return_counts=True)
+        start, pattern = int(values[counts.argmax()]), self.codes[p]
+        end = start + len(pattern)
+        return (start, end, 0) if start >= 0 and np.array_equal(codes[start:end], pattern) else None
+
     def align(self, codes: np.ndarray, p: int, low: int, high: int) -> tuple[int, int, int] | None:
         """Best alignment of pattern ``p`` on diagonals ``low`` to ``high``, and ``budget`` beyond them, with
         free ends in the text: (start, end, edits), or None above the budget."""
@@ -237,13 +246,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, params: Leaks = Leaks()) -> Dat
 def without_leaks(docs: DataFrame, benchmark: DataFrame, params: Leaks = Leaks()) -> DataFrame:
     """The documents, with their columns, in which no passage of the benchmark is found."""
     for shared in blocks(benchmark, params):
-        whole = small_batches(docs).select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
+        whole = small_batches(docs).select(F.struct("*").alias("doc"))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             patterns = shared.value
             for batch in batches:
-                clean = pa.array([not patterns.find(t) for t in batch.column("text").to_pylist()], pa.bool_())
+                texts = batch.column("doc").field("text").to_pylist()
+                clean = pa.array([not patterns.find(t) for t in texts], pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("doc")], ["doc"]).filter(clean)
+            give_back()
 
-        docs = whole.mapInArrow(run, whole.select("doc").schema).select("doc.*")
+        docs = whole.mapInArrow(run, whole.schema).select("doc.*")
     return docs
