@@ -310,7 +310,7 @@ def _(spark, sf_dir):
 @query(
     "pivot_many_categories",
     """
-    pivot (select date_trunc('month', l_shipdate) as ship_month, 'supplier_' || l_suppkey as c, l_quantity as q,
+    pivot (select date_trunc('month', l_shipdate) as ship_month, 'supplier_col_' || l_suppkey as c, l_quantity as q,
                   sum(l_quantity::decimal(18,2)) over (partition by date_trunc('month', l_shipdate))::double as quantity
            from lineitem)
     on c using sum(q) group by ship_month, quantity
