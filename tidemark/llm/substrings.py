@@ -30,11 +30,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tidemark.llm.frames import Rows, keyed, rows_of, same_row, small_batches, stored
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tidemark.llm.frames import (
+    Rows,
+    compressed,
+    give_back,
+    keyed,
+    packed,
+    rows_of,
+    same_row,
+    small_batches,
+    stored,
+    unpacked,
+)
 
 SHARD_SEGMENTS = 1024  # different segments of one anchor in a shard
-SHARD_WORDS = 40_000  # small anchors share an automaton up to so many words
+SHARD_WORDS = 20_000  # small anchors share an automaton up to so many words
 WORD = re.compile("[^ \t-\r]+")
 
 ANCHORS = "anchor long, content long, id long, h long, start int, windows int"
@@ -100,6 +112,7 @@ def anchors(rows: DataFrame, params: SubstringDedup) -> DataFrame:
             columns = [anchor_, content, batch.column("id").take(row), batch.column("h").take(row), start, windows]
             names = ["anchor", "content", "id", "h", "start", "windows"]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+        give_back()
 
     return rows.mapInArrow(run, ANCHORS)
 
@@ -222,8 +235,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(SEGMENTS)
-        for text, cuts in rows_of(batches, "text", "cuts"):
-            words = WORD.findall(text)
+        for frame, cuts in rows_of(batches, "packed", "cuts"):
+            words = WORD.findall(text_of(frame))
             for c in cuts:
                 segment = " ".join(words[c["start"] : c["start"] + c["windows"] + window - 1])
                 yield from out.add(c["anchor"], c["content"], c["n"], c["kinds"], segment, size=len(segment))
@@ -231,7 +244,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     cut = F.struct("anchor", "content", "n", "kinds", "start", "windows")
     cuts = wanted.groupBy("id", "h").agg(F.collect_list(cut).alias("cuts"))
-    found = rows.join(cuts, same_row(rows, cuts)).select("text", "cuts")
+    texts = packed(rows)
+    found = texts.join(cuts, same_row(texts, cuts)).select("packed", "cuts")
     return found.mapInArrow(run, "anchor long, content long, n long, kinds long, segment string")
 
 
@@ -272,12 +286,24 @@ def removed_words(marks: Iterable[dict], n_words: int, window: int) -> np.ndarra
     return np.cumsum(edge[:-1]) > 0
 
 
+def text_of(frame: bytes) -> str:
+    return unpacked(frame).decode("utf-8", "surrogatepass")
+
+
 def _with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    """``id``, ``packed`` text (and whether there is none), ``rest`` (the other columns) and the marks of
+    every row."""
+    text = F.col("text").cast("string")
+    rest = F.struct(*[c for c in docs.columns if c != "text"])
+    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
     whole = small_batches(docs).select(
-        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("h")
+        F.col("doc_id").cast("long").alias("id"),
+        hashed.alias("h"),
+        text.isNull().alias("missing"),
+        compressed(text).alias("packed"),
+        rest.alias("rest"),
     )
-    return whole.join(marks, same_row(whole, marks), "left").select("doc", whole["id"], "marks")
+    return whole.join(marks, same_row(whole, marks), "left").select(whole["id"], "missing", "packed", "rest", "marks")
 
 
 DIGEST = pa.schema(
@@ -295,15 +321,15 @@ def kept_words(docs: DataFrame, params: SubstringDedup = SubstringDedup()) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(DIGEST)
-        for doc, text, marks in rows_of(batches, "id", "text", "marks"):
-            words = WORD.findall(text or "")
+        for doc, frame, marks in rows_of(batches, "id", "packed", "marks"):
+            words = WORD.findall(text_of(frame))
             gone = removed_words(marks or (), len(words), window)
             kept = " ".join(w for w, g in zip(words, gone.tolist()) if not g) if marks else " ".join(words)
             yield from out.add(doc, len(words), int(gone.sum()), kept, size=len(kept))
         yield from out.rest()
 
     joined = _with_marks(docs.select("doc_id", "text"), repeated(docs, params))
-    return joined.select("id", F.col("doc.text").cast("string").alias("text"), "marks").mapInArrow(
+    return joined.select("id", "packed", "marks").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept string"
     )
 
@@ -329,15 +355,17 @@ def without_repeats(docs: DataFrame, params: SubstringDedup = SubstringDedup())
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("missing", "packed", "marks"))
+            for missing, frame, marks in zip(*columns):
+                text = None if missing else text_of(frame)
                 if marks:
                     text = cut_out(text, removed_words(marks, len(word_list(text)), window))
                 texts.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], ["doc", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string())], ["rest", "text"])
+        give_back()
 
-    joined = _with_marks(docs, repeated(docs, params))
-    joined = joined.select("doc", F.col("doc.text").cast("string").alias("text"), "marks")
-    schema = joined.select("doc", "text").schema
-    out = joined.mapInArrow(run, schema)
+    joined = _with_marks(docs, repeated(docs, params)).select("missing", "packed", "rest", "marks")
+    out = joined.mapInArrow(run, StructType([joined.schema["rest"], StructField("text", StringType())]))
     kind = docs.schema["text"].dataType
-    return out.select(F.col("doc").withField("text", F.col("text").cast(kind)).alias("doc")).select("doc.*")
+    columns = [F.col("text").cast(kind).alias("text") if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns]
+    return out.select(*columns)
