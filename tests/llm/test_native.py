@@ -44,7 +44,9 @@ def test_measures_equal_brute_force(spark):
     assert sorted(((r.doc_id, *(r[c] for c in columns)) for r in got), key=key) == sorted(((i, *measured(t)) for i, t, _ in rows), key=key)
 
 
-def test_a_failing_host_takes_its_documents_along(spark):
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_a_failing_host_takes_its_documents_along(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality, "BROADCAST_HOSTS", broadcast)
     good = " ".join(map(str, range(40)))
     rows = [(i, "short", "bad") for i in range(50)] + [(50, good, "bad")]
     rows += [(100 + i, good, f"h{i % 5}") for i in range(200)] + [(400, "short", "h1"), (401, good, None)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import SPACES, pin, stored, words
 
 SYMBOLS = "#*$%&|<>"
+BROADCAST_HOSTS = 50_000  # names and rates: a few MB
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,15 @@ def failing_hosts(judged: DataFrame, rules: QualityRules = QualityRules()) -> Da
     return shrunk.filter(F.col("rate") - rules.z * deviation > rules.max_host_rate).select("host", "rate")
 
 
+def _meet_hosts(rows: DataFrame, bad: DataFrame, how: str) -> DataFrame:
+    """``rows`` (with ``host``) joined to failing hosts (``bad_host``). Few hosts fail, and up to
+    ``BROADCAST_HOSTS`` of them go to the rows, so that a host of a third of all rows stays spread; more
+    meet them by a shuffle, which Spark splits where a host is large."""
+    bad = pin(bad)
+    few = bad.count() <= BROADCAST_HOSTS
+    return rows.join(F.broadcast(bad) if few else bad, F.col("host").eqNullSafe(F.col("bad_host")), how)
+
+
 def quality(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str = "source") -> DataFrame:
     """One row per document: its id, the measures, ``base_failed`` and ``kept``.
 
@@ -117,8 +127,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str
     rows = docs.select(F.col("doc_id"), F.col(host_col).alias("host"), F.col("text").cast("string").alias("text"))
     judged = pin(measures(rows, rules).drop("text"))
     bad = failing_hosts(judged, rules)
-    # only failing hosts are joined: a hot host is not moved for the sake of a verdict that it passes
-    out = judged.join(bad.withColumnRenamed("host", "bad_host"), F.col("host").eqNullSafe(F.col("bad_host")), "left")
+    out = _meet_hosts(judged, bad.withColumnRenamed("host", "bad_host"), "left")
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rate").isNull()).drop("host", "bad_host", "rate")
 
 
@@ -132,4 +141,4 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: s
     judged = stored(measures(whole, rules).select("doc", "host", "base_failed"), "judged")
     bad = failing_hosts(judged.select("host", "base_failed"), rules).select(F.col("host").alias("bad_host"))
     good = judged.filter(~F.col("base_failed")).select("doc", "host")
-    return good.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left_anti").select("doc.*")
+    return _meet_hosts(good, bad, "left_anti").select("doc.*")
