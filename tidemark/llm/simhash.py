@@ -141,7 +141,11 @@ def hex_print(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, params: SimHash = SimHash()) -> DataFrame:
     """The documents with their columns, one of each group: that with the smallest id (rows without an id
     come last; rows equal in id and text count once)."""
-    found = groups(docs, params)
+    return kept_of(docs, groups(docs, params))
+
+
+def kept_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One document for each ``root`` of ``found`` (id, h, root)."""
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
     keep = found.groupBy("root").agg(first.alias("k")).select(F.col("k.id").alias("id"), F.col("k.h").alias("h"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
