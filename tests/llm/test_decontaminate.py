@@ -108,3 +108,25 @@ def test_gram_hashes_depend_on_the_gram_alone():
         hashes = dc.gram_hashes(codes, q)
         grams = [codes[i : i + q].tobytes() for i in range(len(codes) - q + 1)]
         assert len(set(zip(grams, hashes.tolist()))) == len(set(grams)) == len(set(hashes.tolist()))
+
+
+def test_a_passage_is_found_wherever_it_begins(spark):
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(n))
+    item = text(60)
+    whole = plain(item)
+    docs = [(a, f"{text(9)}. {whole[a : a + 98]} .{text(9)}") for a in range(0, 140, 7)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], SCHEMA)
+    got = {r.doc_id: r for r in dc.leaks(frame, spark.createDataFrame([(1, item)], ITEMS)).collect()}
+    assert set(got) == {a for a, _ in docs}
+    for a, t in docs:
+        assert whole[a : a + 98].strip() in plain(t[got[a].start : got[a].end])
+
+
+def test_a_short_text_is_found_between_word_bounds(spark):
+    docs = [(1, "so Who wrote: Hamlet? he"), (2, "who wrote hamlets"), (3, "xwho wrote hamlet"), (4, "who wrote hamlet"), (5, None)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], SCHEMA)
+    items = spark.createDataFrame([(7, "Who wrote Hamlet?"), (8, "?")], ITEMS)
+    got = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in dc.leaks(frame, items).collect()}
+    assert got == {(1, 7, 3, 20, 0), (4, 7, 0, 16, 0)}
+    assert {r.doc_id for r in dc.without_leaks(frame, items).collect()} == {2, 3, 5}

@@ -1,11 +1,12 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark texts are cut into overlapping patterns of ``length`` normalised characters. A place in a document
+Every window of ``length`` normalised characters of a benchmark text is a pattern. A place in a document
 that is within ``k`` edits of a pattern of ``m`` characters shares at least m - q + 1 - k q of its q-grams,
-all on diagonals (document position less pattern position) at most ``k`` apart. So shared q-grams are
-counted per pattern in bands of diagonals that overlap by more than ``k``; bands that meet the bound are
-kept, and a banded alignment of the pattern with that region decides. No region within the edit budget is
-missed, whatever the length of the document.
+all on diagonals (document position less benchmark position) at most ``k`` apart. So shared q-grams are
+counted per benchmark text in bands of diagonals that overlap by more than ``k``; in a band that meets the
+bound, the patterns that have enough of its q-grams are kept, and a banded alignment with that region
+decides. No region within the edit budget is missed, whatever the length of the document or where in the
+benchmark text the passage begins.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from tidemark.llm.frames import Rows, give_back, rows_of, small_batches
 
 BLOCK_CHARS = 4_000_000  # benchmark characters that go to the tasks at once; more are taken in turns
 FILTER_BITS = 22
+AT_ONCE = 1024  # patterns aligned at once
 BASE = 0x9E3779B97F4A7C15
 
 FOUND = pa.schema(
@@ -34,12 +36,12 @@ FOUND = pa.schema(
 @dataclass(frozen=True)
 class Leaks:
     """``q``, pattern ``length`` and ``stride`` in normalised characters; ``rate``: edits allowed per
-    character. Benchmark texts of fewer than ``least`` normalised characters prove no leak and are not
-    looked for."""
+    character. Benchmark texts of fewer than ``least`` normalised characters are looked for as a whole,
+    unchanged and between word bounds."""
 
     q: int = 12
     length: int = 80
-    stride: int = 40
+    stride: int = 1
     rate: float = 0.06
     least: int = 40
 
@@ -80,6 +82,10 @@ def normalise(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return out, place
 
 
+def string(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     """A hash of every q-gram, put together from those of half the length."""
     n = len(codes) - q + 1
@@ -102,62 +108,48 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Patterns:
-    """Patterns of a block of benchmark texts and the places of their q-grams."""
+    """A block of benchmark texts and the places of their q-grams. A pattern is a window of a text."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], params: Leaks):
         self.params, self.items, self.codes = params, [], []
+        self.short: dict[str, list[int | None]] = {}
         for item, text in items:
             codes, _ = normalise(text)
-            if len(codes) < max(params.least, params.q):
-                continue
-            last = max(0, len(codes) - params.length)
-            for a in sorted({*range(0, last + 1, params.stride), last}):
+            if len(codes) >= max(params.least, params.q):
                 self.items.append(item)
-                self.codes.append(codes[a : a + params.length])
-        self.budget = np.array([params.edits(len(c)) for c in self.codes], np.int64)
-        self.need = np.array([len(c) - params.q + 1 for c in self.codes], np.int64) - self.budget * params.q
+                self.codes.append(codes)
+            elif len(codes):
+                self.short.setdefault(string(codes), []).append(item)
+        self.short_words = sorted({s.count(" ") + 1 for s in self.short})
+        self.size = np.array([min(params.length, len(c)) for c in self.codes], np.int64)
+        self.budget = np.array([params.edits(int(m)) for m in self.size], np.int64)
+        self.need = self.size - params.q + 1 - self.budget * params.q
         grams = [gram_hashes(c, params.q) for c in self.codes]
         sizes = [len(g) for g in grams]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
-        self.pattern = np.repeat(np.arange(len(grams)), sizes)[order]
+        self.item = np.repeat(np.arange(len(grams)), sizes)[order]
         self.offset = np.concatenate([np.arange(n) for n in sizes])[order] if grams else np.zeros(0, np.int64)
         self.hashes, self.first, self.times = np.unique(hashes[order], return_index=True, return_counts=True)
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
         self.maybe[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
         self.width = int(self.budget.max(initial=0)) + 1
+        self.longest = max(map(len, self.codes), default=0)
+
+    def starts(self, i: int) -> np.ndarray:
+        """Where the patterns of text ``i`` start; the last one ends with the text."""
+        last = len(self.codes[i]) - int(self.size[i])
+        return np.unique(np.append(np.arange(0, last + 1, self.params.stride), last))
 
     def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) of the regions of ``text`` within the budget of a pattern; regions of
         one item that touch are one, with the edits of its worst pattern."""
         codes, place = normalise(text)
+        found = self.find_short(codes)
         hashes = gram_hashes(codes, self.params.q)
         at = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - FILTER_BITS)]) if len(self.hashes) else hashes[:0]
-        if not len(at):
-            return []
-        gram = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
-        same = self.hashes[gram] == hashes[at]
-        at, gram = at[same], gram[same]
-        times = self.times[gram]
-        at = np.repeat(at, times)
-        entry = np.repeat(self.first[gram], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        pattern, diagonal = self.pattern[entry], at - self.offset[entry]
-        band = (diagonal + self.params.length) // self.width  # not below 0
-        bands = len(codes) // self.width + self.params.length // self.width + 3
-        # every diagonal counts for the band that starts at or before it and for the one before
-        key = np.concatenate([pattern * bands + band + 1, pattern * bands + band])
-        keys, counts = np.unique(key, return_counts=True)
-        hit = counts >= self.need[keys // bands]
-        found: dict = {}
-        for k in keys[hit].tolist():
-            p, b = divmod(k, bands)
-            low = (b - 1) * self.width - self.params.length
-            own = diagonal[pattern == p]
-            own = own[(own >= low) & (own < low + 2 * self.width)]
-            place_of = self.equal(codes, p, own) or self.align(codes, p, low, low + 2 * self.width - 1)
-            if place_of:
-                start, end, edits = place_of
-                found.setdefault(self.items[p], []).append((int(place[start]), int(place[end - 1]) + 1, edits))
+        if len(at):
+            self.find_long(codes, hashes, at, found)
         out = []
         for item, spans in found.items():
             spans.sort()
@@ -169,43 +161,96 @@ class Patterns:
                 else:
                     end, edits = max(end, b), max(edits, e)
             out.append((item, start, end, edits))
+        return [(item, int(place[start]), int(place[end - 1]) + 1, edits) for item, start, end, edits in out]
+
+    def find_short(self, codes: np.ndarray) -> dict:
+        """Places of the texts under ``least`` characters, unchanged and between word bounds."""
+        found: dict = {}
+        if self.short:
+            text, gaps = string(codes), np.flatnonzero(codes == 32)
+            begins, ends = [0, *(gaps + 1).tolist()], [*gaps.tolist(), len(codes)]
+            for n in self.short_words:
+                for a, b in zip(begins, ends[n - 1 :]):
+                    for item in self.short.get(text[a:b], ()):
+                        found.setdefault(item, []).append((a, b, 0))
+        return found
+
+    def find_long(self, codes: np.ndarray, hashes: np.ndarray, at: np.ndarray, found: dict) -> None:
+        gram = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
+        same = self.hashes[gram] == hashes[at]
+        at, gram = at[same], gram[same]
+        times = self.times[gram]
+        at = np.repeat(at, times)
+        entry = np.repeat(self.first[gram], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        item, offset = self.item[entry], self.offset[entry]
+        diagonal = at - offset
+        band = (diagonal + self.longest) // self.width  # not below 0
+        bands = len(codes) // self.width + self.longest // self.width + 3
+        # every diagonal counts for the band that starts at or before it and for the one before
+        key = np.concatenate([item * bands + band + 1, item * bands + band])
+        order = np.argsort(key, kind="stable")
+        keys, first, counts = np.unique(key[order], return_index=True, return_counts=True)
+        hit = counts >= self.need[keys // bands]
+        for k, a, n in zip(keys[hit].tolist(), first[hit].tolist(), counts[hit].tolist()):
+            i, b = divmod(k, bands)
+            low = (b - 1) * self.width - self.longest
+            own = order[a : a + n] % len(at)
+            for start, end, edits in self.regions(codes, i, offset[own], diagonal[own], low):
+                found.setdefault(self.items[i], []).append((start, end, edits))
+
+    def regions(self, codes: np.ndarray, i: int, offsets: np.ndarray, diagonals: np.ndarray, low: int) -> list[tuple[int, int, int]]:
+        """(start, end, edits) for each pattern of text ``i`` that has enough of the shared q-grams of the
+        band from ``low`` and is within its budget there."""
+        size, starts, offsets = int(self.size[i]), self.starts(i), np.sort(offsets)
+        shared = np.searchsorted(offsets, starts + size - self.params.q, "right") - np.searchsorted(offsets, starts)
+        starts = starts[shared >= self.need[i]]
+        out = []
+        for d in np.unique(diagonals).tolist() if len(starts) else ():
+            equal = self.equal(codes, i, starts, d)
+            out += [(a + d, a + d + size, 0) for a in starts[equal].tolist()]  # none is better
+            starts = starts[~equal]
+        for at in range(0, len(starts), AT_ONCE):
+            out += self.align(codes, i, starts[at : at + AT_ONCE], low, low + 2 * self.width - 1)
         return out
 
-    def equal(self, codes: np.ndarray, p: int, diagonals: np.ndarray) -> tuple[int, int, int] | None:
-        """The alignment without edits on the diagonal of most q-grams, if there is one: none is better."""
-        values, counts = np.unique(diagonals, return_counts=True)
-        start, pattern = int(values[counts.argmax()]), self.codes[p]
-        end = start + len(pattern)
-        return (start, end, 0) if start >= 0 and np.array_equal(codes[start:end], pattern) else None
-
-    def align(self, codes: np.ndarray, p: int, low: int, high: int) -> tuple[int, int, int] | None:
-        """Best alignment of pattern ``p`` on diagonals ``low`` to ``high``, and ``budget`` beyond them, with
-        free ends in the text: (start, end, edits), or None above the budget."""
-        pattern, budget = self.codes[p], int(self.budget[p])
+    def equal(self, codes: np.ndarray, i: int, starts: np.ndarray, diagonal: int) -> np.ndarray:
+        """Which patterns of text ``i`` occur unchanged on the diagonal."""
+        whole, size = self.codes[i], int(self.size[i])
+        a, b = max(0, -diagonal), min(len(whole), len(codes) - diagonal)
+        sums = np.zeros(len(whole) + 1, np.int64)
+        if a < b:
+            sums[a + 1 : b + 1] = np.cumsum(whole[a:b] == codes[a + diagonal : b + diagonal])
+            sums[b + 1 :] = sums[b]
+        return sums[starts + size] - sums[starts] == size
+
+    def align(self, codes: np.ndarray, i: int, starts: np.ndarray, low: int, high: int) -> list[tuple[int, int, int]]:
+        """Best alignments of patterns of text ``i`` on diagonals ``low`` to ``high``, and ``budget`` beyond
+        them, with free ends in the document: (start, end, edits) of those within the budget."""
+        size, budget = int(self.size[i]), int(self.budget[i])
         low, high = low - budget, high + budget
-        n, far = high - low + 1, len(pattern) + len(codes) + 1
+        n, far = high - low + 1, size + len(codes) + 1
         steps = np.arange(n)
-        cost = np.zeros(n, np.int64)  # row 0: any diagonal may start, at its own place in the text
-        cost[(low + steps < 0) | (low + steps > len(codes))] = far
-        origin = low + steps
-        for j, c in enumerate(pattern.tolist()):
-            x = low + steps + j  # text position before this row's step, by diagonal
+        begin = low + steps + starts[:, None]
+        cost = np.zeros(begin.shape, np.int64)  # row 0: any diagonal may start, at its own place in the document
+        cost[(begin < 0) | (begin > len(codes))] = far
+        origin, last = begin, np.full((len(starts), 1), far)
+        for j in range(size):
+            x = begin + j  # document position before this row's step, by diagonal
             inside = (x >= 0) & (x < len(codes))
-            match = np.full(n, far)
-            match[inside] = cost[inside] + (codes[x[inside]] != c)
-            skip = np.append(cost[1:] + 1, far)  # a pattern character without one of the text
-            took = np.append(origin[1:], 0)
+            other = codes[np.where(inside, x, 0)] != self.codes[i][starts + j][:, None]
+            match = np.where(inside, cost + other, far)
+            skip = np.hstack([cost[:, 1:] + 1, last])  # a pattern character without one of the document
+            took = np.hstack([origin[:, 1:], last])
             new = np.where(skip < match, skip, match)
             source = np.where(skip < match, took, origin)
             new[(x + 1 < 0) | (x + 1 > len(codes))] = far
-            # a text character without one of the pattern: one diagonal on, in the same row
-            best = np.minimum.accumulate(new - steps)
-            winner = np.maximum.accumulate(np.where(new - steps == best, steps, 0))
-            cost, origin = best + steps, source[winner]
-        end = int(cost.argmin())
-        if cost[end] > budget:
-            return None
-        return int(origin[end]), low + end + len(pattern), int(cost[end])
+            # a document character without one of the pattern: one diagonal on, in the same row
+            best = np.minimum.accumulate(new - steps, axis=1)
+            winner = np.maximum.accumulate(np.where(new - steps == best, steps, 0), axis=1)
+            cost, origin = best + steps, np.take_along_axis(source, winner, 1)
+        end = cost.argmin(axis=1)
+        rows = np.flatnonzero(cost.min(axis=1) <= budget)
+        return [(int(origin[r, end[r]]), int(begin[r, end[r]]) + size, int(cost[r, end[r]])) for r in rows]
 
 
 def blocks(benchmark: DataFrame, params: Leaks) -> Iterator:
@@ -216,7 +261,7 @@ def blocks(benchmark: DataFrame, params: Leaks) -> Iterator:
     for b in range(count):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()
         patterns = Patterns([tuple(r) for r in block], params)
-        if patterns.codes:
+        if patterns.codes or patterns.short:
             yield benchmark.sparkSession.sparkContext.broadcast(patterns)
 
 
