@@ -107,6 +107,22 @@ def test_no_message_is_lost_in_a_crowded_block(spark, most):
     assert all(r.mask.count("1") == r.n_trained and len(r.mask) == r.n_messages for r in got)
 
 
+def test_parts_of_a_crowded_block_give_the_dialogue_in_order(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(c, t, f"p{i % 3}", f"text {i:03d}") for c, t in ((1, 3), (None, None), (2, None)) for i in range(50)]
+    rows += [(1, 2, "p1", "before"), (1, 4, "p1", "after"), (3, 0, "p0", "alone"), (1, 40, "p0", "late")]
+    frame_ = spark.createDataFrame(rows, schema).repartition(5)
+    whole = {(r.conv_id, r.speaker, r.block): r for r in rotate(frame_, ChatFormat(most=1000)).collect()}
+    parts = {}
+    for r in sorted(rotate(frame_, ChatFormat(most=8)).collect(), key=lambda r: r.part):
+        assert r.n_messages <= 8
+        parts.setdefault((r.conv_id, r.speaker, r.block), []).append(r)
+    assert set(parts) == set(whole)
+    for k, rs in parts.items():
+        assert [r.part for r in rs] == list(range(-(-whole[k].n_messages // 8)))
+        assert "".join(r.dialogue for r in rs) == whole[k].dialogue and "".join(r.mask for r in rs) == whole[k].mask
+
+
 def test_url_rules_and_reputation(spark):
     urls = [None, "", "no scheme", "HTTP://A.Example.ORG/es/x?q#f", "x://example.org", "x://example.org/en/12", "x://y.com/de/",
             "x://com/fr/1?://z", "x://notexample.org/es/", "x://bad.net/1\n2", "x://b.bad.net/", "x://u@h.co.uk:80/p#a?b"]

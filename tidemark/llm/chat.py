@@ -13,12 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidemark.operators.ordering import block_starts, ordered_blocks, with_block_value
 
 
 @dataclass(frozen=True)
 class ChatFormat:
     """``turns``: turn numbers in a block. ``most``: messages in a row; a block of more, which only
-    repeated turn numbers can make, is dealt to several rows by a hash of its messages."""
+    repeated turn numbers can make, is cut into several rows, whose texts put together by part are the block."""
 
     turns: int = 32
     most: int = 128
@@ -26,6 +29,21 @@ class ChatFormat:
     end: str = "<|im_end|>"
 
 
+def in_parts(said: DataFrame, most: int) -> DataFrame:
+    """``said`` with ``part``: the messages of each block by rank, ``most`` to a part. Messages are ranged and
+    counted by range first, so no task holds a block."""
+    order = ["conv_id", "block", "turn", "role", "text"]
+    ranged = ordered_blocks(said, order)
+    starts, _ = block_starts(ranged)
+    within = F.row_number().over(Window.partitionBy("_block").orderBy(*order)) - 1
+    placed = with_block_value(ranged.withColumn("_within", within), starts, "_start")
+    placed = placed.select(*order, (F.col("_start") + F.col("_within")).alias("at"))
+    first = placed.groupBy(F.col("conv_id").alias("_conv"), F.col("block").alias("_of")).agg(F.min("at").alias("_first"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_of"))
+    part = F.floor((F.col("at") - F.col("_first")) / most).cast("long")
+    return placed.join(first, same).select(*order, part.alias("part"))
+
+
 def rotate(messages: DataFrame, style: ChatFormat = ChatFormat()) -> DataFrame:
     """From (conv_id, turn, role, text), a row per conversation, participant and block: conv_id, speaker,
     block, part, ``dialogue``, ``mask`` (a 1 or 0 for each message, 1 where it is trained on), n_messages,
@@ -43,12 +61,10 @@ def rotate(messages: DataFrame, style: ChatFormat = ChatFormat()) -> DataFrame:
     ).distinct()  # before anything is gathered: repeated rows are one message
     said = said.withColumn("block", F.floor(F.col("turn") / style.turns).cast("long"))
     size = said.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-    large = size.filter(F.col("n") > style.most).select(
-        F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), F.ceil(F.col("n") / style.most).alias("parts")
-    )
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_block"))
-    part = F.pmod(F.xxhash64("role", "text"), F.coalesce("parts", F.lit(1)))
-    said = said.join(large, same, "left").withColumn("part", part).drop("_conv", "_block", "parts")
+    large = size.filter(F.col("n") > style.most).select(F.col("conv_id").alias("_conv"), F.col("block").alias("_of"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_of"))
+    crowded = in_parts(said.join(large, same, "left_semi"), style.most)
+    said = said.join(large, same, "left_anti").withColumn("part", F.lit(0).cast("long")).unionByName(crowded)
     order = F.struct(F.col("turn"), F.col("role"), F.col("text"))
     blocks = said.groupBy("conv_id", "block", "part").agg(F.array_sort(F.collect_list(order)).alias("messages"))
     people = said.select(F.col("conv_id").alias("_conv"), F.col("role").alias("speaker")).distinct()
