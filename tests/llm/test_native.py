@@ -2,10 +2,11 @@
 
 import re
 from collections import Counter
+from importlib import resources
 
 import pytest
 
-from tidemark.llm import quality
+from tidemark.llm import licences, quality
 from tidemark.llm.chat import ChatFormat, rotate
 from tidemark.llm.licences import known_digests, license_scan
 from tidemark.llm.quality import QualityRules
@@ -86,6 +87,24 @@ def test_licences(spark):
     assert len({r.digest for r in got if r.doc_id in (3, 4, 5)}) == 1
 
 
+def test_whole_licence_texts(spark):
+    bsd = licences.BSD_HEAD + "\n1. " + licences.BSD_CONDITIONS[0] + "\n2. " + licences.BSD_CONDITIONS[1]
+    ends = "\n" + licences.BSD_AS_IS.format("HOLDER")
+    third = "\n3. " + licences.BSD_CONDITIONS[2].format("the copyright holder")
+    read = lambda name: (resources.files("tidemark.llm") / "texts" / name).read_text()
+    texts = {
+        "BSD-2-Clause": "BSD 2-Clause License\n\nCopyright (c) 2020, Somebody\nAll rights reserved.\n\n" + bsd + ends,
+        "BSD-3-Clause": "Copyright 2020 Somebody\n\n" + bsd + third + ends,
+        "Apache-2.0": read("Apache-2.0.txt").split("   APPENDIX")[0],
+        "GPL-3.0": "\n" + read("GPL-3.0.txt"),
+        "MPL-2.0": read("MPL-2.0.txt").replace("http://", "https://"),
+    }
+    got = license_scan(frame(spark, [(i, t, "s") for i, t in enumerate(texts.values())]), known_digests(spark)).collect()
+    assert [r.license for r in sorted(got, key=lambda r: r.doc_id)] == list(texts)
+    digests = [r.digest for r in known_digests(spark).collect()]
+    assert len(digests) == len(set(digests))
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", "yo"), (1, 2, "ann", None), (1, 2, "ann", None), (1, 40, "cy", "late"),
             (None, None, None, "?"), (2, 5, "ann", "tie b"), (2, 5, "ann", "tie a")]

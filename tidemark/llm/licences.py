@@ -8,6 +8,7 @@ each of their lines, since a notice is often one line of a longer document.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,51 @@ SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RE
 PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION
 WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
 """
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+BSD_CONDITIONS = (
+    """Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+""",
+    """Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+""",
+    """Neither the name of {} nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+""",
+)
+BSD_AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def bsd_texts(clauses: int, titles: tuple[str, ...]) -> tuple[str, ...]:
+    """The text with and without a title and numbers, as its published forms have them."""
+    names = ("the copyright holder", "the copyright holders", "the author") if clauses == 3 else ("",)
+    return tuple(
+        title + BSD_HEAD + "".join(f"{n}. {c}" if numbers else c for n, c in enumerate(BSD_CONDITIONS[:clauses], 1)).format(name)
+        + BSD_AS_IS.format(holder)
+        for title in ("", *titles) for numbers in (True, False) for name in names for holder in ("HOLDER", "OWNER", "HOLDERS")
+    )
+
+
+def published(name: str, *ends: str) -> tuple[str, ...]:
+    """A text of the folder ``texts``, whole and up to each of ``ends``, after which it only says how to apply it."""
+    text = (resources.files("tidemark.llm") / "texts" / f"{name}.txt").read_text("utf-8")
+    return (text, *(text[: text.index(end) + len(end)] for end in ends))
+
+
 KNOWN: Mapping[str, tuple[str, ...]] = {
     "MIT": (
         "MIT License\n" + MIT_GRANT + AS_IS,
@@ -48,20 +94,29 @@ KNOWN: Mapping[str, tuple[str, ...]] = {
     ),
     "ISC": ("ISC License\n" + ISC_GRANT + ISC_AS_IS, ISC_GRANT + ISC_AS_IS, "SPDX-License-Identifier: ISC"),
     "Apache-2.0": (
+        *published("Apache-2.0", "END OF TERMS AND CONDITIONS"),
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License");',
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL-3.0": (
+        *published("GPL-3.0", "END OF TERMS AND CONDITIONS"),
         "This work is licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"),
-    "BSD-3-Clause": ("SPDX-License-Identifier: BSD-3-Clause",),
-    "BSD-2-Clause": ("SPDX-License-Identifier: BSD-2-Clause",),
+    "BSD-3-Clause": (
+        *bsd_texts(3, ("BSD 3-Clause License\n", "The 3-Clause BSD License\n")),
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ),
+    "BSD-2-Clause": (
+        *bsd_texts(2, ("BSD 2-Clause License\n", "The 2-Clause BSD License\n")),
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
     "MPL-2.0": (
+        *published("MPL-2.0"),
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
