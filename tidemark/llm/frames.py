@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -158,9 +158,14 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A name in the shared folder that nothing else has."""
+    return f"{shared_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new folder in the shared folder, and read back: several passes get the
     same rows, also after executors are lost, and take less room than a checkpoint."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
