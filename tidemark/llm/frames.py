@@ -163,6 +163,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
+BROADCAST_ROWS = 500_000  # of two or three numbers each
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` for a join, to be broadcast where it has no more than ``rows`` rows, and shuffled beyond that."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to a new folder in the shared folder, and read back: several passes get the
     same rows, also after executors are lost, and take less room than a checkpoint."""
