@@ -112,9 +112,10 @@ def whole_numbers_as_double(df: DataFrame, keep: Sequence[str] = ()) -> DataFram
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str] = PARTITIONS, rebalance: bool = True
+    df: DataFrame, path: str, partition_by: Sequence[str] = PARTITIONS, rebalance: bool = True, append: bool = False
 ) -> int:
-    """Write Parquet, replacing only the partitions ``df`` has rows for, and return the rows written.
+    """Write Parquet, replacing only the partitions ``df`` has rows for (or adding to them with ``append``), and
+    return the rows written.
 
     ``rebalance`` gathers each partition's rows into files of a good size; a partition that is much
     larger than the rest is split over several tasks at run time. Without it, every task writes its own
@@ -125,7 +126,7 @@ def write_partitioned(
     written = Observation()
     (
         laid_out.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
+        .write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import shared_dir
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,4 +36,4 @@ def single(df: DataFrame, columns) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder, for queries that write and read back."""
-    return f"{shared_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.plans.refresh import refresh_silver
 from tidemark.plans.silver import bronze_to_silver
-from tidemark.sources.bronze import bronze_datasets, bronze_files
+from tidemark.session import removed
+from tidemark.sources.bronze import bronze_datasets, bronze_files, bronze_slugs
 from tidemark.sources.catalog import register_tables
 from tidemark.sources.tables import dataset_path, read_gold, read_silver, write_partitioned
+from tidemark.sources.variant import read_bronze_once
 from tidemark.workload.gold import gold, gold_ctes, rounded, rounded_sql
 from tidemark.workload.registry import query, scratch, table
 
@@ -35,7 +38,7 @@ def write_bronze(df: DataFrame, root: str, slug: str, day: str, order: str) -> N
     lead = F.when(F.row_number().over(newest_last) == 1, "[").otherwise(",")
     tail = F.when(F.lead("_order").over(newest_last).isNull(), "]").otherwise("")
     lines = rows.withColumn("value", F.concat(lead, "_json", tail))
-    staging = f"{root}-staging"
+    staging = scratch(df.sparkSession, "staging")
     (
         lines.sortWithinPartitions("drop", "folder", "_order")
         .select("value", "folder", "drop")
@@ -65,24 +68,21 @@ def events_bronze(spark, sf_dir) -> str:
     return _PREPARED[key]
 
 
+def event_drops(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("events-"), "event_type").alias("slug"),
+        F.to_date("ts").alias("day"),
+        F.col("event_id").alias("EventID"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Fecha Hora"),
+        F.col("user_id").alias("Código Usuario"),
+        F.col("value").alias("1er Valor"),
+        F.year("ts").alias("Year"),
+    )
+
+
 def _write_events_bronze(spark, sf_dir) -> str:
     root = scratch(spark, "bronze")
-    events = table(spark, sf_dir, "events")
-    write_bronze(
-        events.select(
-            F.concat(F.lit("events-"), "event_type").alias("slug"),
-            F.to_date("ts").alias("day"),
-            F.col("event_id").alias("EventID"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Fecha Hora"),
-            F.col("user_id").alias("Código Usuario"),
-            F.col("value").alias("1er Valor"),
-            F.year("ts").alias("Year"),
-        ),
-        root,
-        "slug",
-        "day",
-        "EventID",
-    )
+    write_bronze(event_drops(spark, sf_dir), root, "slug", "day", "EventID")
     return root
 
 
@@ -115,6 +115,60 @@ def _(spark, sf_dir):
     return reduce(DataFrame.unionByName, tables)
 
 
+@query(
+    "bronze_variant",
+    """
+    select 'events-' || event_type as dataset_slug, event_id as eventid, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as fecha_hora,
+           user_id as codigo_usuario, value as col_1er_valor, year(ts)::bigint as raw_year, year(ts)::int as "year",
+           month(ts)::int as "month", ts::date as period_start
+    from events
+    """,
+)
+def _(spark, sf_dir):
+    """Every drop parsed once, into VARIANT; types and rows come from what was parsed."""
+    root = events_bronze(spark, sf_dir)
+    tables = [read_bronze_once(spark, root, slug) for slug in bronze_slugs(spark, root)]
+    return reduce(DataFrame.unionByName, tables).drop("source_file", "period_end", "processed_at")
+
+
+@query(
+    "bronze_incremental",
+    """
+    with e as (select *, 'events-' || event_type as slug, ts::date as day from events),
+         days as (select day, row_number() over (order by day) as n, count(*) over () as all_days from (select distinct day from e)),
+         dated as (select e.*, 2 * n <= all_days as early, n = 1 as first_day from e join days using (day)),
+         drops as (select count(distinct (slug, day)) filter (where early) as first_run,
+                          count(distinct (slug, day)) filter (where not early or first_day) as third_run,
+                          count(distinct (slug, day)) filter (where first_day) as changed from dated)
+    select event_id as eventid, slug as dataset_slug, user_id as codigo_usuario,
+           case when first_day then value + 1 else value end as col_1er_valor, day as period_start,
+           first_run || ',0,' || third_run as drops_read, '0,0,' || changed as drops_changed
+    from dated, drops
+    """,
+)
+def _(spark, sf_dir):
+    """Three refreshes: half of the days, nothing new, and the other days with all drops of the first day changed."""
+    root, silver = scratch(spark, "bronze"), scratch(spark, "silver")
+    drops = event_drops(spark, sf_dir)
+    days = sorted(r["day"] for r in drops.select("day").distinct().collect())
+    first, middle, runs = days[0], days[len(days) // 2 - 1], []
+    write_bronze(drops.where(F.col("day") <= middle), root, "slug", "day", "EventID")
+    runs.append(refresh_silver(spark, root, silver))
+    runs.append(refresh_silver(spark, root, silver))
+    for path in bronze_files(spark, root).where(F.col("period_start") == first).select("path").collect():
+        removed(spark, path[0])
+    again = drops.where(F.col("day") == first).withColumn("1er Valor", F.col("1er Valor") + 1)
+    write_bronze(again.union(drops.where(F.col("day") > middle)), root, "slug", "day", "EventID")
+    runs.append(refresh_silver(spark, root, silver))
+    rows = reduce(DataFrame.unionByName, [read_silver(spark, silver, slug) for slug in runs[0]])
+    read = [str(sum(r.drops for r in run.values())) for run in runs]
+    changed = [str(sum(r.changed for r in run.values())) for run in runs]
+    return rows.select(
+        "eventid", "dataset_slug", "codigo_usuario", "col_1er_valor", "period_start",
+        F.lit(",".join(read)).alias("drops_read"), F.lit(",".join(changed)).alias("drops_changed"),
+    )
+
+
 @query("silver_counts", "select 'events-' || event_type as dataset_slug, count(*) as rows from events group by 1")
 def _(spark, sf_dir):
     written = bronze_to_silver(spark, events_bronze(spark, sf_dir), scratch(spark, "silver"), at_once=4)
