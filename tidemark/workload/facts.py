@@ -8,6 +8,8 @@ from tidemark.functions.naming import with_clean_names, with_prefix
 from tidemark.functions.numeric import guarded_ratio, version_rank
 from tidemark.functions.paths import bronze_path_fields
 from tidemark.functions.time import hour_floor
+from tidemark.operators.bitmaps import distinct_by_grain
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.rollup import (
     DistinctCount,
     PivotRows,
@@ -310,15 +312,59 @@ def _(spark, sf_dir):
 @query(
     "pivot_many_categories",
     """
-    pivot (select date_trunc('month', l_shipdate) as ship_month, 'supplier_col_' || l_suppkey as c, l_quantity as q,
-                  sum(l_quantity::decimal(18,2)) over (partition by date_trunc('month', l_shipdate))::double as quantity
-           from lineitem)
-    on c using sum(q) group by ship_month, quantity
+    with cells as (select date_trunc('month', l_shipdate) as ship_month, 'supplier_col_' || l_suppkey as supplier,
+                          sum(l_quantity::decimal(18,2))::double as quantity from lineitem group by 1, 2),
+         months as (select ship_month, sum(l_quantity::decimal(18,2))::double as month_quantity
+                    from (select date_trunc('month', l_shipdate) as ship_month, l_quantity from lineitem) group by 1),
+         suppliers as (select distinct supplier from cells)
+    select ship_month, month_quantity, supplier, quantity
+    from months cross join suppliers left join cells using (ship_month, supplier)
     """,
 )
 def _(spark, sf_dir):
-    """A column per supplier; what a line costs does not depend on how many there are."""
+    """A column per supplier, read back as rows so that SQL can state them; what a line costs does not depend on how
+    many there are."""
     lines = table(spark, sf_dir, "lineitem")
     lines = lines.withColumn("ship_month", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
     pivot = PivotTotal("l_quantity", "l_suppkey", "supplier")
-    return rollup(lines, ["ship_month"], [Total("l_quantity", "quantity")], pivot=pivot, exact=CENTS)
+    wide = rollup(lines, ["ship_month"], [Total("l_quantity", "month_quantity")], pivot=pivot, exact=CENTS)
+    keys = ["ship_month", "month_quantity"]
+    return wide.unpivot(keys, [c for c in wide.columns if c not in keys], "supplier", "quantity")
+
+
+@query(
+    "distinct_bitmaps",
+    " union all ".join(
+        f"""select '{grain}' as grain, date_trunc('{grain}', ts)::timestamp as period, count(distinct user_id) as user_id,
+                   count(distinct event_type) as event_type from events group by 2"""
+        for grain in ("hour", "day", "month")
+    ),
+)
+def _(spark, sf_dir):
+    """Hours, days and months from one aggregate over the events."""
+    return distinct_by_grain(table(spark, sf_dir, "events"), "ts", ["user_id", "event_type"])
+
+
+_QUANTILES = (0.0, 0.25, 0.5, 0.9, 1.0)
+_MEASURES = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@query(
+    "exact_quantiles",
+    f"""
+    with lists as ({
+        " union all ".join(
+            f"select l_returnflag, '{c}' as \"column\", list_sort(list({c})) as v from lineitem group by 1" for c in _MEASURES
+        )
+    }),
+    spots as (select *, len(v) as n, unnest({list(_QUANTILES)}::double[]) as probability from lists),
+    ends as (select *, probability * (n - 1) as place, v[floor(probability * (n - 1))::int + 1] as lower,
+                    v[ceil(probability * (n - 1))::int + 1] as upper from spots)
+    select l_returnflag, "column", probability, n::bigint as n, lower, upper,
+           case when lower = upper then lower else lower + (upper - lower) * (place - floor(place)) end as value
+    from ends
+    """,
+)
+def _(spark, sf_dir):
+    """Five quantiles of three columns per flag; no row is ordered."""
+    return exact_quantiles(table(spark, sf_dir, "lineitem"), _MEASURES, _QUANTILES, by=["l_returnflag"])
