@@ -9,53 +9,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.operators.ordering import keys_at, ordered_blocks, sorts_before, tie_columns
+from tidemark.operators.ordering import keys_at, sorts_before, tie_columns
+from tidemark.operators.quantiles import exact_quantiles
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Exact median of each column, NULLs skipped. A column without values is left out.
-
-    All columns at once: count each (column, value), range-partition those counts, then read off the
-    middle ranks. No task holds a whole column; the driver sees one number per block and column.
-    """
-    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    counts = df.select(F.inline(cells)).where("value IS NOT NULL").groupBy("name", "value").count()
-    blocked = ordered_blocks(counts, ["name", "value"])
-    sizes = blocked.groupBy("name", "_block").agg(F.sum("count").alias("n")).collect()
-
-    wanted = []
-    for name in columns:
-        mine = sorted((r["_block"], r["n"]) for r in sizes if r["name"] == name)
-        total = sum(n for _, n in mine)
-        for rank in {(total - 1) // 2, total // 2} if total else ():
-            before = 0
-            for block, n in mine:
-                if rank < before + n:
-                    wanted.append((name, block, rank - before))
-                    break
-                before += n
-    if not wanted:
-        return {}
-    upto = F.sum("count").over(Window.partitionBy("name", "_block").orderBy("value"))
-    spots = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(block).alias("block"), F.lit(rank).alias("rank"))
-        for name, block, rank in wanted
-    ])
-    hit = F.exists(
-        spots,
-        lambda s: (s["name"] == F.col("name"))
-        & (s["block"] == F.col("_block"))
-        & (s["rank"] < F.col("_upto"))
-        & (s["rank"] >= F.col("_upto") - F.col("count")),
-    )
-    needed = F.col("_block").isin(sorted({b for _, b, _ in wanted}))
-    middle = blocked.where(needed).withColumn("_upto", upto).where(hit).groupBy("name").agg(
-        # One row covers both middle ranks, or two rows cover one each.
-        ((F.min("value") + F.max("value")) / 2).alias("median")
-    )
-    return {r["name"]: r["median"] for r in middle.collect()}
+    """Exact median of each column, NULLs skipped. A column without values is left out. All columns at once; two
+    passes over ``df``, of which only the values around the middle are ordered."""
+    rows = exact_quantiles(df, columns, [0.5]).collect()
+    return {r["column"]: (r["lower"] + r["upper"]) / 2 for r in rows}
 
 
 def fill_with(df: DataFrame, values: dict[str, float]) -> DataFrame:

@@ -7,6 +7,7 @@ cross blocks is one small row per block.
 
 from __future__ import annotations
 
+import datetime as dt
 from bisect import bisect_right
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidemark.functions.time import wall_micros
+from tidemark.operators.quantiles import values_at
 from tidemark.session import pin
 
 
@@ -105,9 +108,12 @@ def keys_at(
 ) -> list[Boundary | None]:
     """The keys at the 0-based positions ``positions_of(row count)``; None for one outside the table.
 
-    Exact. Rows are first counted per key, so only distinct keys are ranged and pinned and a key shared
-    by a third of all rows is one row.
+    Exact. A single column of whole numbers or times is bracketed by a sketch and never ordered (``values_at``).
+    For others, rows are first counted per key, so only distinct keys are ranged and pinned and a key shared by a
+    third of all rows is one row.
     """
+    if len(order) == 1 and _as_number(df, order[0]) is not None:
+        return _keys_by_number(df, order[0], positions_of)
     counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows"))
     blocked = ordered_blocks(counts, order, blocks)
     starts, total = block_starts(blocked, F.sum("_rows"))
@@ -135,6 +141,40 @@ def keys_at(
     return [boundary(p) for p in places]
 
 
+def _as_number(df: DataFrame, column: str) -> Column | None:
+    """The column as a long in the same order, where its type has one."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return c.cast("long")
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return wall_micros(column) if isinstance(kind, T.TimestampNTZType) else F.unix_micros(c)
+    return None
+
+
+def _keys_by_number(df: DataFrame, column: str, positions_of: Callable[[int], Sequence[int]]) -> list[Boundary | None]:
+    number = _as_number(df, column)
+    missing = df.where(F.col(column).isNull()).count()  # they come first
+    asked: list[int] = []
+
+    def among(rows: int) -> list[int]:
+        asked.extend(positions_of(rows + missing))
+        return [p - missing for p in asked]
+
+    def boundary(position: int, found: tuple | None) -> Boundary | None:
+        if found is None:
+            return Boundary((column,), Row(**{column: None}), position) if 0 <= position < missing else None
+        value, inside = found
+        kind = df.schema[column].dataType
+        if isinstance(kind, T.TimestampNTZType):
+            value = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=value)
+        elif isinstance(kind, T.TimestampType):
+            value = dt.datetime(1970, 1, 1, tzinfo=dt.UTC) + dt.timedelta(microseconds=value)
+        return Boundary((column,), Row(**{column: value}), inside)
+
+    found = values_at(df.where(F.col(column).isNotNull()), number, among)
+    return [boundary(p, f) for p, f in zip(asked, found)]
+
+
 def refined(df: DataFrame, found: Boundary | None) -> Boundary | None:
     """Where rows with the boundary's key lie on both sides of it, rank just those rows by the remaining
     columns. Only rows equal in every comparable column then stay together."""
