@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import calendar_fields, hour_floor, hour_index, to_day, to_wall_clock, wall_micros
 from tidemark.operators.combine import attach_daily, left_fold
-from tidemark.operators.lags import Rolling, Shift, lag_columns
+from tidemark.operators.lags import Rolling, Shift, lag_columns, rolling_by_prefix
 from tidemark.operators.spine import dense_spine, on_spine
 
 START = dt.datetime(2024, 1, 1)
@@ -161,3 +162,49 @@ def test_gaps_and_repeats_are_errors(spark, block):
         df = spark.createDataFrame([(start + dt.timedelta(hours=h), float(h)) for h in hours], "event_ts timestamp_ntz, v double")
         with pytest.raises(Exception, match="not one row per hour"):
             lag_columns(df, FEATURES, block_hours=block).collect()
+
+
+def exact_statistics(values, hours, i):
+    """Mean and sample deviation of the hours before i, from cents."""
+    seen = [round(v * 100) for v in values[max(0, i - hours) : i] if v is not None]
+    if not seen:
+        return None, None
+    spread = len(seen) * sum(v * v for v in seen) - sum(seen) ** 2
+    pairs = len(seen) * (len(seen) - 1)
+    return float(sum(seen)) / len(seen) / 100, math.sqrt(float(spread) / pairs / 10_000) if pairs else None
+
+
+def rough_series():
+    rng = random.Random(6)
+    return [None if rng.random() < 0.2 else rng.randrange(-(10**9), 10**9) / 100 for _ in range(400)]
+
+
+@pytest.mark.parametrize("block_hours", [7, 100, 5000])
+def test_prefix_sums_equal_the_frames(spark, block_hours):
+    one, two = rough_series(), rough_series()[::-1][:90]
+    rows = [(s, START + dt.timedelta(hours=i), v) for s, values in (("a", one), (None, two)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "s string, event_ts timestamp_ntz, v double").repartition(4)
+    features = [Rolling("v", stat, n, f"{stat}_{n}") for n in (1, 24, 300) for stat in ("mean", "stddev")]
+    got = rolling_by_prefix(df, features, "decimal(18,2)", series_keys=["s"], block_hours=block_hours)
+    assert got.columns == ["s", "event_ts", "v", *[f.alias for f in features]]
+    found = {(r.s, r.event_ts): r for r in got.collect()}
+    assert len(found) == len(rows)
+    for s, values in (("a", one), (None, two)):
+        for i in range(len(values)):
+            r = found[s, START + dt.timedelta(hours=i)]
+            for n in (1, 24, 300):
+                assert (r[f"mean_{n}"], r[f"stddev_{n}"]) == exact_statistics(values, n, i)
+
+
+def test_exact_windows_equal_prefix_sums(spark):
+    df = series(spark, rough_series())
+    features = [Rolling("v", "mean", 24, "m"), Rolling("v", "stddev", 24, "s")]
+    by_window = lag_columns(df, features, exact="decimal(18,2)").orderBy("event_ts").collect()
+    assert by_window == rolling_by_prefix(df, features, "decimal(18,2)").orderBy("event_ts").collect()
+
+
+def test_prefix_sums_need_a_dense_series(spark):
+    df = series(spark, [1.0] * 50).where("hour(event_ts) <> 7")
+    with pytest.raises(Exception, match="one row per hour"):
+        rolling_by_prefix(df, [Rolling("v", "mean", 24, "m")], "decimal(18,2)").collect()
+    assert rolling_by_prefix(series(spark, [1.0]).limit(0), [Rolling("v", "mean", 24, "m")], "decimal(18,2)").collect() == []

@@ -230,7 +230,7 @@ def gold_features(sources: Mapping[str, DataFrame], spec: GoldSpec) -> DataFrame
         calendar_fields("event_ts") | {r.alias: guarded_ratio(r.numerator, r.denominator) for r in spec.ratios}
     )
     wide = wide.toDF(*unique_names(map(snake_name, wide.columns)))
-    wide = lag_columns(wide, spec.features(), "event_ts", block_hours=spec.block_hours, on_spine=True)
+    wide = lag_columns(wide, spec.features(), "event_ts", block_hours=spec.block_hours, on_spine=True, exact=spec.exact_sums)
     if spec.drop_incomplete:
         t = spec.target_column
         wide = wide.dropna(subset=[t, spec.label, f"{t}_lag_24h", f"{t}_lag_168h", *spec.required])

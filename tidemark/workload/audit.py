@@ -14,7 +14,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators.ordering import latest_rows, row_position
 from tidemark.plans.audit import AuditParams, audit_report, model_comparison, prepare, with_predictions
 from tidemark.sources.tables import write_report
-from tidemark.workload.gold import ROUNDED_SQL, gold, gold_ctes, rounded
+from tidemark.workload.gold import gold, gold_ctes
 from tidemark.workload.registry import query, scratch, table
 
 _LINE_COLUMNS = (
@@ -176,18 +176,18 @@ def two_label_gold(spark, sf_dir):
     )
 
 
-@query("drop_other_labels", f"with {gold_ctes()} select * replace ({ROUNDED_SQL}) from gold")
+@query("drop_other_labels", f"with {gold_ctes()} select * from gold")
 def _(spark, sf_dir):
-    return rounded(drop_other_labels(two_label_gold(spark, sf_dir), LABEL))
+    return drop_other_labels(two_label_gold(spark, sf_dir), LABEL)
 
 
 @query(
     "feature_columns",
-    f"with {gold_ctes()} select * exclude (event_ts, event_date, {LABEL}) replace ({ROUNDED_SQL}) from gold",
+    f"with {gold_ctes()} select * exclude (event_ts, event_date, {LABEL}) from gold",
 )
 def _(spark, sf_dir):
     features = two_label_gold(spark, sf_dir)
-    return rounded(features.select(Q.feature_columns(features, LABEL)))
+    return features.select(Q.feature_columns(features, LABEL))
 
 
 @query(

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.time import hour_floor
 from tidemark.plans.gold import electricity_demand, gold_features
 from tidemark.workload.facts import CENTS, EVENT_TYPES
-from tidemark.workload.registry import query, single, table
+from tidemark.workload.registry import query, table
+from tidemark.workload.series import rolling_sql
 
 
 def demo_spec(horizon_hours: int = 24, **overrides):
@@ -86,7 +87,7 @@ def _cells(measure, prefix):
 
 
 def gold_ctes(horizon_hours: int = 24, drop_incomplete: bool = True) -> str:
-    """CTEs ending in ``gold``, with rolling statistics and shares in full precision."""
+    """CTEs ending in ``gold``, in full precision."""
     t = "target_demanda_real"
     label = f"label_{t}_h_plus_{horizon_hours}"
     units = ", ".join(f"nullif(count(*) filter (where event_type = '{x}'), 0) as unidades_tipo_{x}" for x in EVENT_TYPES)
@@ -146,10 +147,8 @@ def gold_ctes(horizon_hours: int = 24, drop_incomplete: bool = True) -> str:
     lagged as (
         select *, lead({t}, {horizon_hours}) over w as {label}, lag({t}, 1) over w as {t}_lag_1h,
                lag({t}, 24) over w as {t}_lag_24h, lag({t}, 168) over w as {t}_lag_168h,
-               avg({t}) over (order by event_ts rows between 24 preceding and 1 preceding) as {t}_rolling_mean_24h,
-               stddev_samp({t}) over (order by event_ts rows between 24 preceding and 1 preceding)
-                   as {t}_rolling_stddev_24h,
-               avg({t}) over (order by event_ts rows between 168 preceding and 1 preceding) as {t}_rolling_mean_168h,
+               {rolling_sql("mean", t, 24, f"{t}_rolling_mean_24h")}, {rolling_sql("stddev", t, 24, f"{t}_rolling_stddev_24h")},
+               {rolling_sql("mean", t, 168, f"{t}_rolling_mean_168h")},
                lag(demanda_comercial_total, 24) over w as demanda_comercial_total_lag_24h,
                lag(generacion_real_total, 24) over w as generacion_real_total_lag_24h
         from cal window w as (order by event_ts)),
@@ -157,36 +156,16 @@ def gold_ctes(horizon_hours: int = 24, drop_incomplete: bool = True) -> str:
     """
 
 
-ROUNDED = (
-    "target_demanda_real_rolling_mean_24h",
-    "target_demanda_real_rolling_stddev_24h",
-    "target_demanda_real_rolling_mean_168h",
-    "aporte_hidrico_vs_media_ratio",
-    "unidades_operacion_share",
-)
-
-
-ROUNDED_SQL = ", ".join(f"{c}::float::double as {c}" for c in ROUNDED)
-
-
-def rounded(df):
-    return single(df, ROUNDED)
-
-
-def rounded_sql(ctes: str) -> str:
-    return f"with {ctes} select * replace ({ROUNDED_SQL}) from gold"
-
-
-@query("gold_features", rounded_sql(gold_ctes()))
+@query("gold_features", f"with {gold_ctes()} select * from gold")
 def _(spark, sf_dir):
-    return rounded(gold(spark, sf_dir))
+    return gold(spark, sf_dir)
 
 
-@query("gold_features_h6", rounded_sql(gold_ctes(6)))
+@query("gold_features_h6", f"with {gold_ctes(6)} select * from gold")
 def _(spark, sf_dir):
-    return rounded(gold(spark, sf_dir, 6))
+    return gold(spark, sf_dir, 6)
 
 
-@query("gold_features_all_hours", rounded_sql(gold_ctes(drop_incomplete=False)))
+@query("gold_features_all_hours", f"with {gold_ctes(drop_incomplete=False)} select * from gold")
 def _(spark, sf_dir):
-    return rounded(gold(spark, sf_dir, drop_incomplete=False))
+    return gold(spark, sf_dir, drop_incomplete=False)

@@ -27,13 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def single(df: DataFrame, columns) -> DataFrame:
-    """Averages and quotients to single precision, as the SQL does with ``::float::double``. Engines add
-    doubles in different orders; rounding to decimal places would turn that into a visible difference
-    wherever a mean of cents ends in an exact 5."""
-    return df.withColumns({c: df[c].cast("float").cast("double") for c in columns if c in df.columns})
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder, for queries that write and read back."""
     return scratch_path(spark, name)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.time import calendar_fields
 from tidemark.operators.combine import attach_daily, left_fold
-from tidemark.operators.lags import Rolling, Shift, lag_columns
+from tidemark.operators.lags import Rolling, Shift, lag_columns, rolling_by_prefix
 from tidemark.operators.rollup import DistinctCount, Total, rollup
 from tidemark.operators.spine import dense_spine, on_spine
 from tidemark.workload.facts import CENTS, hourly_events
-from tidemark.workload.registry import query, single, table
+from tidemark.workload.registry import query, table
 
 HOURLY_SQL = """
     e as (select date_trunc('hour', ts) as event_ts, sum(value::decimal(18,2))::double as v,
@@ -132,20 +132,21 @@ _LAGS_SQL = ", ".join(f"lag(v, {n}) over w as v_lag_{n}h" for n in (1, 24, 168))
 _LEAD = Shift("v", -24, "label_v_h_plus_24")
 _MEANS = [Rolling("v", "mean", n, f"v_rolling_mean_{n}h") for n in (24, 168)]
 _STDDEV = Rolling("v", "stddev", 24, "v_rolling_stddev_24h")
-_STATS = [f.alias for f in (*_MEANS, _STDDEV)]
 
 
-def _rolling_sql(function, hours, alias, partition=""):
-    frame = f"{partition} order by event_ts rows between {hours} preceding and 1 preceding"
-    return f"({function}(v) over ({frame}))::float::double as {alias}"
+def rolling_sql(stat, column, hours, alias, partition=""):
+    """Mean or deviation of exact cents before the row, rounded in the last step only."""
+    frame = f"over ({partition} order by event_ts rows between {hours} preceding and 1 preceding)"
+    cents = f"({column}::decimal(18,2) * 100)::hugeint"
+    n, s, q = f"count({column}) {frame}", f"sum({cents}) {frame}", f"sum({cents} * {cents}) {frame}"
+    if stat == "mean":
+        return f"({s})::double / nullif({n}, 0)::double / 100 as {alias}"
+    spread = f"(({n}) * ({q}) - ({s}) * ({s}))::varchar::double"
+    return f"case when {n} > 1 then sqrt({spread} / (({n})::double * (({n})::double - 1)) / 10000) end as {alias}"
 
 
-_MEANS_SQL = ", ".join(_rolling_sql("avg", n, f"v_rolling_mean_{n}h") for n in (24, 168))
-_STDDEV_SQL = _rolling_sql("stddev_samp", 24, "v_rolling_stddev_24h")
-
-
-def _rounded(df):
-    return single(df, _STATS)
+_MEANS_SQL = ", ".join(rolling_sql("mean", "v", n, f"v_rolling_mean_{n}h") for n in (24, 168))
+_STDDEV_SQL = rolling_sql("stddev", "v", 24, "v_rolling_stddev_24h")
 
 
 @query("lead_label", f"with {HOURLY_SQL} select event_ts, v, lead(v, 24) over (order by event_ts) as label_v_h_plus_24 from g")
@@ -160,12 +161,12 @@ def _(spark, sf_dir):
 
 @query("rolling_mean", f"with {HOURLY_SQL} select event_ts, {_MEANS_SQL} from g")
 def _(spark, sf_dir):
-    return _rounded(lag_columns(hourly_series(spark, sf_dir).select("event_ts", "v"), _MEANS)).drop("v")
+    return lag_columns(hourly_series(spark, sf_dir).select("event_ts", "v"), _MEANS, exact=CENTS).drop("v")
 
 
 @query("rolling_stddev", f"with {HOURLY_SQL} select event_ts, {_STDDEV_SQL} from g")
 def _(spark, sf_dir):
-    return _rounded(lag_columns(hourly_series(spark, sf_dir).select("event_ts", "v"), [_STDDEV])).drop("v")
+    return lag_columns(hourly_series(spark, sf_dir).select("event_ts", "v"), [_STDDEV], exact=CENTS).drop("v")
 
 
 @query(
@@ -179,7 +180,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     features = [_LEAD, *_LAGS, *_MEANS, _STDDEV, Shift("users", 24, "users_lag_24h")]
-    return _rounded(lag_columns(hourly_series(spark, sf_dir), features))
+    return lag_columns(hourly_series(spark, sf_dir), features, exact=CENTS)
 
 
 @query(
@@ -187,13 +188,37 @@ def _(spark, sf_dir):
     f"""
     with {SERIES_SQL}
     select event_type, event_ts, v, lag(v, 24) over w as v_lag_24h, lead(v, 24) over w as label_v_h_plus_24,
-           {_rolling_sql("avg", 24, "v_rolling_mean_24h", "partition by event_type")}
+           {rolling_sql("mean", "v", 24, "v_rolling_mean_24h", "partition by event_type")}
     from g window w as (partition by event_type order by event_ts)
     """,
 )
 def _(spark, sf_dir):
     dense = hourly_series_by_type(spark, sf_dir)
-    return _rounded(lag_columns(dense.drop("users"), [_LAGS[1], _LEAD, _MEANS[0]], series_keys=["event_type"]))
+    return lag_columns(dense.drop("users"), [_LAGS[1], _LEAD, _MEANS[0]], series_keys=["event_type"], exact=CENTS)
+
+
+_LONG = [Rolling("v", stat, n, f"v_{stat}_{n}h") for n in (168, 8760) for stat in ("mean", "stddev")]
+
+
+@query(
+    "rolling_long",
+    f"""
+    with e as (select o_orderpriority as priority, o_orderdate as event_ts, sum(o_totalprice::decimal(18,2))::double as v
+               from orders group by 1, 2),
+         b as (select priority, min(event_ts) as lo, max(event_ts) as hi from e group by 1),
+         sp as (select priority, unnest(generate_series(lo, hi, interval 1 hour)) as event_ts from b),
+         g as (select sp.priority, sp.event_ts, e.v from sp left join e using (priority, event_ts))
+    select priority, event_ts, {", ".join(rolling_sql(f.stat, "v", f.hours, f.alias, "partition by priority") for f in _LONG)}
+    from g
+    """,
+)
+def _(spark, sf_dir):
+    """Frames of a week and of a year over the hours of several series."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("event_ts"), "o_totalprice")
+    keys = ["priority", "event_ts"]
+    totals = rollup(orders, keys, [Total("o_totalprice", "v")], exact=CENTS)
+    series = on_spine(totals, series_keys=["priority"], bounds_of=orders.select(*keys))
+    return rolling_by_prefix(series, _LONG, CENTS, series_keys=["priority"]).drop("v")
 
 
 @query(
