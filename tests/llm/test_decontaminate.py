@@ -130,3 +130,33 @@ def test_a_short_text_is_found_between_word_bounds(spark):
     got = {(r.doc_id, r.item_id, r.start, r.end, r.edits) for r in dc.leaks(frame, items).collect()}
     assert got == {(1, 7, 3, 20, 0), (4, 7, 0, 16, 0)}
     assert {r.doc_id for r in dc.without_leaks(frame, items).collect()} == {2, 3, 5}
+
+
+def test_stretches_of_a_repetitive_text_give_the_same(monkeypatch):
+    rng = random.Random(12)
+    item = ("so we go on and on and " * 40)[:720]
+    patterns = dc.Patterns([(1, item), (2, " ".join(f"other{i}" for i in range(60)))], dc.Leaks())
+    for _ in range(4):
+        words = ("so we go on and on and " * 60).split()
+        for at in rng.sample(range(len(words)), 12):
+            words[at] = rng.choice(["x", "", "and on", " ".join(f"other{i}" for i in range(rng.randrange(30)))])
+        text = " ".join(words)
+        monkeypatch.setattr(dc, "PAIRS_AT_ONCE", 10**9)
+        monkeypatch.setattr(dc, "SPANS", 10**9)
+        whole = patterns.find(text)
+        monkeypatch.setattr(dc, "PAIRS_AT_ONCE", 500)
+        monkeypatch.setattr(dc, "SPANS", 3)
+        assert patterns.find(text) == whole and whole
+
+
+def test_a_long_repetitive_text_takes_little_memory():
+    import tracemalloc
+
+    item = ("so we go on and on and " * 40)[:720]
+    patterns = dc.Patterns([(1, item)], dc.Leaks())
+    text = "so we go on and on and " * 2000
+    tracemalloc.start()
+    assert patterns.find(text) == [(1, 0, len(text) - 1, 4)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20

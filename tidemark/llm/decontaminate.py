@@ -26,6 +26,8 @@ from tidemark.llm.frames import Rows, give_back, rows_of, small_batches
 BLOCK_CHARS = 4_000_000  # benchmark characters that go to the tasks at once; more are taken in turns
 FILTER_BITS = 22
 AT_ONCE = 1024  # patterns aligned at once
+PAIRS_AT_ONCE = 100_000  # of a place in a document and one in a benchmark text that have a q-gram in common
+SPANS = 10_000  # of one benchmark text, before they are merged
 BASE = 0x9E3779B97F4A7C15
 
 FOUND = pa.schema(
@@ -86,6 +88,18 @@ def string(codes: np.ndarray) -> str:
     return codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
 
+def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, edits) in order; those that touch are one, with the most edits of them."""
+    out: list[tuple[int, int, int]] = []
+    for start, end, edits in sorted(spans):
+        if out and start <= out[-1][1]:
+            first, last, most = out[-1]
+            out[-1] = (first, max(last, end), max(most, edits))
+        else:
+            out.append((start, end, edits))
+    return out
+
+
 def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     """A hash of every q-gram, put together from those of half the length."""
     n = len(codes) - q + 1
@@ -150,17 +164,7 @@ class Patterns:
         at = np.flatnonzero(self.maybe[hashes >> np.uint64(64 - FILTER_BITS)]) if len(self.hashes) else hashes[:0]
         if len(at):
             self.find_long(codes, hashes, at, found)
-        out = []
-        for item, spans in found.items():
-            spans.sort()
-            start, end, edits = spans[0]
-            for a, b, e in spans[1:]:
-                if a > end:
-                    out.append((item, start, end, edits))
-                    start, end, edits = a, b, e
-                else:
-                    end, edits = max(end, b), max(edits, e)
-            out.append((item, start, end, edits))
+        out = [(item, *span) for item, spans in found.items() for span in merged(spans)]
         return [(item, int(place[start]), int(place[end - 1]) + 1, edits) for item, start, end, edits in out]
 
     def find_short(self, codes: np.ndarray) -> dict:
@@ -179,6 +183,20 @@ class Patterns:
         gram = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
         same = self.hashes[gram] == hashes[at]
         at, gram = at[same], gram[same]
+        # In stretches that share what a pattern can take up, so each of its places lies whole in one of them; a
+        # text that repeats a benchmark text's q-grams would else meet each with all its places at once.
+        upto = np.cumsum(self.times[gram])
+        reach = self.params.length + 2 * self.width + self.params.q
+        start = 0
+        while start < len(at):
+            end = int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS_AT_ONCE, "right"))
+            end = max(end, int(np.searchsorted(at, at[start] + 2 * reach)))
+            self.find_in_stretch(codes, at[start:end], gram[start:end], found)
+            if end >= len(at):
+                break
+            start = int(np.searchsorted(at, at[end] - reach))
+
+    def find_in_stretch(self, codes: np.ndarray, at: np.ndarray, gram: np.ndarray, found: dict) -> None:
         times = self.times[gram]
         at = np.repeat(at, times)
         entry = np.repeat(self.first[gram], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -195,8 +213,10 @@ class Patterns:
             i, b = divmod(k, bands)
             low = (b - 1) * self.width - self.longest
             own = order[a : a + n] % len(at)
-            for start, end, edits in self.regions(codes, i, offset[own], diagonal[own], low):
+            for start, end, edits in merged(self.regions(codes, i, offset[own], diagonal[own], low)):
                 found.setdefault(self.items[i], []).append((start, end, edits))
+            if len(found.get(self.items[i], ())) > SPANS:
+                found[self.items[i]] = merged(found[self.items[i]])
 
     def regions(self, codes: np.ndarray, i: int, offsets: np.ndarray, diagonals: np.ndarray, low: int) -> list[tuple[int, int, int]]:
         """(start, end, edits) for each pattern of text ``i`` that has enough of the shared q-grams of the
