@@ -164,3 +164,21 @@ def test_url_rules_and_reputation(spark):
     assert by[9] == ("bad.net", "/1\n2", None, "block") and by[100][3] == "block"
     assert by[11][:2] == ("u@h.co.uk:80", "/p")
     assert {by[200 + i][3] for i in range(90)} == {"allow"}
+
+
+def test_crowded_blocks_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm.op6_query import SQL, op6_chat
+
+    rows = [(1, 3, f"p{i % 3}", f"text {i:03d}") for i in range(300)] + [(None, None, None, f"t{i}") for i in range(130)]
+    rows += [(2, t, "ann", "x") for t in range(70)] + [(2, 5, "bob", None), (2, 5, "bob", None)]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = op6_chat(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(SQL)
+    order = [want.columns.index(c) for c in got.columns]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(tuple(r[i] for i in order)) for r in want.fetchall())
+    assert max(r.part for r in got.collect()) == 2
