@@ -108,12 +108,12 @@ def keys_at(
 ) -> list[Boundary | None]:
     """The keys at the 0-based positions ``positions_of(row count)``; None for one outside the table.
 
-    Exact. A single column of whole numbers or times is bracketed by a sketch and never ordered (``values_at``).
-    For others, rows are first counted per key, so only distinct keys are ranged and pinned and a key shared by a
+    Exact. A first column of whole numbers or times is bracketed by a sketch and never ordered (``values_at``), and
+    further columns are looked at among the rows of its key only. For others, rows are first counted per key, so only distinct keys are ranged and pinned and a key shared by a
     third of all rows is one row.
     """
-    if len(order) == 1 and _as_number(df, order[0]) is not None:
-        return _keys_by_number(df, order[0], positions_of)
+    if _as_number(df, order[0]) is not None:
+        return [_with_rest(df, order, b) for b in _keys_by_number(df, order[0], positions_of)]
     counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_rows"))
     blocked = ordered_blocks(counts, order, blocks)
     starts, total = block_starts(blocked, F.sum("_rows"))
@@ -175,6 +175,13 @@ def _keys_by_number(df: DataFrame, column: str, positions_of: Callable[[int], Se
     return [boundary(p, f) for p, f in zip(asked, found)]
 
 
+def _with_rest(df: DataFrame, order: Sequence[str], found: Boundary | None) -> Boundary | None:
+    if found is None or len(order) == 1:
+        return found
+    [rest] = keys_at(df.where(_equals(df, order[:1], found.key)), order[1:], lambda _: [found.inside])
+    return Boundary(tuple(order), Row(**found.key.asDict(), **rest.key.asDict()), rest.inside)
+
+
 def refined(df: DataFrame, found: Boundary | None) -> Boundary | None:
     """Where rows with the boundary's key lie on both sides of it, rank just those rows by the remaining
     columns. Only rows equal in every comparable column then stay together."""

@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from tidemark.functions.naming import drop_other_labels
 from tidemark.operators import models as M
 from tidemark.operators import quality as Q
+from tidemark.operators.maintained import granularity_of, means_of, moments, of_partitions, stretches, update_summary
 from tidemark.operators.ordering import latest_rows, row_position
 from tidemark.plans.audit import AuditParams, audit_report, model_comparison, prepare, with_predictions
-from tidemark.sources.tables import write_report
+from tidemark.sources.tables import read_gold, write_partitioned, write_report
 from tidemark.workload.gold import gold, gold_ctes
 from tidemark.workload.registry import query, scratch, table
 
@@ -72,6 +73,54 @@ def _(spark, sf_dir):
     return Q.granularity(days, "day")
 
 
+def partitioned_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+
+
+_HALF_1997 = "year(o_orderdate) <> 1997 or month(o_orderdate) > 6 or day(o_orderdate) % 2 = 0"
+
+
+@query("granularity_by_partition", _granularity_sql(f"select o_orderdate as t from orders where {_HALF_1997}"))
+def _(spark, sf_dir):
+    """A table, then six of its months written again without their odd days; the audit reads those six alone."""
+    data, summary = scratch(spark, "orders"), scratch(spark, "stretches")
+    orders = partitioned_orders(spark, sf_dir)
+    write_partitioned(orders, data)
+    update_summary(stretches(read_gold(spark, data), "o_orderdate"), summary)
+    write_partitioned(orders.where("year = 1997 and month <= 6 and day(o_orderdate) % 2 = 0"), data)
+    touched = [(1997, m) for m in range(1, 7)]
+    update_summary(stretches(of_partitions(read_gold(spark, data), touched), "o_orderdate"), summary)
+    return granularity_of(read_gold(spark, summary))
+
+
+@query(
+    "drift_incremental",
+    """
+    with o as (select strftime(o_orderdate, '%Y-%m') as event_month, o_orderstatus as status,
+                      case when year(o_orderdate) = 1997 then o_totalprice * 2 else o_totalprice end as price from orders),
+         m as (select event_month, sum(price::decimal(18,2))::double / count(price) as current_mean, count(price) as n from o group by 1),
+         p as (select *, lag(current_mean) over (order by event_month) as previous_mean from m)
+    select event_month, 'o_totalprice' as metric, n, current_mean, previous_mean,
+           (current_mean - previous_mean) / previous_mean * 100 as change_pct
+    from p where previous_mean is not null
+    """,
+)
+def _(spark, sf_dir):
+    """Monthly drift from sums that a second write changed for one year."""
+    data, summary = scratch(spark, "orders"), scratch(spark, "moments")
+    orders, month = partitioned_orders(spark, sf_dir), F.date_format("o_orderdate", "yyyy-MM").alias("event_month")
+    kept = lambda rows: update_summary(moments(rows, ["o_totalprice"], "decimal(18,2)", groups=[month]), summary)
+    write_partitioned(orders, data)
+    kept(read_gold(spark, data))
+    write_partitioned(orders.where("year = 1997").withColumn("o_totalprice", F.col("o_totalprice") * 2), data)
+    kept(of_partitions(read_gold(spark, data), [(1997, m) for m in range(1, 13)]))
+    means = means_of(read_gold(spark, summary), ["event_month"])
+    wide = means.select("event_month", "n", F.col("mean").alias("o_totalprice"))
+    changes = Q.monthly_changes(wide.drop("n"), ["o_totalprice"]).drop("abs_change_pct")
+    return changes.join(wide.select("event_month", "n"), "event_month")
+
+
 def split_sql(source: str, order: str) -> str:
     """``source`` plus its split, cut at the reference positions (15 % validation, 15 % test)."""
     return f"""(
