@@ -4,6 +4,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from tidemark.session import pin, shared_dir
+from tidemark.session import pin, removed, shared_dir
 
 # ASCII white space, the only characters that part words: space and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
@@ -171,9 +172,35 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside, but for what it is told to ``keep``, is deleted at the end; shuffles that
+    nothing uses any more go too. Whatever leaves the block must not read from it."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            removed(spark, path)
+        tidy(spark)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner see which shuffles and checkpoints have no user left. It learns so from the collection
+    of garbage, which a driver with little to do may put off for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written as Parquet to a new folder in the shared folder, and read back: several passes get the
-    same rows, also after executors are lost, and take less room than a checkpoint."""
+    same rows, also after executors are lost, and take less room than a checkpoint. ``keep``: beyond the innermost
+    ``scratch``."""
     path = new_folder(df.sparkSession, name)
+    if len(_OPEN) > keep:
+        _OPEN[-1 - keep].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import SPACES, pin, stored, words
+from tidemark.llm.frames import SPACES, pin, same_row, small_side, stored, words
 
 SYMBOLS = "#*$%&|<>"
 BROADCAST_HOSTS = 50_000  # names and rates: a few MB
@@ -134,11 +134,15 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), host_col: str = "source") -> DataFrame:
     """The documents that pass, with their columns. Works on NULLs and repeated rows as ``quality``.
 
-    The judged documents are written once: they are read again for the hosts' verdicts, and a filter on the
-    judgement must not be pushed below the columns it is made of, which would work them out per word.
+    The verdicts are written once, by id and hash of the text. Where few documents fail they are looked up where the
+    documents lie; documents are shuffled only where more fail than are broadcast.
     """
-    whole = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string"), F.col(host_col).alias("host"))
-    judged = stored(measures(whole, rules).select("doc", "host", "base_failed"), "judged")
+    text = F.col("text").cast("string")
+    key = [F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), F.col(host_col).alias("host")]
+    judged = measures(docs.select(*key, text.alias("text")), rules).select("id", "h", "host", "base_failed")
+    judged = stored(judged, "judged")
     bad = failing_hosts(judged.select("host", "base_failed"), rules).select(F.col("host").alias("bad_host"))
-    good = judged.filter(~F.col("base_failed")).select("doc", "host")
+    failed = small_side(stored(judged.filter("base_failed").select("id", "h").distinct(), "failed"))
+    whole = docs.select(F.struct("*").alias("doc"), *key)
+    good = whole.join(failed, same_row(whole, failed), "left_anti").select("doc", "host")
     return _meet_hosts(good, bad, "left_anti").select("doc.*")
