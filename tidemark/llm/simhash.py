@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, components, keyed, pin, rows_of, same_row, small_side, stored
+from tidemark.llm.frames import Rows, components, keyed, pin, rows_of, same_row, scratch, small_side, stored
 
 PRINTS = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("fp", pa.int64())])
 PAIRS_UP_TO = 64  # fingerprints of a bucket that are compared in pairs; more go by midpoints
@@ -147,12 +147,13 @@ def one_of_each(docs: DataFrame, params: SimHash = SimHash()) -> DataFrame:
 def kept_of(docs: DataFrame, found: DataFrame) -> DataFrame:
     """One document for each ``root`` of ``found`` (id, h, root). Few rows that go are looked up where the
     documents lie; documents are shuffled only where more go than are broadcast."""
-    found = stored(found, "groups")
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
-    keep = found.groupBy("root").agg(first.alias("k")).select(F.col("k.id").alias("id"), F.col("k.h").alias("h"))
-    rows = found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n"))
-    gone = stored(rows.join(keep, same_row(rows, keep), "left_anti").select("id", "h"), "gone")
-    again = stored(rows.filter("n > 1").select("id", "h"), "again")
+    with scratch(docs.sparkSession):
+        found = stored(found, "groups")
+        first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h"))
+        keep = found.groupBy("root").agg(first.alias("k")).select(F.col("k.id").alias("id"), F.col("k.h").alias("h"))
+        rows = found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n"))
+        gone = stored(rows.join(keep, same_row(rows, keep), "left_anti").select("id", "h"), "gone", keep=True)
+        again = stored(rows.filter("n > 1").select("id", "h"), "again", keep=True)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("h"))
     gone, again = small_side(gone), small_side(again)
