@@ -90,3 +90,12 @@ def test_automaton_counts():
     for s in sequences:
         want = [i >= 3 and sum(t[j : j + 4] == s[i - 3 : i + 1] for t in sequences for j in range(len(t) - 3)) > 1 for i in range(len(s))]
         assert list(automaton.frequent(s, 4)) == want
+
+
+def test_a_row_that_occurs_very_often(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.range(20_000).selectExpr("7L AS doc_id", f"'{text}' AS text")
+    docs = docs.union(spark.createDataFrame([(8, "x y " + text + " z"), (9, text[:100])], "doc_id long, text string"))
+    got = substrings.kept_words(docs)
+    counts = {(r.doc_id, r.n_words, r.n_removed, r.kept): r["count"] for r in got.groupBy(got.columns).count().collect()}
+    assert counts == {(7, 60, 60, ""): 20_000, (8, 63, 60, "x y z"): 1, (9, len(text[:100].split()), 0, text[:100]): 1}

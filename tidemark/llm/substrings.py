@@ -40,8 +40,10 @@ from tidemark.llm.frames import (
     packed,
     rows_of,
     same_row,
+    scratch,
     small_batches,
     stored,
+    tidy,
     unpacked,
 )
 
@@ -244,7 +246,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     cut = F.struct("anchor", "content", "n", "kinds", "start", "windows")
     cuts = wanted.groupBy("id", "h").agg(F.collect_list(cut).alias("cuts"))
-    texts = packed(rows)
+    # a repeated row has one text; its copies are one before they move
+    texts = packed(rows).groupBy("id", "h").agg(F.first("packed").alias("packed"))
     found = texts.join(cuts, same_row(texts, cuts)).select("packed", "cuts")
     return found.mapInArrow(run, "anchor long, content long, n long, kinds long, segment string")
 
@@ -253,19 +256,25 @@ def repeated(docs: DataFrame, params: SubstringDedup = SubstringDedup()) -> Data
     """(id, h, marks): for every row with repeated windows, ``marks`` is an array of (start, mask); bit k
     of a mask says that the window at word start + k is repeated. For id and h see ``frames.keyed``;
     repeated rows are repeats of one another and share their marks."""
-    window = params.window
-    rows = keyed(docs).withColumn("id", F.col("id").cast("long"))
+    with scratch(docs.sparkSession):
+        return stored(_marks(keyed(docs).withColumn("id", F.col("id").cast("long")), params), "marks", keep=True)
+
+
+def _marks(rows: DataFrame, params: SubstringDedup) -> DataFrame:
+    window, spark = params.window, rows.sparkSession
     found = stored(anchors(rows, params), "anchors")
     place = F.struct("id", "h", "start", "windows")
     contents = found.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"))
     contents = stored(contents, "contents")
+    tidy(spark)
     kinds = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all"))
-    shared = contents.join(kinds.filter(F.col("all") > 1), "anchor")
+    shared = stored(contents.join(kinds.filter(F.col("all") > 1), "anchor"), "shared")
     alike = shared.filter("kinds = 1").select(
         "anchor", "content", F.expr("int(shiftleft(1L, place.windows) - 1)").alias("mask")
     )
     wanted = shared.filter("kinds > 1").select("anchor", "content", "n", "kinds", "place.*")
     segments = stored(_fetch(rows, wanted, window), "segments")
+    tidy(spark)
     marks = alike.union(_marks_by_shard(segments.filter(F.col("kinds") <= SHARD_SEGMENTS), window)).union(
         _marks_by_window(segments.filter(F.col("kinds") > SHARD_SEGMENTS), window)
     )
