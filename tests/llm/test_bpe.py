@@ -75,3 +75,13 @@ def test_chunks_make_up_the_text_and_recur():
 
 def test_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], SCHEMA), bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))).count() == 0
+
+
+def test_a_row_that_occurs_very_often(spark):
+    text = " ".join(f"word{i % 37} It's {i}" for i in range(600))
+    docs = spark.range(20_000).selectExpr("7L AS doc_id", f"'{text.replace(chr(39), chr(92) + chr(39))}' AS text")
+    docs = docs.union(spark.createDataFrame([(8, text), (7, "other")], "doc_id long, text string"))
+    got = bpe.digests(docs, bpe.Codec(public_tokenizers.path("word_bpe_49k.json")))
+    counts = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256): r["count"] for r in got.groupBy(got.columns).count().collect()}
+    tokenizer = reference()
+    assert counts == {(7, *expected(tokenizer, text)): 20_000, (8, *expected(tokenizer, text)): 1, (7, *expected(tokenizer, "other")): 1}

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import Rows, keyed, packed, rows_of, same_row, stored, unpacked
+from tidemark.llm.frames import Rows, keyed, packed, rows_of, same_row, small_side, stored, unpacked
 
 REACH = 32  # bytes under the rolling hash; a power of two
 CUT_ONE_IN = 192  # mean words of a chunk
@@ -242,6 +242,11 @@ def encoded(docs: DataFrame, codec: Codec) -> DataFrame:
     codes = texts.join(first, same_row(texts, first)).select("packed", "cuts")
     # a repeated row would encode its chunks again: the codes are told apart by their chunk alone
     codes = codes.mapInArrow(encode_shared, "chunk binary, ids binary").groupBy("chunk").agg(F.first("ids").alias("ids"))
+    # copies of a repeated row have the same places: those few are made distinct before they are gathered
+    again = rows.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h")
+    again = small_side(stored(again, "again"))
+    twice = places.join(again, same_row(places, again), "left_semi").dropDuplicates(["id", "h", "start"])
+    places = places.join(again, same_row(places, again), "left_anti").union(twice)
     found = places.join(codes, "chunk", "left").groupBy("id", "h")
     found = found.agg(F.collect_list(F.struct("start", "end", "ids")).alias("chunks"))
     # the documents are laid out by the same key as above, so that shuffle serves both joins
