@@ -33,7 +33,7 @@ def test_one_parse_reads_what_inference_reads(spark, tmp_path):
         {"Fecha Hora": None, "Código": 2**40, "v": 3, "`q": "s", "x": {"c": [{"d": 0.5}]}, 'a"b': True, "VARIANT": 1},
     ]
     drop(tmp_path, "d", JAN, JAN, rows)
-    drop(tmp_path, "d", JAN, dt.date(2024, 1, 2), {"v": 2, "only": {"DECIMAL": 1.5, "VOID": None}})
+    drop(tmp_path, "d", JAN, dt.date(2024, 1, 2), {"v": 2, "only": {"DECIMAL": 1.5, "VOID": None, "X y": [{"a`b": 1}]}})
     drop(tmp_path, "d", FEB, FEB, [])
     drop(tmp_path, "d-other", JAN, JAN, [{"never": 1}])
     folder = tmp_path / "2024" / "01"

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import _RAW_CORRUPT, bronze_glob, readable, with_provenance
@@ -39,6 +39,14 @@ def column_types(found: str | None) -> StructType:
     return StructType.fromDDL(whole.removeprefix("STRUCT<").removesuffix(">"))
 
 
+def type_text(kind: DataType) -> str:
+    """A type as text that can be parsed, whatever its fields are called."""
+    if isinstance(kind, StructType):
+        fields = (f"`{f.name.replace('`', '``')}`:{type_text(f.dataType)}" for f in kind)
+        return f"struct<{','.join(fields)}>"
+    return f"array<{type_text(kind.elementType)}>" if isinstance(kind, ArrayType) else kind.simpleString()
+
+
 def is_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "struct<_:string>").isNotNull()
 
@@ -73,7 +81,7 @@ def stage_bronze(spark: SparkSession, root: str, slug: str, paths: Sequence[str]
 def staged_rows(spark: SparkSession, folder: str, slug: str, schema: StructType) -> DataFrame:
     """What ``stage_bronze`` wrote, as ``read_bronze(corrupt=True)`` gives it."""
     staged = spark.read.schema(f"_row variant, _path string, {_RAW_CORRUPT} string").parquet(folder)
-    values = [member(F.col("_row"), f.name, f.dataType.simpleString()).alias(f.name) for f in schema]
+    values = [member(F.col("_row"), f.name, type_text(f.dataType)).alias(f.name) for f in schema]
     return with_provenance(staged.select(*values, _RAW_CORRUPT, "_path"), slug)
 
 
