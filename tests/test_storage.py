@@ -1,3 +1,4 @@
+import shutil
 import datetime as dt
 import json
 
@@ -8,7 +9,7 @@ from fixtures import drop
 from tidemark.functions.paths import bronze_path_fields
 from tidemark.plans.silver import bronze_to_silver, corrupt_documents
 from tidemark.sources.bronze import METADATA_COLUMNS, bronze_datasets, bronze_files, bronze_slugs, read_bronze
-from tidemark.sources.catalog import MISSING_PROPERTY, register_tables
+from tidemark.sources.catalog import MISSING_PROPERTY, register_tables, sync_partitions
 from tidemark.sources.tables import read_gold, read_silver, write_partitioned, write_report
 
 JAN, FEB = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
@@ -223,3 +224,32 @@ def test_catalog_follows_changed_types_and_survives_a_broken_folder(spark, tmp_p
     write_partitioned(spark.createDataFrame([(1, 2024, 1)], "v int, year int, month int"), str(root / "c"))
     assert plan() == {"a": "replace", "b": "failed", "c": "create"}
     assert [r.v for r in spark.table(f"{db}.a").collect()] == [1.5] and spark.table(f"{db}.c").count() == 1
+
+
+def test_partitions_follow_the_folders_by_difference(spark, tmp_path):
+    root, db = tmp_path / "silver", "follow_partitions"
+    place = str(root / "a")
+    rows = [(1, 2024, "x y"), (2, 2024, "it's"), (3, None, "a/b=c"), (4, 2025, None), (5, 2025, "back\\slash")]
+    df = spark.createDataFrame(rows, "v int, year int, kind string")
+    write_partitioned(df.where("v < 4"), place, ("year", "kind"))
+    register_tables(spark, str(root), db, str(tmp_path / "db"))
+    values = lambda: sorted(r.v for r in spark.table(f"{db}.a").collect())
+    assert values() == [1, 2, 3]
+    write_partitioned(df.where("v >= 4"), place, ("year", "kind"))
+    shutil.rmtree(root / "a" / "year=2024" / "kind=x y", ignore_errors=False)
+    assert sync_partitions(spark, f"`{db}`.`a`", place) == (2, 1)
+    spark.catalog.refreshTable(f"{db}.a")
+    assert values() == [2, 3, 4, 5]
+    assert sync_partitions(spark, f"`{db}`.`a`", place) == (0, 0)
+
+
+def test_a_changed_type_never_takes_the_table_away(spark, tmp_path, monkeypatch):
+    root, db, statements = tmp_path / "silver", "swap_types", []
+    write_partitioned(spark.createDataFrame([(1, "k", 2024, 1)], "v int, w string, year int, month int"), str(root / "a"))
+    register_tables(spark, str(root), db, str(tmp_path / "db"))
+    write_partitioned(spark.createDataFrame([(2.5, 7, 2024, 1)], "v double, z int, year int, month int"), str(root / "a"))
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (statements.append(text), sql(self, text, *a, **k))[1])
+    assert register_tables(spark, str(root), db, str(tmp_path / "db")).first()["action"] == "replace"
+    assert not any("DROP TABLE" in s or "CREATE TABLE" in s for s in statements)
+    assert [r.asDict() for r in spark.table(f"{db}.a").collect()] == [{"v": 2.5, "w": None, "z": 7, "year": 2024, "month": 1}]

@@ -1,10 +1,11 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import version_rank
-from tidemark.operators.versions import VERSION_PRIORITY, latest_version
+from tidemark.operators.versions import VERSION_PRIORITY, LatestTable, latest_version
 
 
 def versions(spark, rows, columns="k string, version string, v int"):
@@ -83,3 +84,34 @@ def test_one_row_per_key_with_a_hot_key(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # Rows of a key are cut down before the shuffle as well as after it.
     assert plan.count("WindowGroupLimit") == 2
+
+
+def exchange_free_side(df):
+    """The plan from the join down to the table's scan; a shuffle there is an error."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("SortMergeJoin") :]
+    plan = plan[: plan.index("PartitionFilters")]
+    assert "FileScan" in plan and "Exchange" not in plan
+    return plan
+
+
+def test_drops_taken_into_a_bucketed_table_equal_one_run_over_all(spark, tmp_path):
+    rng = random.Random(3)
+    keys = [("a", 1)] * 300 + [(rng.choice("abcd"), rng.randrange(12)) for _ in range(200)] + [(None, 1), ("a", None), (None, None)] * 5
+    rng.shuffle(keys)
+    rows = [(*k, rng.choice(["TX1", "txr", "TXF", "ZZ", None]), rng.choice(["f1", "f2", None]), n) for n, k in enumerate(keys)]
+    df = versions(spark, rows, "k string, j int, version string, source_file string, v long")
+    table = LatestTable("latest_in_buckets", ("k", "j"), 4, tie_break=("v",))
+    want = sorted(latest_version(df, ["k", "j"], tie_break=("v",)).collect(), key=repr)
+    table.create(df.where("v < 200"), str(tmp_path / "0"))
+    old = table.take(df.where("v between 200 and 399").select("v", "version", "source_file", "j", "k"), str(tmp_path / "1"))
+    assert old.endswith("/0") and not (tmp_path / "1" / "_temporary").exists()
+    after = table.with_drop(df.where("v >= 400"))
+    assert sorted(after.collect(), key=repr) == want
+    assert sorted(table.with_drop(df).collect(), key=repr) == want  # taking rows again changes nothing
+    assert table.with_drop(df.limit(0)).count() == spark.table(table.table).count()
+    # the table's scan is bucketed and reaches the join without a shuffle
+    plan = exchange_free_side(after)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    with pytest.raises(ValueError, match="extra"):
+        table.with_drop(df.withColumn("extra", F.lit(1)))

@@ -16,7 +16,7 @@ def dataset_path(root: str, slug: str) -> str:
     return f"{root.rstrip('/')}/{slug}"
 
 
-def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """(name, is a folder) of what lies directly under ``path``, without hidden names; empty if it is no
     folder. One listing call."""
     jvm = spark._jvm
@@ -32,10 +32,10 @@ def read_union(spark: SparkSession, path: str) -> DataFrame:
     """All rows under ``path`` with every column that any file has. Folders named ``key=value`` are
     partitions and become columns; plain subfolders are read as well, each with partitions of its own."""
     reader = spark.read.option("mergeSchema", True)
-    plain = [n for n, folder in _children(spark, path) if folder and "=" not in n]
+    plain = [n for n, folder in children(spark, path) if folder and "=" not in n]
     if not plain:
         return reader.parquet(path)
-    own = [f"{path}/{n}" for n, folder in _children(spark, path) if not folder or "=" in n]
+    own = [f"{path}/{n}" for n, folder in children(spark, path) if not folder or "=" in n]
     parts = [reader.option("basePath", path).parquet(*own)] if own else []
     parts += [read_union(spark, f"{path}/{n}") for n in plain]
     out = parts[0]
@@ -84,7 +84,7 @@ def fitted_to(df: DataFrame, path: str, keep: Sequence[str] = ()) -> DataFrame:
     does not hold its values, is an error that names it: nothing has been written then.
     """
     spark = df.sparkSession
-    if not _children(spark, path):
+    if not children(spark, path):
         return df
     there = {f.name.lower(): f.dataType for f in read_union(spark, path).schema}
     casts, bad = {}, []

@@ -19,8 +19,8 @@ from tidemark.operators.rollup import (
     rollup,
     rollup_with_row_pivot,
 )
-from tidemark.operators.versions import latest_version
-from tidemark.workload.registry import query, table
+from tidemark.operators.versions import LatestTable, latest_version
+from tidemark.workload.registry import query, scratch, table
 
 CENTS = "decimal(18,2)"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -46,17 +46,32 @@ def _(spark, sf_dir):
     )
 
 
-@query(
-    "dedup_latest_version",
-    """
+_LATEST_SQL = """
     select * from lineitem
     qualify row_number() over (
         partition by l_orderkey, l_linenumber
         order by case upper(l_returnflag) when 'R' then 2 when 'A' then 1 else 0 end desc,
                  l_shipdate desc nulls last, l_linestatus desc nulls last, upper(l_returnflag) desc nulls last,
                  l_partkey asc nulls last, l_suppkey asc nulls last) = 1
-    """,
-)
+"""
+
+
+@query("dedup_incremental", _LATEST_SQL)
+def _(spark, sf_dir):
+    """The lines of each of three ranges of ship dates, taken one after the other into a bucketed table."""
+    lines = table(spark, sf_dir, "lineitem")
+    year = F.year("l_shipdate")
+    path = scratch(spark, "latest")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    latest = LatestTable(
+        name, ("l_orderkey", "l_linenumber"), 8, "l_returnflag", LINE_FLAGS, ("l_shipdate", "l_linestatus"), ("l_partkey", "l_suppkey")
+    )
+    latest.create(lines.where(year <= 1994), f"{path}/0")
+    latest.take(lines.where((year > 1994) & (year <= 1996)), f"{path}/1")
+    return latest.with_drop(lines.where((year > 1996) | year.isNull()))
+
+
+@query("dedup_latest_version", _LATEST_SQL)
 def _(spark, sf_dir):
     return latest_version(
         table(spark, sf_dir, "lineitem"),

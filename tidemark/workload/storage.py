@@ -275,3 +275,40 @@ def _(spark, sf_dir):
         for r in plan.collect()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "register_tables_partitions",
+    """
+    with t as (select year(o_orderdate)::int as "year", month(o_orderdate)::int as "month", round(o_totalprice * 100)::bigint as cents
+               from orders),
+         months as (select count(distinct (year, month)) filter (where year <= 1995) as early,
+                           count(distinct (year, month)) filter (where year > 1992) as rest from t)
+    select 'create,keep,replace' as actions, early || ',' || rest || ',' || rest as partitions, "year", "month",
+           sum(cents)::bigint as cents, count(*) as rows
+    from t, months where year > 1992 group by all
+    """,
+)
+def _(spark, sf_dir):
+    """The catalog after each of three runs: months up to 1995; later months added and those of 1992 removed; a
+    column of another type."""
+    root, actions, partitions = scratch(spark, "tables"), [], []
+    path, database = dataset_path(root, "orders"), root.rsplit("/", 1)[-1].replace("-", "_")
+    rows = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), (F.col("o_totalprice") * 100).alias("cents")
+    )
+
+    def follow():
+        actions.extend(r["action"] for r in register_tables(spark, root, database, f"{root}-database").collect())
+        partitions.append(str(spark.sql(f"SHOW PARTITIONS {database}.orders").count()))
+
+    write_partitioned(rows.where("year <= 1995"), path)
+    follow()
+    write_partitioned(rows.where("year > 1995"), path)
+    removed(spark, f"{path}/year=1992")
+    follow()
+    write_partitioned(rows.where("year > 1992").withColumn("cents", F.round("cents").cast("long")), path)
+    follow()
+    found = spark.table(f"{database}.orders").groupBy("year", "month")
+    found = found.agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("rows"))
+    return found.withColumns({"actions": F.lit(",".join(actions)), "partitions": F.lit(",".join(partitions))})
