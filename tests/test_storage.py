@@ -253,3 +253,12 @@ def test_a_changed_type_never_takes_the_table_away(spark, tmp_path, monkeypatch)
     assert register_tables(spark, str(root), db, str(tmp_path / "db")).first()["action"] == "replace"
     assert not any("DROP TABLE" in s or "CREATE TABLE" in s for s in statements)
     assert [r.asDict() for r in spark.table(f"{db}.a").collect()] == [{"v": 2.5, "w": None, "z": 7, "year": 2024, "month": 1}]
+
+
+def test_a_partition_column_of_another_type(spark, tmp_path):
+    root, db = tmp_path / "silver", "partition_types"
+    write_partitioned(spark.createDataFrame([(1, 2024)], "v int, year int"), str(root / "a"), ("year",))
+    register_tables(spark, str(root), db, str(tmp_path / "db"))
+    write_partitioned(spark.createDataFrame([(2, "x")], "v int, year string"), str(root / "a"), ("year",))
+    assert register_tables(spark, str(root), db, str(tmp_path / "db")).first()["action"] == "replace"
+    assert sorted((r.v, r.year) for r in spark.table(f"{db}.a").collect()) == [(1, "2024"), (2, "x")]

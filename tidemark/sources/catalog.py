@@ -41,7 +41,8 @@ def register_tables(
     """Make the catalog follow the dataset folders under ``root`` and return what was (to be) done.
 
     create: folder without a table. update: new columns are added to the table. replace: a column has
-    another type now, and the table takes it; columns that no file has any more stay. keep: nothing to do. Partitions
+    another type now, and the table takes it; columns that no file has any more stay (a
+    partition column's type is the exception: the entry is made anew). keep: nothing to do. Partitions
     follow the folders in all cases (``sync_partitions``). flag: the folder
     of a table registered from this root is gone; the table is marked, never dropped. failed: the files of
     this folder are no one table; the others are registered all the same. No folder at all is an error. The
@@ -86,29 +87,36 @@ def _follow(spark: SparkSession, table: str, path: str, root: str, exists: bool,
     action = "create" if not exists else "replace" if changed else "update" if added else "keep"
     if dry_run:
         return action
-    if action == "replace":
+    anew = action == "replace" and bool(set(changed) & {c.lower() for c in _partition_columns(spark, table)})
+    if anew:
+        # Spark cannot alter a partition column. The table is external: only its entry goes, the files stay.
+        spark.sql(f"DROP TABLE {table}")
+    elif action == "replace":
         _swap_types(spark, table, {n: found[n] for n in changed})
-    if action == "create":
+    if action == "create" or anew:
         spark.sql(
             f"CREATE TABLE {table} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}' "
             f"TBLPROPERTIES ('{ROOT_PROPERTY}' = '{root}')"
         )
-    elif added:
+    elif added:  # beside a swap, too
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    if exists:
+    if exists and not anew:
         spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{MISSING_PROPERTY}')")
     sync_partitions(spark, table, path)
     spark.catalog.refreshTable(table)
     return action
 
 
+def _partition_columns(spark: SparkSession, table: str) -> dict[str, str]:
+    """Names and types, in order."""
+    return {c.name: c.dataType for c in spark.catalog.listColumns(table) if c.isPartition}
+
+
 def _swap_types(spark: SparkSession, table: str, found: dict) -> None:
     """Give columns of a table other types in one change of its entry, so that it is there at every moment. (SQL has no
     statement for it that file tables accept.)"""
-    partitions = {c.name for c in spark.catalog.listColumns(table) if c.isPartition}
-    if clash := sorted(partitions & {f.name for f in found.values()}):
-        raise TypeError(f"partition columns of another type: {clash}")
+    partitions = _partition_columns(spark, table)
     fields = [f for f in spark.table(table).schema if f.name not in partitions]
     schema = StructType([StructField(f.name, found[f.name.lower()].dataType if f.name.lower() in found else f.dataType) for f in fields])
     state = spark._jsparkSession.sessionState()
@@ -124,7 +132,7 @@ def sync_partitions(spark: SparkSession, table: str, path: str) -> tuple[int, in
     Only the difference is touched, in statements of ``AT_ONCE`` partitions. Names of partitions reach the driver, as
     they do for Spark's own file index. Dropping one never deletes files, since the table is external.
     """
-    columns = {c.name: c.dataType for c in spark.catalog.listColumns(table) if c.isPartition}
+    columns = _partition_columns(spark, table)
     if not columns:
         return 0, 0
 
