@@ -93,6 +93,40 @@ def test_no_pair_of_a_crowded_bucket_is_lost(spark, monkeypatch, up_to, broadcas
     assert found == {rows[r][0] for r in roots(rows)}
 
 
+def test_copies_too_far_apart_are_not_all_compared(spark, monkeypatch):
+    """A crowd at about 0.75 to its base and less to one another: no pair is similar, few may be compared."""
+    rng = random.Random(5)
+    base, rows = [f"u{rng.randrange(10**9)}" for _ in range(150)], []
+    for i in range(300):
+        copy = list(base)
+        for at in rng.sample(range(30), 5):
+            copy[at * 5] = f"u{rng.randrange(10**9)}"
+        rows.append((i, " ".join(copy)))
+    compared, similar = [], neardup.similar
+
+    def counted(pairs, texts, params):
+        compared.append(pairs.count())
+        return similar(pairs, texts, params)
+
+    monkeypatch.setattr(neardup, "similar", counted)
+    monkeypatch.setattr(neardup, "PAIRS_UP_TO", 8)
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA).repartition(5)
+    found = {r.doc_id for r in neardup.one_of_each_similar(docs, neardup.Shingles(rows=1)).collect()}
+    assert found == {rows[r][0] for r in roots(rows)}
+    assert sum(compared) < 10_000  # of 44,850
+
+
+def test_fingerprints_alone_give_candidates(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(5):
+        text = [f"u{rng.randrange(10**9)}" for _ in range(2000)]
+        rows += [(len(rows) + i, " ".join([*text[:i], "other", *text[i + 1 :]])) for i in range(3)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    kept = neardup.one_of_each_similar(docs, neardup.Shingles(bands=0)).collect()
+    assert {r.doc_id for r in kept} == {0, 3, 6, 9, 12}
+
+
 def test_near_copies_of_the_table_do_not_all_stay(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id in (1, 255, 643, 770)")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()} == {1, 643}

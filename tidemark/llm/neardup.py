@@ -1,9 +1,11 @@
 """Near-duplicates by the word shingles they share.
 
 Two texts are linked where the Jaccard similarity of their sets of word shingles is at least
-``similarity``. Candidates come from MinHash bands: texts that agree in all hashes of a band meet in a bucket.
-Every candidate pair is then decided by the shingles themselves. Texts equal in their lower-cased words are
-one throughout. In a bucket of few texts all pairs are candidates.
+``similarity``. Candidates come from two sketches of those sets. SimHash: texts whose fingerprints differ in at most
+``max_bits`` bits, found by pigeonhole blocks (see ``simhash``). MinHash, since most texts at 0.8 differ in more bits
+than blocks can find: texts that agree in all hashes of a band meet in a bucket. Every candidate pair is then decided by
+the shingles themselves. Texts equal in their lower-cased words are one throughout. In a bucket of few texts all pairs
+are candidates.
 
 The texts of crowded buckets are joined exactly, by their rare shingles. Shingles are put in one order, rare ones
 (in at most ``PAIRS_UP_TO`` of these texts) before frequent ones. Of a text with n shingles the first
@@ -12,7 +14,8 @@ n - ceil(0.8 n) + 1 are its prefix, and similar texts have a shingle of both pre
 * A rare one: the few texts that have it are compared in pairs.
 * A frequent one: most shingles of both texts are frequent, as in a crowd of near copies. In every crowded bucket
   such texts are compared with one of them, the centre, which links a crowd by one row for each text. What that leaves
-  in other components than most of the bucket is compared with all such texts in it.
+  in other components than most of the bucket is compared with the texts in it that can be similar: all pairs with a
+  rare shingle in common are decided by then, and the others have no more in common than the frequent ones of either.
 
 So no similar pair that meets in a bucket is left in two components, and what is compared in full is what
 does not belong to a crowd.
@@ -31,9 +34,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.frames import BROADCAST_ROWS, Rows, components, compressed, keyed, rows_of, same_row, scratch, small_side, stored, unpacked
-from tidemark.llm.simhash import kept_of
+from tidemark.llm.simhash import kept_of, near_links, print_of, signed
 
-SIGNED = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 PAIRS_UP_TO = 64  # texts of a bucket, or of a shingle, that are compared in pairs
 AT_ONCE = 1 << 12  # shingles hashed at once
@@ -48,6 +51,7 @@ class Shingles:
     bands: int = 24
     rows: int = 4
     seed: int = 42
+    max_bits: int = 4  # of SimHash fingerprints
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -89,17 +93,31 @@ def canonical(words: list[bytes]) -> int:
 
 
 def signatures(docs: DataFrame, params: Shingles) -> DataFrame:
-    """(id, h, c, bands): ``c`` is a hash of the lower-cased words."""
+    """(id, h, c, fp, bands): ``c`` is a hash of the lower-cased words, ``fp`` the fingerprint of the set of shingles
+    (NULL without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(SIGNED)
         for doc, h, text in rows_of(batches, "id", "h", "text"):
             words = words_of(text)
-            yield from out.add(doc, h, canonical(words), band_keys(shingle_hashes(words, params.shingle, params.seed), params))
+            hashes = shingle_hashes(words, params.shingle, params.seed)
+            fp = signed(print_of(hashes)) if words else None
+            yield from out.add(doc, h, canonical(words), fp, band_keys(hashes, params))
         yield from out.rest()
 
     rows = keyed(docs)
-    return rows.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, h long, c long, bands array<long>")
+    return rows.withColumn("id", F.col("id").cast("long")).mapInArrow(run, "id long, h long, c long, fp long, bands array<long>")
+
+
+def near_prints(texts: DataFrame, params: Shingles) -> DataFrame:
+    """Pairs (a, b) of distinct texts (c, fp) whose fingerprints are near. Texts with the same fingerprint are paired
+    with the least of them, which stands for them in pairs with other fingerprints."""
+    least = stored(texts.filter("fp is not null").groupBy("fp").agg(F.min("c").alias("least")), "prints")
+    same = texts.join(least, "fp").filter("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b"))
+    links = near_links(least.select("fp"), params.max_bits)
+    of = lambda end: least.select(F.col("fp").alias(end), F.col("least").alias(f"{end}_c"))
+    near = links.join(of("a"), "a").join(of("b"), "b")
+    return same.union(near.select(F.least("a_c", "b_c").alias("a"), F.greatest("a_c", "b_c").alias("b")))
 
 
 def crowds(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +127,7 @@ def crowds(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(rows.join(sizes, ["t", "key"]), "buckets")
     few = shared.filter(F.col("n") <= PAIRS_UP_TO).groupBy("t", "key").agg(F.collect_list("c").alias("cs"))
-    return in_pairs(few).distinct(), shared.filter(F.col("n") > PAIRS_UP_TO).select("t", "key", "c")
+    return in_pairs(few), shared.filter(F.col("n") > PAIRS_UP_TO).select("t", "key", "c")
 
 
 def in_pairs(lists: DataFrame) -> DataFrame:
@@ -120,7 +138,7 @@ def in_pairs(lists: DataFrame) -> DataFrame:
 
 def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
     """(c, size, s, crowd): of every text (c, packed) the rare shingles s of its prefix, and, where the prefix has
-    frequent ones as well, one row with ``crowd`` set. Few frequent shingles are looked up where the texts are; more
+    frequent ones as well (and so all its rare ones), one row with ``crowd`` set and the number of frequent ones as s. Few frequent shingles are looked up where the texts are; more
     are marked by a join."""
 
     def hashes_of(packed: bytes) -> np.ndarray:
@@ -153,7 +171,7 @@ def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
                 prefix = longest(len(hashes))
                 yield rows(c, len(hashes), rare[:prefix], False)
                 if len(rare) < prefix:
-                    yield rows(c, len(hashes), np.zeros(1, np.int64), True)
+                    yield rows(c, len(hashes), np.array([len(hashes) - len(rare)], np.int64), True)
 
         return texts.mapInArrow(cut, kind)
     marked = texts.mapInArrow(whole, kind).drop("crowd").join(often.withColumn("often", F.lit(True)), "s", "left")
@@ -161,21 +179,24 @@ def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("c").orderBy("crowd", "s"))
     prefix = F.col("size") - F.ceil(F.col("size") * params.similarity - 1e-9) + 1
     cut = marked.withColumn("place", place).filter(F.col("place") <= prefix)
-    hot = cut.filter("crowd").select("c", "size", F.lit(0).cast("long").alias("s"), "crowd").distinct()
+    hot = cut.filter("crowd").groupBy("c", "size", "crowd").agg(F.min("place").alias("first"))
+    hot = hot.select("c", "size", (F.col("size") - F.col("first") + 1).alias("s"), "crowd")
     return cut.filter("not crowd").select("c", "size", "s", "crowd").union(hot)
 
 
 def alone_in_crowds(members: DataFrame, roots: DataFrame, params: Shingles) -> DataFrame:
-    """Pairs (a, b) of texts that share a bucket of ``members`` (t, key, c, size) but no component: each text that
-    is not in the component of most of the bucket, with all of it that are not in its own."""
-    rows = members.join(roots, F.col("c") == F.col("node"), "left").select("t", "key", "c", "size", F.coalesce("root", "c").alias("root"))
+    """Pairs (a, b) of texts that share a bucket of ``members`` (t, key, c, size, frequent) but no component: each text
+    that is not in the component of most of the bucket, with all of it that are not in its own. Left out are those that
+    cannot be similar unless they share a rare shingle, and those that do have been compared."""
+    rows = members.join(roots, F.col("c") == F.col("node"), "left")
+    rows = rows.select("t", "key", "c", "size", "frequent", F.coalesce("root", "c").alias("root"))
     rows = stored(rows, "rooted")
     sizes = rows.groupBy("t", "key", "root").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy("t", "key").agg(F.max_by("root", F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
     apart = rows.join(most.filter("roots > 1"), ["t", "key"]).filter("root <> most")
-    apart = apart.select("t", "key", F.col("c").alias("a"), F.col("root").alias("mine"), F.col("size").alias("length"))
-    near = F.least("size", "length") >= F.greatest("size", "length") * params.similarity - 1e-9
-    met = apart.join(rows, ["t", "key"]).filter((F.col("mine") != F.col("root")) & near)
+    apart = apart.select("t", "key", F.col("c").alias("a"), F.col("root").alias("mine"), F.col("size").alias("length"), F.col("frequent").alias("often"))
+    common = (F.col("size") + F.col("length")) * (params.similarity / (1 + params.similarity)) - 1e-6
+    met = apart.join(rows, ["t", "key"]).filter((F.col("mine") != F.col("root")) & (F.least("frequent", "often") >= common))
     return met.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
 
@@ -210,9 +231,10 @@ def similar(pairs: DataFrame, texts: DataFrame, params: Shingles) -> DataFrame:
 
 
 def links_of(rows: DataFrame, docs: DataFrame, params: Shingles) -> DataFrame:
-    """Links (a, b) that join all similar texts into their components. ``rows``: (id, h, c, bands)."""
-    few, members = crowds(stored(rows.groupBy("c").agg(F.first("bands").alias("bands")), "distinct"))
-    few = stored(few, "pairs")
+    """Links (a, b) that join all similar texts into their components. ``rows``: (id, h, c, fp, bands)."""
+    distinct = stored(rows.groupBy("c").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
+    few, members = crowds(distinct)
+    few = stored(few.union(near_prints(distinct, params)).distinct(), "pairs")
     crowded = stored(members.select("c").distinct(), "crowded")
     texts = texts_of(few.select(F.explode(F.array("a", "b")).alias("c")).union(crowded).distinct(), rows, docs)
     links = similar(few, texts, params)
@@ -220,7 +242,7 @@ def links_of(rows: DataFrame, docs: DataFrame, params: Shingles) -> DataFrame:
         return links
     prefix = stored(prefixes(texts.join(small_side(crowded), "c", "left_semi"), params), "prefixes")
     rare = in_pairs(prefix.filter("not crowd").groupBy("s").agg(F.collect_list("c").alias("cs")))
-    hot = members.join(small_side(prefix.filter("crowd").select("c", "size")), "c")
+    hot = members.join(small_side(prefix.filter("crowd").select("c", "size", F.col("s").alias("frequent"))), "c")
     centre = hot.groupBy("t", "key").agg(F.min_by("c", F.xxhash64("c")).alias("m"))
     spokes = hot.join(centre, ["t", "key"]).filter("c <> m").select(F.least("c", "m").alias("a"), F.greatest("c", "m").alias("b"))
     links = links.union(similar(stored(rare.union(spokes).distinct(), "pairs"), texts, params))

@@ -45,7 +45,11 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
     cuts = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in cuts), np.uint64, len(words) - k + 1)
+    return print_of(np.fromiter((digest(joined[a:b], seed) for a, b in cuts), np.uint64, len(words) - k + 1))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the 64-bit ``hashes``."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), UNPACK):
         part = hashes[at : at + UNPACK].astype(">u8").view(np.uint8).reshape(-1, 8)
