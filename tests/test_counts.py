@@ -90,3 +90,19 @@ def test_no_row_is_ranged(spark):
     df = spark.range(50_000).select((F.col("id") % 977).alias("a"))
     plan = exact_quantiles(df, ["a"], [0.5])._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and quantiles.ACCURACY == 10_000
+
+
+def test_brackets_of_few_groups_are_sent_to_the_facts(spark):
+    """Else all facts are sorted in as many tasks as there are groups and columns."""
+    df = spark.range(50_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 977).alias("a"))
+    found = exact_quantiles(df, ["a"], [0.1, 0.5], by=["k"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joins) == 2 and all("strategy=broadcast" in line for line in joins)
+
+
+def test_many_groups_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SENT_ROWS", 10)
+    rows = [(i % 40, i) for i in range(4000)]
+    got = exact_quantiles(spark.createDataFrame(rows, "k int, a int"), ["a"], [0.5], by=["k"]).collect()
+    assert {tuple(r) for r in got} == plain(rows, ["a"], [0.5])

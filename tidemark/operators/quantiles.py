@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.session import pin
+
 ACCURACY = 10_000  # of the sketch: a value's rank is off by at most a ten-thousandth of the rows
 GRID = 1_000
+SENT_ROWS = 100_000  # brackets that are sent to the facts
 
 
 def cells(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -32,7 +35,8 @@ def exact_quantiles(
     ranks floor(p (n - 1)) and ceil(p (n - 1)), counted from 0, and the value between them in proportion.
 
     NULLs are skipped, NaN is the largest value, NULL keys are a group, and a group without values has no row. Values
-    are compared as doubles. Ties cost one row for each value. What is ordered per group and probability is about
+    are compared as doubles. Facts are shuffled only where there are over ``SENT_ROWS`` groups and probabilities; with
+    ``by``, the sketch is run at once to learn how many. Ties cost one row for each value. What is ordered per group and probability is about
     4 / ``accuracy`` of its distinct values; raise it for groups of more than some ten thousand million rows.
     """
     facts = cells(df, columns, by)
@@ -50,7 +54,10 @@ def exact_quantiles(
     brackets = sketch.select(*keys, "n", F.inline(wanted))
     at = F.col("probability") * (F.col("n") - 1)
     brackets = brackets.withColumns({"ranks": F.array(F.floor(at), F.ceil(at))})
-    found = selected(facts, brackets, keys, ["probability"], small=not by)
+    if by:
+        brackets = pin(brackets)
+    small = not by or brackets.limit(SENT_ROWS + 1).count() <= SENT_ROWS
+    found = selected(facts, brackets, keys, ["probability"], small)
     share = F.col("probability") * (F.col("n") - 1) - F.floor(F.col("probability") * (F.col("n") - 1))
     lower, upper = F.get("values", F.lit(0)), F.get("values", F.lit(1))
     value = F.when(lower == upper, lower).otherwise(lower + (upper - lower) * share)
