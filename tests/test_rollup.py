@@ -164,3 +164,28 @@ def test_s14_ratio_guard(spark):
 def test_round_even(spark):
     df = spark.createDataFrame([(3.125,), (3.375,), (-3.125,), (2.0,)], "x double")
     assert [r[0] for r in df.select(round_even(F.col("x"), 2)).collect()] == [3.12, 3.38, -3.12, 2.0]
+
+
+def test_pivot_as_rows_equals_the_columns_read_back(facts):
+    pivot = PivotTotal("valor", "market", "d")
+    wide = rollup(facts, ["h"], [Total("valor", "d_total")], [DistinctCount("agent", "d_agentes")], pivot)
+    keys = ["h", "d_total", "d_agentes"]
+    for values in (None, ("Regulado", None, "other")):
+        pivot = PivotTotal("valor", "market", "d", values)
+        wide = rollup(facts, ["h"], [Total("valor", "d_total")], [DistinctCount("agent", "d_agentes")], pivot)
+        want = wide.unpivot(keys, [c for c in wide.columns if c not in keys], "cell", "v")
+        got = rollup(facts, ["h"], [Total("valor", "d_total")], [DistinctCount("agent", "d_agentes")], pivot, as_rows=("cell", "v"))
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_pivot_as_rows_has_no_limit_of_categories(spark):
+    df = spark.range(50).select(F.lit(1).alias("h"), F.col("id").alias("c"), F.lit(2.0).alias("v"))
+    df = df.union(spark.createDataFrame([(2, 7, 3.0), (2, None, 4.0)], "h int, c long, v double"))
+    spark.conf.set("spark.sql.pivotMaxValues", "20")
+    try:
+        got = rollup(df, ["h"], [Total("v", "t")], pivot=PivotTotal("v", "c", "p"), as_rows=("cell", "value")).collect()
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert len(got) == 2 * 51 and {r.t for r in got} == {100.0, 7.0}
+    assert {(r.h, r.cell): r.value for r in got if r.value not in (None, 2.0)} == {(2, "p_col_7"): 3.0, (2, "p_null"): 4.0}
