@@ -1,12 +1,14 @@
 import datetime as dt
 import json
 import os
+import threading
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from fixtures import drop
+from tidemark.plans import refresh
 from tidemark.plans.refresh import Refreshed, refresh_silver
 from tidemark.plans.silver import bronze_to_silver
 from tidemark.sources.bronze import read_bronze
@@ -142,3 +144,20 @@ def test_a_first_run_that_wrote_nothing_is_made_good(spark, tmp_path, monkeypatc
             refresh_silver(spark, str(root), silver)
     assert refresh_silver(spark, str(root), silver)["d"].rows == 1
     assert [r[0] for r in state(spark, silver)] == [1]
+
+
+def test_tables_are_refreshed_side_by_side(spark, tmp_path, monkeypatch):
+    """Each waits for the other to have begun."""
+    both, real = threading.Barrier(2, timeout=60), refresh._refresh
+
+    def waits(*args):
+        both.wait()
+        return real(*args)
+
+    monkeypatch.setattr(refresh, "_refresh", waits)
+    for slug in ("d", "e"):
+        drop(tmp_path / "bronze", slug, JAN, JAN, [{"v": slug}])
+    silver = str(tmp_path / "silver")
+    ran = refresh_silver(spark, str(tmp_path / "bronze"), silver, at_once=2)
+    assert ran == {"d": Refreshed(1, 0, 1), "e": Refreshed(1, 0, 1)}
+    assert [r.v for slug in ran for r in read_silver(spark, silver, slug).collect()] == ["d", "e"]

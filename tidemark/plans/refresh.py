@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -34,6 +35,7 @@ def refresh_silver(
     slugs: Iterable[str] = (),
     schemas: Mapping[str, StructType] | None = None,
     widen: bool = False,
+    at_once: int = 1,
 ) -> dict[str, Refreshed]:
     """Take into silver what came under ``source`` since the last refresh; the tables are those of
     ``bronze_to_silver`` over all drops.
@@ -41,10 +43,13 @@ def refresh_silver(
     New drops are added to their partitions. Where a drop changed (its length or time), or the run before was cut
     short, the partitions of the drops are written again: rows of other drops as they are, and those of the
     drop anew. Rows of a drop that is gone stay. The paths of what is due reach the driver, unless the table is
-    new; contents of other drops are not read. One refresh of a table runs at a time.
+    new; contents of other drops are not read. One refresh of a table runs at a time; ``at_once`` lets those of several
+    tables overlap, so that a table of few drops leaves no cores idle.
     """
     schemas = schemas or {}
-    return {slug: _refresh(spark, source, target, slug, schemas.get(slug), widen) for slug in bronze_slugs(spark, source, slugs)}
+    found = bronze_slugs(spark, source, slugs)
+    with ThreadPoolExecutor(max_workers=max(at_once, 1)) as pool:
+        return dict(zip(found, pool.map(lambda slug: _refresh(spark, source, target, slug, schemas.get(slug), widen), found)))
 
 
 def _refresh(spark: SparkSession, source: str, target: str, slug: str, schema: StructType | None, widen: bool) -> Refreshed:

@@ -153,13 +153,13 @@ def _(spark, sf_dir):
     days = sorted(r["day"] for r in drops.select("day").distinct().collect())
     first, middle, runs = days[0], days[len(days) // 2 - 1], []
     write_bronze(drops.where(F.col("day") <= middle), root, "slug", "day", "EventID")
-    runs.append(refresh_silver(spark, root, silver))
-    runs.append(refresh_silver(spark, root, silver))
+    runs.append(refresh_silver(spark, root, silver, at_once=8))
+    runs.append(refresh_silver(spark, root, silver, at_once=8))
     for path in bronze_files(spark, root).where(F.col("period_start") == first).select("path").collect():
         removed(spark, path[0])
     again = drops.where(F.col("day") == first).withColumn("1er Valor", F.col("1er Valor") + 1)
     write_bronze(again.union(drops.where(F.col("day") > middle)), root, "slug", "day", "EventID")
-    runs.append(refresh_silver(spark, root, silver))
+    runs.append(refresh_silver(spark, root, silver, at_once=8))
     rows = reduce(DataFrame.unionByName, [read_silver(spark, silver, slug) for slug in runs[0]])
     read = [str(sum(r.drops for r in run.values())) for run in runs]
     changed = [str(sum(r.changed for r in run.values())) for run in runs]
