@@ -1,4 +1,6 @@
 import html as entities
+import itertools
+import random
 import re
 
 import pytest
@@ -153,3 +155,34 @@ def test_many_class_names_and_long_pages(spark, monkeypatch):
     assert all(got[i] == prose(i) for i in range(1, 6))
     monkeypatch.setattr(w.Alphabet, "LAST", w.Alphabet.FIRST + 20)
     assert w.infer([w.shape(f"a{k}" for k in range(n)) for n in (30, 60)])  # letters run out: no error
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = last[j] + 1 if x == y else max(row[j], last[j + 1])
+    return row[-1]
+
+
+def test_common_places_are_a_longest_common_subsequence():
+    rng = random.Random(4)
+    for _ in range(200):
+        a, b = ("".join(rng.choices("abcde", k=rng.randrange(40))) for _ in range(2))
+        found = w.common_places(a, b)
+        assert len(found) == lcs(a, b) and all(a[i] == b[j] for i, j in found)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(found, found[1:]))
+        with_pieces = list(w.pieces(a, b))
+        assert "".join(a[i:j] for _, i, j, _, _ in with_pieces) == a and "".join(b[k:m] for *_, k, m in with_pieces) == b
+
+
+def test_very_long_pages_of_a_host_have_a_wrapper(spark):
+    """What they all require and hold alike is template to them, and not to other pages."""
+    names = ["".join(t) for t in itertools.islice(itertools.product("abcdefghijklmnopqrs", repeat=4), 6000)]
+    page = "<body><div class='x'>fixed line</div><p>{}</p>{}</body>"
+    long = "".join(f'<div class="q{n}"></div>' for n in names)
+    rows = [(i, "http://h.org/", page.format(prose(i), long)) for i in range(3)]
+    rows += [(3, "http://h.org/", f"<p>{prose(3)}</p>"), (4, "http://h.org/", page.format(prose(4), ""))]
+    got = {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: prose(i) for i in range(4)} | {4: f"fixed line\n{prose(4)}"}

@@ -12,7 +12,9 @@ decide alone. They also set aside what differs from page to page and is no artic
 
 Pages are reduced to their streams with repeats folded, and to a digest for each slot. Both are counted per
 host before anything is gathered. A host with many different streams is split: parts of it make wrappers of
-their own, which are then aligned with each other in rounds, so no task holds more than ``FAN_IN`` streams.
+their own, which are then aligned with each other in rounds, so no task holds more than ``FAN_IN`` streams, or two of them if
+they are very long. Streams of over ``LONGEST_STREAM`` tokens are a kind of page of their own: the host has a second
+wrapper, of all of them.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Collection, Iterable, Iterator, Sequence
 from difflib import SequenceMatcher
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -35,7 +38,8 @@ from tidemark.llm.reputation import host_of
 
 FAN_IN = 64
 LONGEST_GROUP = 24  # tokens of a repeated group, inner groups counting as one
-LONGEST_STREAM = 5_000  # folded tokens of a page that is aligned
+PART_BYTES = 8 << 20  # of streams that a task aligns, beyond the first two
+LONGEST_STREAM = 5_000  # folded tokens of a stream that is aligned by longest blocks; longer ones by ``common_places``
 DIFFERENT = 3  # texts of a slot that show that a host's pages differ, and pages that show that one's text does not
 PROSE = 20  # words a page in a slot that holds prose
 
@@ -240,6 +244,70 @@ def read(nodes: Iterable, letters: Alphabet) -> str:
     return "".join(letters.char(("+", read(n[1:], letters)) if isinstance(n, list) else n) for n in nodes)
 
 
+def common_places(a: str, b: str) -> list[tuple[int, int]]:
+    """Places (in a, in b) of a longest common subsequence, in order. Halves of ``a`` find their parts of ``b`` (Hirschberg),
+    a row of lengths being the zeros of one integer: memory in proportion to the streams, and 1/64 of a step for
+    each pair of tokens."""
+
+    def lengths(x: str, y: str) -> np.ndarray:
+        """Of the common subsequences of ``x`` and each beginning of ``y``."""
+        where: dict[str, int] = {}
+        for c, at in sorted(places_of(y).items()):
+            bits = np.zeros(-(-len(y) // 8) * 8, np.uint8)
+            bits[at] = 1
+            where[c] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+        full = row = (1 << len(y)) - 1
+        for c in x:
+            hit = row & where.get(c, 0)
+            row = ((row + hit) | (row - hit)) & full
+        bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(y) // 8), "little"), np.uint8), bitorder="little")
+        return np.concatenate(([0], np.cumsum(1 - bits[: len(y)].astype(np.int64))))
+
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and a[i] == b[k]:
+            out.append((i, k))
+            i, k = i + 1, k + 1
+        while i < j and k < m and a[j - 1] == b[m - 1]:
+            j, m = j - 1, m - 1
+            out.append((j, m))
+        if i == j or k == m:
+            continue
+        if j - i == 1:
+            if (at := b.find(a[i], k, m)) >= 0:
+                out.append((i, at))
+            continue
+        half = (i + j) // 2
+        both = lengths(a[i:half], b[k:m]) + lengths(a[half:j][::-1], b[k:m][::-1])[::-1]
+        cut = k + int(both.argmax())
+        todo += [(i, half, k, cut), (half, j, cut, m)]
+    return sorted(out)
+
+
+def places_of(chars: str) -> dict[str, list[int]]:
+    found: dict[str, list[int]] = {}
+    for at, c in enumerate(chars):
+        found.setdefault(c, []).append(at)
+    return found
+
+
+def pieces(a: str, b: str) -> Iterator[tuple[bool, int, int, int, int]]:
+    """a[i:j] and b[k:m] that are shared, or that the other lacks: (shared, i, j, k, m), in order."""
+    if max(len(a), len(b)) <= LONGEST_STREAM:
+        for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+            yield kind == "equal", i, j, k, m
+        return
+    i = k = 0
+    for at, other in [*common_places(a, b), (len(a), len(b))]:
+        if at > i or other > k:
+            yield False, i, at, k, other
+        if at < len(a):
+            yield True, at, at + 1, other, other + 1
+        i, k = at + 1, other + 1
+
+
 class Wrapper:
     """A union-free regular expression: tokens and repeated groups in order, each of them optional or not."""
 
@@ -267,8 +335,8 @@ class Wrapper:
         a, a_opt = self._regroup(self.chars, self.optional, groups)
         b, b_opt = self._regroup(other.chars, other.optional, groups)
         chars, optional = [], []
-        for kind, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
-            if kind == "equal":
+        for shared, i, j, k, m in pieces(a, b):
+            if shared:
                 chars.append(a[i:j])
                 optional += [x or y for x, y in zip(a_opt[i:j], b_opt[k:m])]
             else:
@@ -320,11 +388,17 @@ def load(text: str) -> list:
     return stack[0]
 
 
-def shape(tokens: Iterable[str]) -> str | None:
-    """A page's stream with its repeats folded; None if it is too long to be aligned."""
+def folded(tokens: Iterable[str]) -> tuple[str, int]:
+    """A page's stream with its repeats folded, and its length."""
     letters = Alphabet()
     nodes = written(fold("".join(map(letters.char, tokens)), letters), letters)
-    return dump(nodes) if len(nodes) <= LONGEST_STREAM else None
+    return dump(nodes), len(nodes)
+
+
+def shape(tokens: Iterable[str]) -> str | None:
+    """A page's folded stream; None if it is too long to be aligned by longest blocks (see ``pieces`` for those)."""
+    text, length = folded(tokens)
+    return text if length <= LONGEST_STREAM else None
 
 
 def slots_of(nodes: Iterable) -> Iterator[str]:
@@ -350,11 +424,11 @@ def infer(shapes: Iterable[str]) -> str:
 
 
 def measured(pages: DataFrame) -> DataFrame:
-    """What the wrappers of ``pages`` (url, html) are made from: per host its different streams (``wrapper``), and
-    per slot its different texts (``digest``), with the pages and words of each."""
+    """What the wrappers of ``pages`` (url, html) are made from: per host its different streams (``wrapper``; ``long`` ones
+    are of the second), and per slot its different texts (``digest``), with the pages and words of each."""
 
     def read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [("host", pa.string()), ("wrapper", pa.string()), ("slot", pa.string())]
+        kinds = [("host", pa.string()), ("long", pa.bool_()), ("wrapper", pa.string()), ("slot", pa.string())]
         out = Rows(pa.schema([*kinds, ("digest", pa.int64()), ("words", pa.int64())]))
         seen = set()
         for host, page in rows_of(batches, "host", "html"):
@@ -364,61 +438,65 @@ def measured(pages: DataFrame) -> DataFrame:
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(key)
-                if (wrapper := shape(tokens)) is not None:
-                    yield from out.add(host, wrapper, None, None, 0, size=len(wrapper))
+                wrapper, length = folded(tokens)
+                yield from out.add(host, length > LONGEST_STREAM, wrapper, None, None, 0, size=len(wrapper))
             held: dict[str, tuple[xxhash.xxh64, int]] = {}
             for slot in slots:
                 digest, n = held.get(slot.path) or (xxhash.xxh64(), 0)
                 digest.update(f"{slot.text}\n".encode("utf-8", "surrogatepass"))
                 held[slot.path] = digest, n + slot.text.count(" ") + 1
             for path, (digest, n) in held.items():
-                yield from out.add(host, None, path, digest.intdigest() - (1 << 63), n, size=48)
+                yield from out.add(host, False, None, path, digest.intdigest() - (1 << 63), n, size=48)
         yield from out.rest()
 
     rows = small_batches(pages).select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string"))
-    read_ = rows.mapInArrow(read_pages, "host string, wrapper string, slot string, digest long, words long")
-    counted = read_.groupBy("host", "wrapper", "slot", "digest").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("words"))
+    read_ = rows.mapInArrow(read_pages, "host string, long boolean, wrapper string, slot string, digest long, words long")
+    counted = read_.groupBy("host", "long", "wrapper", "slot", "digest").agg(F.count(F.lit(1)).alias("pages"), F.sum("words").alias("words"))
     return stored(counted, "wrappers")
 
 
 def wrappers(found: DataFrame) -> DataFrame:
-    """(host, wrapper) for every host of ``measured`` pages; NULL urls are pages of the empty host."""
+    """(host, long, wrapper) for every host of ``measured`` pages; NULL urls are pages of the empty host."""
 
     def merge(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [part["host"].iloc[0]], "wrapper": [infer(part["wrapper"])]})
+        return part[["host", "long"]].head(1).assign(wrapper=infer(part["wrapper"]))
 
-    found = found.where("wrapper is not null").select("host", "wrapper")
+    found = found.where("wrapper is not null").select("host", "long", "wrapper")
     while True:
-        kinds = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        kinds = found.groupBy("host", "long").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("wrapper")).alias("bytes"))
         if kinds.filter("n > 1").isEmpty():
             return found
-        # a host of many streams is dealt to parts of about FAN_IN of them, which the next round aligns
-        part = F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("n") / FAN_IN))
-        dealt = found.join(kinds, "host").withColumn("part", part)
-        found = stored(dealt.groupBy("host", "part").applyInPandas(merge, "host string, wrapper string").distinct(), "wrappers")
+        # a host of many or long streams is dealt to parts of about FAN_IN or PART_BYTES of them, which the next round
+        # aligns; parts are half the streams at most, so that some meet
+        parts = F.greatest(F.ceil(F.col("n") / FAN_IN), F.least(F.ceil(F.col("bytes") / PART_BYTES), F.ceil(F.col("n") / 2)))
+        part = F.pmod(F.xxhash64("wrapper"), parts)
+        dealt = found.join(kinds, ["host", "long"]).withColumn("part", part)
+        found = stored(dealt.groupBy("host", "long", "part").applyInPandas(merge, "host string, long boolean, wrapper string").distinct(), "wrappers")
 
 
 def template_slots(found: DataFrame) -> DataFrame:
-    """(host, template): the slots that the host's wrapper requires and that hold one text on all pages.
+    """(host, template, longer): the slots that the host's wrapper requires and that hold one text on all pages; for
+    ``long`` pages also those that the wrapper of these requires.
 
     Only for hosts whose pages differ: some slot of prose has ``DIFFERENT`` texts. The array is at most as long
-    as the slots of one page of ``LONGEST_STREAM`` tokens.
+    as the slots of the host's shortest page.
     """
 
     def required(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Rows(pa.schema([("host", pa.string()), ("slot", pa.string())]))
-        for host, wrapper in rows_of(batches, "host", "wrapper"):
+        out = Rows(pa.schema([("host", pa.string()), ("long", pa.bool_()), ("slot", pa.string())]))
+        for host, long, wrapper in rows_of(batches, "host", "long", "wrapper"):
             for slot in sorted(set(slots_of(load(wrapper)))):
-                yield from out.add(host, slot)
+                yield from out.add(host, long, slot)
         yield from out.rest()
 
     slots = found.where("slot is not null").groupBy("host", "slot")
     slots = slots.agg(F.count(F.lit(1)).alias("texts"), F.sum("pages").alias("pages"), F.sum("words").alias("words"))
     differing = slots.where((F.col("texts") >= DIFFERENT) & (F.col("words") >= PROSE * F.col("pages"))).select("host").distinct()
     same = slots.where((F.col("texts") == 1) & (F.col("pages") >= DIFFERENT)).select("host", "slot")
-    needed = wrappers(found).mapInArrow(required, "host string, slot string")
-    template = same.join(differing, "host", "left_semi").join(needed, ["host", "slot"], "left_semi")
-    return template.groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template"))
+    needed = wrappers(found).mapInArrow(required, "host string, long boolean, slot string")
+    template = same.join(differing, "host", "left_semi").join(needed, ["host", "slot"])
+    usual = F.collect_set(F.when(~F.col("long"), F.col("slot")))
+    return template.groupBy("host").agg(F.sort_array(usual).alias("template"), F.sort_array(F.collect_set("slot")).alias("longer"))
 
 
 def blocks_of(page: str | None, template: Collection[str] = ()) -> list[str]:
@@ -440,18 +518,24 @@ def blocks_of(page: str | None, template: Collection[str] = ()) -> list[str]:
     return outside
 
 
+def is_long(page: str | None) -> bool:
+    tokens, _ = stream(page)
+    return len(tokens) > LONGEST_STREAM and folded(tokens)[1] > LONGEST_STREAM
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     A NULL or empty page, or one without main text, has the empty text. Repeated pages stay repeated. An
-    empty table gives an empty result. Extra columns are not looked at. A page of more than ``LONGEST_STREAM``
-    folded tokens is no part of its host's wrapper; its texts are, and it is extracted like the others.
+    empty table gives an empty result. Extra columns are not looked at.
     """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
-        for page, url, html, template in rows_of(batches, "page_id", "url", "html", "template"):
+        for page, url, html, template, longer in rows_of(batches, "page_id", "url", "html", "template", "longer"):
+            if longer and len(longer) > len(template) and is_long(html):
+                template = longer
             text = "\n".join(blocks_of(html, frozenset(template or ())))
             yield from out.add(page, url, text, len(text), size=len(text))
         yield from out.rest()
@@ -459,5 +543,5 @@ def extract(pages: DataFrame) -> DataFrame:
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long"), url.alias("url"), F.col("html").cast("string"), host_of(url).alias("host"))
     found = stored(template_slots(measured(pages)), "templates")
-    joined = rows.join(small_side(found), "host", "left").select("page_id", "url", "html", "template")
+    joined = rows.join(small_side(found), "host", "left").select("page_id", "url", "html", "template", "longer")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
