@@ -116,6 +116,41 @@ def test_copies_too_far_apart_are_not_all_compared(spark, monkeypatch):
     assert sum(compared) < 10_000  # of 44,850
 
 
+def near_copies(count):
+    """Copies of two texts that share a lead, with some words changed, dropped or put in, often for common ones."""
+    rng = random.Random(11)
+    lead, rows = [f"lead{i}" for i in range(60)], []
+    bases = [lead + [f"{b}{i}" for i in range(90 + 5 * b)] for b in range(2)]
+    for i in range(count):
+        copy = list(bases[i % 6 == 0])
+        for _ in range(rng.randrange(1, 6)):
+            at = rng.randrange(len(copy))
+            word = "common" if rng.random() < 0.4 else f"u{rng.randrange(10**9)}"
+            copy[at : at + rng.randrange(2)] = [word] if rng.random() < 0.8 else []
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_crowd_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch, broadcast):
+    """What the centres leave apart is compared with the texts that differ from the centre alike, and not with all
+    the texts of its buckets; no similar pair is lost."""
+    compared, similar = [], neardup.similar
+
+    def counted(pairs, texts, params):
+        compared.append(pairs.count())
+        return similar(pairs, texts, params)
+
+    monkeypatch.setattr(neardup, "similar", counted)
+    monkeypatch.setattr(neardup, "PAIRS_UP_TO", 8)
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", broadcast)
+    rows = near_copies(600)
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA).repartition(5)
+    found = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()}
+    assert found == {rows[r][0] for r in roots(rows)}
+    assert len(found) > 20 and compared[-1] < 100  # of 179,700
+
+
 def test_fingerprints_alone_give_candidates(spark):
     rng = random.Random(6)
     rows = []

@@ -13,9 +13,9 @@ n - ceil(0.8 n) + 1 are its prefix, and similar texts have a shingle of both pre
 
 * A rare one: the few texts that have it are compared in pairs.
 * A frequent one: most shingles of both texts are frequent, as in a crowd of near copies. In every crowded bucket
-  such texts are compared with one of them, the centre, which links a crowd by one row for each text. What that leaves
-  in other components than most of the bucket is compared with the texts in it that can be similar: all pairs with a
-  rare shingle in common are decided by then, and the others have no more in common than the frequent ones of either.
+  such texts are compared with one of them, the centre, which links a crowd by one row for each text. Pairs that this
+  leaves in two components are found by how they differ from their centre (see ``alone_in_crowds``): two texts that
+  both lack similarity to it are similar only if they differ from it in much the same shingles.
 
 So no similar pair that meets in a bucket is left in two components, and what is compared in full is what
 does not belong to a crowd.
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,6 +37,7 @@ from tidemark.llm.frames import BROADCAST_ROWS, Rows, components, compressed, ke
 from tidemark.llm.simhash import kept_of, near_links, print_of, signed
 
 SIGNED = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
+HOT = pa.schema([("c", pa.int64()), ("size", pa.int64()), ("s", pa.int64()), ("hot", pa.list_(pa.int64()))])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 PAIRS_UP_TO = 64  # texts of a bucket, or of a shingle, that are compared in pairs
 AT_ONCE = 1 << 12  # shingles hashed at once
@@ -137,9 +138,9 @@ def in_pairs(lists: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
-    """(c, size, s, crowd): of every text (c, packed) the rare shingles s of its prefix, and, where the prefix has
-    frequent ones as well (and so all its rare ones), one row with ``crowd`` set and the number of frequent ones as s. Few frequent shingles are looked up where the texts are; more
-    are marked by a join."""
+    """(c, size, s, hot): of every text (c, packed) the rare shingles s of its prefix, and, where the prefix has
+    frequent ones as well (and so all its rare ones), one row with all its frequent shingles as ``hot``. Few frequent
+    shingles are looked up where the texts are; more are marked by a join."""
 
     def hashes_of(packed: bytes) -> np.ndarray:
         return shingle_hashes(words_of(unpacked(packed)), params.shingle, params.seed).view(np.int64)
@@ -147,18 +148,17 @@ def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
     def longest(n: int) -> int:
         return n - int(np.ceil(n * params.similarity - 1e-9)) + 1
 
-    def rows(c: int, size: int, part: np.ndarray, crowd: bool) -> pa.RecordBatch:
-        full = lambda v, t: pa.array(np.full(len(part), v, t))
-        return pa.RecordBatch.from_arrays([full(c, np.int64), full(size, np.int64), pa.array(part), full(crowd, bool)], ["c", "size", "s", "crowd"])
+    def rows(c: int, size: int, part: np.ndarray) -> list[pa.Array]:
+        return [pa.array(np.full(len(part), v, np.int64)) for v in (c, size)] + [pa.array(part)]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c, packed in rows_of(batches, "c", "packed"):
             hashes = hashes_of(packed)
             for at in range(0, len(hashes), 1 << 16):
-                yield rows(c, len(hashes), hashes[at : at + (1 << 16)], False)
+                yield pa.RecordBatch.from_arrays(rows(c, len(hashes), hashes[at : at + (1 << 16)]), ["c", "size", "s"])
 
-    kind = "c long, size long, s long, crowd boolean"
-    often = texts.mapInArrow(whole, kind).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PAIRS_UP_TO)
+    every = texts.mapInArrow(whole, "c long, size long, s long")
+    often = every.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PAIRS_UP_TO)
     often = stored(often.select("s"), "often")
     if often.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         frequent = np.array(sorted(r[0] for r in often.collect()), np.int64)
@@ -167,37 +167,79 @@ def prefixes(texts: DataFrame, params: Shingles) -> DataFrame:
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, packed in rows_of(batches, "c", "packed"):
                 hashes = hashes_of(packed)
-                rare = hashes[~np.isin(hashes, sent.value)]
-                prefix = longest(len(hashes))
-                yield rows(c, len(hashes), rare[:prefix], False)
+                known = np.isin(hashes, sent.value)
+                rare, prefix = hashes[~known], longest(len(hashes))
+                part = rows(c, len(hashes), rare[:prefix])
+                yield pa.RecordBatch.from_arrays([*part, pa.nulls(len(part[0]), HOT.field("hot").type)], schema=HOT)
                 if len(rare) < prefix:
-                    yield rows(c, len(hashes), np.array([len(hashes) - len(rare)], np.int64), True)
+                    yield pa.RecordBatch.from_pylist([{"c": c, "size": len(hashes), "hot": hashes[known]}], schema=HOT)
 
-        return texts.mapInArrow(cut, kind)
-    marked = texts.mapInArrow(whole, kind).drop("crowd").join(often.withColumn("often", F.lit(True)), "s", "left")
+        return texts.mapInArrow(cut, "c long, size long, s long, hot array<long>")
+    marked = every.join(often.withColumn("often", F.lit(True)), "s", "left")
     marked = marked.withColumn("crowd", F.coalesce("often", F.lit(False)))
     place = F.row_number().over(Window.partitionBy("c").orderBy("crowd", "s"))
     prefix = F.col("size") - F.ceil(F.col("size") * params.similarity - 1e-9) + 1
-    cut = marked.withColumn("place", place).filter(F.col("place") <= prefix)
-    hot = cut.filter("crowd").groupBy("c", "size", "crowd").agg(F.min("place").alias("first"))
-    hot = hot.select("c", "size", (F.col("size") - F.col("first") + 1).alias("s"), "crowd")
-    return cut.filter("not crowd").select("c", "size", "s", "crowd").union(hot)
-
-
-def alone_in_crowds(members: DataFrame, roots: DataFrame, params: Shingles) -> DataFrame:
-    """Pairs (a, b) of texts that share a bucket of ``members`` (t, key, c, size, frequent) but no component: each text
-    that is not in the component of most of the bucket, with all of it that are not in its own. Left out are those that
-    cannot be similar unless they share a rare shingle, and those that do have been compared."""
-    rows = members.join(roots, F.col("c") == F.col("node"), "left")
-    rows = rows.select("t", "key", "c", "size", "frequent", F.coalesce("root", "c").alias("root"))
-    rows = stored(rows, "rooted")
-    sizes = rows.groupBy("t", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.groupBy("t", "key").agg(F.max_by("root", F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
-    apart = rows.join(most.filter("roots > 1"), ["t", "key"]).filter("root <> most")
-    apart = apart.select("t", "key", F.col("c").alias("a"), F.col("root").alias("mine"), F.col("size").alias("length"), F.col("frequent").alias("often"))
-    common = (F.col("size") + F.col("length")) * (params.similarity / (1 + params.similarity)) - 1e-6
-    met = apart.join(rows, ["t", "key"]).filter((F.col("mine") != F.col("root")) & (F.least("frequent", "often") >= common))
-    return met.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+    rare = marked.withColumn("place", place).filter((F.col("place") <= prefix) & ~F.col("crowd"))
+    hot = marked.groupBy("c", "size").agg(F.collect_list(F.when(F.col("crowd"), F.col("s"))).alias("hot"))
+    hot = hot.filter(F.col("size") - F.size("hot") < prefix).select("c", "size", F.lit(None).cast("long").alias("s"), "hot")
+    return rare.select("c", "size", "s", F.lit(None).cast("array<long>").alias("hot")).union(hot)
+
+
+def surplus(params: Shingles) -> Column:
+    """Of a text with ``size`` shingles, ``hot`` of them frequent: what its rare shingles leave of the share of its
+    size that a similar text must have in common. Texts x and y with no rare shingle in common are similar where
+    2 |hot x & hot y| is at least |hot x| + |hot y| + surplus x + surplus y."""
+    return F.col("size") * (2 * params.similarity / (1 + params.similarity)) - F.size("hot")
+
+
+def alone_in_crowds(spokes: DataFrame, hot: DataFrame, roots: DataFrame, params: Shingles) -> DataFrame:
+    """Pairs (a, b) of texts c (``hot``: c, size, hot) that have a centre m in common (``spokes``: m, c) but no
+    component, and can be similar. All pairs with a rare shingle in common, and all spokes, have been compared.
+
+    Texts are told apart by the d frequent shingles that only they or their centre have. Let q be d plus the surplus.
+    Similar texts have (q + q')/2 of those shingles in common. This is more than none, for the centre has the least
+    surplus, and of two texts in different components one is not similar to the centre. So, with the shingles in
+    one order, there is one in common with (q + q')/2 or more of either text's left from it on.
+    """
+    of = roots.select(F.col("node").alias("c"), "root")
+    rows = spokes.join(of, "c", "left").join(roots.select(F.col("node").alias("m"), F.col("root").alias("main")), "m", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "c")).withColumn("apart", F.col("root") != F.coalesce("main", "m"))
+    rows = stored(rows.select("m", "c", "root", "apart"), "rooted")
+    split = rows.filter("apart").select("m").distinct()
+    rows = rows.join(split, "m", "left_semi").join(hot.select("c", "hot", surplus(params).alias("base")), "c")
+    rows = rows.join(hot.join(split, F.col("c") == F.col("m"), "left_semi").select(F.col("c").alias("m"), F.col("hot").alias("its")), "m")
+    off = F.concat(F.array_except("hot", "its"), F.array_except("its", "hot"))
+    rows = rows.select("m", "c", "root", "apart", "base", off.alias("off")).withColumn("d", F.size("off"))
+    rows = stored(rows.withColumn("q", F.col("d") + F.col("base")), "differing")
+    # Two texts fit where the q of each is in reach of the other; one of them is apart from the centre.
+    reach = F.col("d") - F.col("base") + 1e-6
+    ends = rows.groupBy("m").agg(
+        F.min("q").alias("low"),
+        F.max(reach).alias("far"),
+        F.min(F.when(F.col("apart"), F.col("q"))).alias("apart_low"),
+        F.max(F.when(F.col("apart"), reach)).alias("apart_far"),
+    )
+    low, far = (F.when(F.col("apart"), F.col(e)).otherwise(F.col(f"apart_{e}")) for e in ("low", "far"))
+    rows = rows.join(ends, "m").filter((reach >= low) & (F.col("q") <= far)).withColumn("low", low)
+    rows = rows.select("m", "c", "root", "d", "q", "low", F.explode("off").alias("s"))
+    rows = stored(rows, "differences")
+    rows = rows.join(rows.groupBy("m", "s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), ["m", "s"], "left")
+    place = F.row_number().over(Window.partitionBy("m", "c").orderBy(F.coalesce("n", F.lit(1)), "s"))
+    left = 2 * (F.col("d") - place + 1) - F.col("q") + 1e-6
+    rows = rows.withColumn("reach", left).filter("reach >= low and n > 1").select("m", "s", "c", "root", "q", "reach")
+    rows = stored(rows, "prefixes")
+    sizes = rows.groupBy("m", "s", "root").agg(F.count(F.lit(1)).alias("n"), F.min("q").alias("low"), F.max("reach").alias("far"))
+    most = sizes.groupBy("m", "s").agg(
+        F.max_by("root", F.struct("n", "root")).alias("most"),
+        F.count(F.lit(1)).alias("roots"),
+        F.min("low").alias("low"),
+        F.max("far").alias("far"),
+    )
+    rows = rows.join(most.filter("roots > 1"), ["m", "s"]).filter("reach >= low and q <= far")
+    one, two = rows.filter("root <> most").alias("one"), rows.alias("two")
+    fit = F.expr("one.root <> two.root and one.q <= two.reach and two.q <= one.reach")
+    met = one.join(two, F.expr("one.m = two.m and one.s = two.s") & fit)
+    return met.select(F.least("one.c", "two.c").alias("a"), F.greatest("one.c", "two.c").alias("b")).distinct()
 
 
 def texts_of(wanted: DataFrame, rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -241,12 +283,14 @@ def links_of(rows: DataFrame, docs: DataFrame, params: Shingles) -> DataFrame:
     if crowded.isEmpty():
         return links
     prefix = stored(prefixes(texts.join(small_side(crowded), "c", "left_semi"), params), "prefixes")
-    rare = in_pairs(prefix.filter("not crowd").groupBy("s").agg(F.collect_list("c").alias("cs")))
-    hot = members.join(small_side(prefix.filter("crowd").select("c", "size", F.col("s").alias("frequent"))), "c")
-    centre = hot.groupBy("t", "key").agg(F.min_by("c", F.xxhash64("c")).alias("m"))
-    spokes = hot.join(centre, ["t", "key"]).filter("c <> m").select(F.least("c", "m").alias("a"), F.greatest("c", "m").alias("b"))
-    links = links.union(similar(stored(rare.union(spokes).distinct(), "pairs"), texts, params))
-    rest = stored(alone_in_crowds(hot, components(links), params), "rest")
+    rare = in_pairs(prefix.filter("hot is null").groupBy("s").agg(F.collect_list("c").alias("cs")))
+    hot = prefix.filter("hot is not null").select("c", "size", "hot")
+    rows = members.join(small_side(hot.select("c", surplus(params).alias("base"))), "c")
+    centre = rows.groupBy("t", "key").agg(F.min_by("c", F.struct("base", F.xxhash64("c"))).alias("m"))
+    spokes = stored(rows.join(centre, ["t", "key"]).filter("c <> m").select("m", "c").distinct(), "spokes")
+    pairs = rare.union(spokes.select(F.least("c", "m").alias("a"), F.greatest("c", "m").alias("b")))
+    links = links.union(similar(stored(pairs.distinct(), "pairs"), texts, params))
+    rest = stored(alone_in_crowds(spokes, hot, components(links), params), "rest")
     return links.union(similar(rest, texts, params))
 
 
