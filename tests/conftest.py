@@ -18,6 +18,7 @@ def make_spark():
             "spark.master": f"local[{os.environ.get('TEST_CPUS', '8')}]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.sql.ui.retainedExecutions": "10000",  # tests count executions from a session's start
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
         },
